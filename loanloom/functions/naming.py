@@ -1,4 +1,4 @@
-"""Column-name rules. They run on the driver, over names only."""
+"""Rules for names, and quoting. They run on the driver, over names only."""
 
 from __future__ import annotations
 
@@ -13,6 +13,11 @@ def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def text(value: str) -> str:
+    """`value` as a SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def needs_fallback(name: str) -> bool:
     """All-capital names, and names joined by underscores that hold a capital."""
     return name.isupper() or ("_" in name and name != name.lower())

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanloom.functions import columns as C
-from loanloom.functions.naming import quote, require_distinct, share_name, status_part, type_part
+from loanloom.functions.naming import quote, require_distinct, share_name, status_part, text, type_part
 from loanloom.plans.skew import HOT_ROWS, wide_aggregate
 from loanloom.specs import BOOK, BookSpec, LINEAGE_COLUMNS, STATISTICS
 
@@ -23,31 +23,38 @@ def ratios(history: DataFrame, spec: BookSpec = BOOK) -> DataFrame:
 # -- segment statistics ----------------------------------------------------
 
 
+# A book has some 400 expressions. Written as SQL text, each is handed to Spark at once.
+
+
 def _buffer(segment: str, indicator: str, part: str) -> str:
-    return f"_{segment}_{indicator}_{part}"
+    return quote(f"_{segment}_{indicator}_{part}")
 
 
 def _segment_buffers(segment: str, spec: BookSpec) -> list[Column]:
     status = spec.segments[segment]
-    inside = None if status is None else F.col(spec.status) == status
+    folds = {"min": "min({0})", "max": "max({0})", "sum": "sum({0})", "n": "count({0})"}
     buffers = []
     for name in spec.indicators:
         if name not in spec.mirrors:
-            c = F.col(name) if inside is None else F.when(inside, F.col(name))
-            for part, fold in (("min", F.min), ("max", F.max), ("sum", F.sum), ("n", F.count)):
-                buffers.append(fold(c).alias(_buffer(segment, name, part)))
+            c = quote(name)
+            if status is not None:
+                c = f"CASE WHEN {quote(spec.status)} = {text(status)} THEN {c} END"
+            for part, fold in folds.items():
+                buffers.append(F.expr(f"{fold.format(c)} AS {_buffer(segment, name, part)}"))
     return buffers
 
 
 def _segment_features(segment: str, spec: BookSpec) -> list[Column]:
+    plain = {"min": "{min}", "max": "{max}", "mean": "try_divide({sum}, {n})", "sum": "{sum}"}
+    mirrored = {"min": "-{max}", "max": "-{min}", "mean": "try_divide(-{sum}, {n})", "sum": "-{sum}"}
     features = []
     for name in spec.indicators:
         base = spec.mirrors.get(name, name)
-        low, high, total, n = (F.col(_buffer(segment, base, p)) for p in ("min", "max", "sum", "n"))
-        if base != name:
-            low, high, total = -high, -low, -total
-        values = {"min": low, "max": high, "mean": F.try_divide(total, n), "sum": total}
-        features += [values[s].alias(f"{spec.prefix}_{segment}_{name}_{s}") for s in STATISTICS]
+        values = plain if base == name else mirrored
+        parts = {p: _buffer(segment, base, p) for p in ("min", "max", "sum", "n")}
+        for s in STATISTICS:
+            feature = quote(f"{spec.prefix}_{segment}_{name}_{s}")
+            features.append(F.expr(f"{values[s].format(**parts)} AS {feature}"))
     return features
 
 
@@ -220,22 +227,29 @@ def abt(
     spec: BookSpec = BOOK,
     fill: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per application with its book, counts filled with 0 where there is none."""
+    """One row per application with its book, counts filled with 0 where there is none.
+
+    The key is unique on both sides. Should applications repeat a key very often, give
+    the book as a written table: the join is then between plain shuffles, which Spark
+    splits where they are skewed.
+    """
     fill = set(zero_filled(book.columns, spec.key) if fill is None else fill)
     kept = application.drop(*LINEAGE_COLUMNS)
     features = [f for f in book.schema if f.name != spec.key]
     require_distinct([*kept.columns, *(f.name for f in features), spec.history_flag])
+    # Rows without a key match nothing; they stay out of the join, where all of them
+    # would meet in one task.
+    named = F.col(spec.key).isNotNull()
+    joined = kept.filter(named).join(book, spec.key, "left")
+    rows = joined.unionByName(kept.filter(~named), allowMissingColumns=True)
     has_history = F.coalesce(F.col(f"{spec.prefix}_credit_count"), F.lit(0)) > 0
-    return kept.join(book, spec.key, "left").select(
-        *kept.columns,
-        *[
-            F.coalesce(F.col(f.name), F.lit(0).cast(f.dataType)).alias(f.name)
-            if f.name in fill
-            else F.col(f.name)
-            for f in features
-        ],
-        has_history.alias(spec.history_flag),
-    )
+    filled = [
+        F.coalesce(F.col(f.name), F.lit(0).cast(f.dataType)).alias(f.name)
+        if f.name in fill
+        else F.col(f.name)
+        for f in features
+    ]
+    return rows.select(*kept.columns, *filled, has_history.alias(spec.history_flag))
 
 
 # -- storage types ---------------------------------------------------------

@@ -25,6 +25,7 @@ SCORE = "score"
 #: value sets the missing ones apart.
 MISSING = -1e15
 MIN_BINS = 32
+MAX_CATEGORIES = 10_000
 
 
 def model_input(
@@ -58,8 +59,21 @@ def category_indexer(columns: Sequence[str]) -> StringIndexer:
     )
 
 
+def require_few_categories(df: DataFrame, columns: Sequence[str]) -> None:
+    """Indexing keeps every category on the driver and in every tree: a bounded number.
+
+    Columns beyond it belong bucketed first (top types and "other").
+    """
+    if not columns:
+        return
+    sizes = df.agg(*[F.approx_count_distinct(quote(c)).alias(c) for c in columns]).first().asDict()
+    if wide := [c for c, n in sizes.items() if n > MAX_CATEGORIES]:
+        raise ValueError(f"more than {MAX_CATEGORIES} categories in: {', '.join(wide)}")
+
+
 def category_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The category columns replaced by their indexes."""
+    require_few_categories(df, columns)
     indexed = category_indexer(columns).fit(df).transform(df)
     kept = [F.col(quote(_index_name(c) if c in columns else c)) for c in df.columns]
     return indexed.select(*kept)
@@ -96,6 +110,7 @@ def fit(train: DataFrame, features: Sequence[str], params: ModelParams, label: s
     ensure_checkpoint_dir(train.sparkSession)
     strings = string_columns(train, features)
     rows = _numeric(train.select(*features, label), features, strings)
+    require_few_categories(rows, strings)
     indexers = [category_indexer(strings).fit(rows)] if strings else []
     assembler = VectorAssembler(
         inputCols=[_index_name(c) if c in strings else c for c in features], outputCol=FEATURES

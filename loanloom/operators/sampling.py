@@ -23,8 +23,9 @@ CELL_ROWS = 10_000
 DIGEST_DIGITS = 32
 
 
-def nth_digest(digests: DataFrame, n: int, cell_rows: int = CELL_ROWS) -> str:
-    """The n-th smallest of the one column's digests (n counts from 1), found digit by digit.
+def nth_digest(digests: DataFrame, n: int, cell_rows: int = CELL_ROWS) -> str | None:
+    """The n-th smallest of the one column's digests (n counts from 1), found digit by digit;
+    None if there are fewer.
 
     Every round counts the rows per leading digits inside the cell that holds the
     answer; at most 65 536 counts exist per round and one leaves Spark. A last, small
@@ -41,7 +42,7 @@ def nth_digest(digests: DataFrame, n: int, cell_rows: int = CELL_ROWS) -> str:
         running = cells.withColumn("seen", F.sum("rows").over(Window.orderBy("cell")))
         hit = running.filter(F.col("seen") >= left).orderBy("cell").first()
         if hit is None:
-            raise ValueError(f"asked for digest {n}, but there are fewer rows")
+            return None
         cell, rows, seen = hit
         prefix, left = cell, left - (seen - rows)
         if rows <= cell_rows:
@@ -53,15 +54,15 @@ def nth_digest(digests: DataFrame, n: int, cell_rows: int = CELL_ROWS) -> str:
 def sample_n(df: DataFrame, key: str, n: int, seed: int = SEED) -> DataFrame:
     """A simple random sample of n rows; the whole table if it has no more.
 
-    `key` must be unique. The result is a filter on the table: nothing is shuffled.
+    `key` must be unique and not null. The result is a filter on the table: nothing is
+    shuffled.
     """
     digest = C.key_digest(F.col(key), seed)
-    digests = df.filter(F.col(key).isNotNull()).select(digest.alias("digest"))
+    digests = df.select(digest.alias("digest"))
     if n <= 0:
         return df.limit(0)
-    if digests.count() <= n:
-        return df
-    return df.filter(digest <= nth_digest(digests, n))
+    last = nth_digest(digests, n)
+    return df if last is None else df.filter(digest <= last)
 
 
 def _side(is_train: Column) -> Column:

@@ -44,13 +44,20 @@ def wide_aggregate(
     """`prepare(df).groupBy(key).agg(*aggregates)`, hash-partitioned by `key`.
 
     `prepare` is a narrow step (derived columns) that runs after the shuffle, so its
-    columns are never moved. Rows with a null key are dropped. Both halves of the
-    union are partitioned alike, which Spark keeps: a later join on `key` moves only
-    the other side.
+    columns are never moved. Rows with a null key are dropped. One job over the key
+    column finds the hot keys; without any the plan is a single shuffle. With some, both
+    halves of the union are partitioned alike, which Spark keeps: a later join on `key`
+    moves only the other side.
     """
     df = df.filter(F.col(key).isNotNull())
-    hot = F.broadcast(hot_keys(df, key, hot_rows))
-    cold_rows = df.join(hot, key, "left_anti").repartition(key)
-    hot_part = df.join(hot, key, "left_semi")
-    cold, folded = (prepare(part).groupBy(key).agg(*aggregates) for part in (cold_rows, hot_part))
-    return cold.unionByName(folded)
+
+    def folded(rows: DataFrame) -> DataFrame:
+        return prepare(rows).groupBy(key).agg(*aggregates)
+
+    found = hot_keys(df, key, hot_rows)
+    hot = found.collect()
+    if not hot:
+        return folded(df.repartition(key))
+    listed = F.broadcast(df.sparkSession.createDataFrame(hot, found.schema))
+    cold_rows = df.join(listed, key, "left_anti").repartition(key)
+    return folded(cold_rows).unionByName(folded(df.join(listed, key, "left_semi")))
