@@ -121,7 +121,14 @@ def rate_by_segment(
 def target_correlation(df: DataFrame, columns: Sequence[str], target: str = "target") -> DataFrame:
     """Pearson correlation of each column with the target, strongest first."""
     y = F.col(target).cast("int").cast("double")
-    rows = _per_column(df, {c: [F.corr(_double(c), y)] for c in columns}, ["correlation"])
+    folds = {}
+    for c in columns:
+        paired_x, paired_y = F.when(y.isNotNull(), _double(c)), F.when(_double(c).isNotNull(), y)
+        folds[c] = [F.covar_pop(_double(c), y), F.stddev_pop(paired_x), F.stddev_pop(paired_y)]
+    rows = _per_column(df, folds, ["joint", "spread", "target_spread"])
+    # Null, not an error as from `corr`, where a column or the target is constant.
+    correlation = F.try_divide(F.col("joint"), F.col("spread") * F.col("target_spread"))
+    rows = rows.select("column_name", correlation.alias("correlation"))
     return rows.orderBy(F.abs("correlation").desc_nulls_last(), "column_name")
 
 
