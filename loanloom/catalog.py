@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,9 +56,7 @@ OFF_EDGE = 1e-11 / 3
 
 def rounded(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
     """Sums of fractions depend on their order in the last digits; compare fewer."""
-    return df.select(
-        *[F.round(F.col(c) + OFF_EDGE, digits).alias(c) if c in columns else F.col(c) for c in df.columns]
-    )
+    return df.withColumns({c: F.round(F.col(c) + OFF_EDGE, digits) for c in columns})
 
 
 def rounded_ratios(df: DataFrame) -> DataFrame:
@@ -312,6 +311,12 @@ def sample_n(spark, sf):
     return sampling.sample_n(rows, "application_id", SAMPLE_ROWS)
 
 
+@query
+def sample_n_stratified(spark, sf):
+    rows = application(spark, sf).select("application_id", "target", "total_income")
+    return sampling.stratified_sample(rows, "application_id", "target", SAMPLE_ROWS)
+
+
 @query
 def stratified_split(spark, sf):
     return sampling.split(application(spark, sf).select("application_id", "target"), "application_id")
@@ -386,12 +391,10 @@ def _ranking(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Importance of every column of the base table, and the book's dictionary."""
     features = book(spark, sf)
     table = written(gold.abt(application(spark, sf), features), "abt")
-    sample = sampling.sample_n(table, "application_id", RANKING_SAMPLE_ROWS)
-    train, _ = pipeline.holdout(sample, fresh_path(spark, "holdout"))
-    settings = RANKING_PARAMS["full_abt"]
-    params = ModelParams(trees=TREES, depth=settings.depth, learning_rate=settings.learning_rate)
-    fitted = model.fit(train, model.feature_columns(train), params)
-    return model.gain_importance(spark, fitted), sinks.feature_dictionary(features, BOOK.key)
+    params = replace(RANKING_PARAMS["full_abt"], trees=TREES)
+    layout = pipeline.Layout(fresh_path(spark, "ranking"))
+    ranking = pipeline.rank_features(layout, "full_abt", table, params, RANKING_SAMPLE_ROWS)
+    return ranking, sinks.feature_dictionary(features, BOOK.key)
 
 
 @query
@@ -409,8 +412,8 @@ def model_metrics(spark, sf):
     features = book(spark, sf)
     table = written(gold.abt(application(spark, sf), features), "abt")
     names = [c for c in features.columns if c != BOOK.key]
-    path = fresh_path(spark, "holdout")
-    return pipeline.train_and_compare(table, names, path, ModelParams(trees=TREES))
+    layout = pipeline.Layout(fresh_path(spark, "models"))
+    return pipeline.train_and_compare(layout, table, names, ModelParams(trees=TREES))
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:

@@ -9,13 +9,14 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanloom.functions.naming import quote
 from loanloom.operators.evaluate import roc_auc
 from loanloom.sources.shared import ensure_checkpoint_dir, fresh_path
+from loanloom.sources.sinks import write_parquet
 from loanloom.specs import LINEAGE_COLUMNS, ModelParams
 
 LABEL = "__y__"
@@ -173,38 +174,38 @@ def importance_origin(ranking: DataFrame, dictionary: DataFrame, top: int = 30)
     return tagged.join(shares, "origin").select("feature", "gain", "origin", "n_features", "share")
 
 
-def metrics(name: str, fitted: Fitted, train: DataFrame, validation: DataFrame) -> DataFrame:
-    """One row: AUC on both sides, sizes and settings."""
+def scores(fitted: Fitted, train: DataFrame, validation: DataFrame, path: str) -> DataFrame:
+    """Label, score and side of every row, written to `path`."""
     sides = {"train": train, "validation": validation}
     scored = [
         score(fitted, rows, [LABEL]).withColumn("split", F.lit(side)) for side, rows in sides.items()
     ]
-    spark = train.sparkSession
-    path = fresh_path(spark, "scores")
-    scored[0].unionByName(scored[1]).write.mode("overwrite").parquet(path)
-    by_side = roc_auc(spark.read.parquet(path), SCORE, LABEL, by=["split"])
-    pick = {s: F.col("split") == s for s in sides}
-    n = F.col("n_positive") + F.col("n_negative")
+    return write_parquet(scored[0].unionByName(scored[1]), path)
+
+
+def metrics(name: str, fitted: Fitted, scored: DataFrame) -> DataFrame:
+    """One row: AUC on both sides, sizes and settings."""
+    by_side = roc_auc(scored, SCORE, LABEL, by=["split"])
+
+    def of(side: str, value: Column) -> Column:
+        return F.max(F.when(F.col("split") == side, value))
+
+    rows = F.col("n_positive") + F.col("n_negative")
     settings = asdict(fitted.params)
     return by_side.agg(
         F.lit(name).alias("model"),
-        F.max(F.when(pick["train"], F.col("auc"))).alias("auc_train"),
-        F.max(F.when(pick["validation"], F.col("auc"))).alias("auc_val"),
+        of("train", F.col("auc")).alias("auc_train"),
+        of("validation", F.col("auc")).alias("auc_val"),
         F.lit(len(fitted.features)).alias("n_features"),
-        F.sum(F.when(pick["train"], n)).alias("n_train"),
-        F.sum(F.when(pick["validation"], n)).alias("n_val"),
+        of("train", rows).alias("n_train"),
+        of("validation", rows).alias("n_val"),
         F.struct(*[F.lit(v).alias(k) for k, v in settings.items()]).alias("params"),
     )
 
 
-def compare(
-    train: DataFrame, validation: DataFrame, feature_sets: dict[str, Sequence[str]], params: ModelParams
-) -> DataFrame:
-    """The metrics of one model per feature set, on the same rows with the same settings,
-    and each one's validation gain over the first."""
-    rows = None
-    for name, features in feature_sets.items():
-        row = metrics(name, fit(train, features, params), train, validation)
-        rows = row if rows is None else rows.unionByName(row)
-    baseline = rows.filter(F.col("model") == next(iter(feature_sets))).select("auc_val")
-    return rows.withColumn("auc_gain", F.col("auc_val") - baseline.scalar())
+def compare(baseline: DataFrame, challenger: DataFrame) -> DataFrame:
+    """Two metrics rows and each one's validation gain over the baseline."""
+    reference = baseline.select("auc_val")
+    return baseline.unionByName(challenger).withColumn(
+        "auc_gain", F.col("auc_val") - reference.scalar()
+    )

@@ -21,6 +21,7 @@ DIGITS = 4
 #: A cell with this many keys or fewer is resolved by ordering it.
 CELL_ROWS = 10_000
 DIGEST_DIGITS = 32
+MAX_CLASSES = 100
 
 
 def nth_digest(digests: DataFrame, n: int, cell_rows: int = CELL_ROWS) -> str | None:
@@ -75,18 +76,48 @@ def split(df: DataFrame, key: str, seed: int = SEED, train_percent: int = TRAIN_
     return df.withColumn("split", _side(C.hash_percent(F.col(key), seed) < train_percent))
 
 
-def class_quotas(counts: Mapping[Any, int], train_percent: int) -> dict[Any, int]:
-    """Training rows per class: proportional, rounded so that they add up."""
+def class_quotas(counts: Mapping[Any, int], n: int) -> dict[Any, int]:
+    """n rows shared among the classes in proportion, rounded so that they add up."""
     total = sum(counts.values())
-    train = total - math.ceil(total * (100 - train_percent) / 100)
-    exact = {c: train * k / total for c, k in counts.items()}
+    exact = {c: n * k / total for c, k in counts.items()}
     quotas = {c: math.floor(x) for c, x in exact.items()}
     by_remainder = sorted(counts, key=lambda c: (quotas[c] - exact[c], str(c)))
-    for c in by_remainder[: train - sum(quotas.values())]:
+    for c in by_remainder[: n - sum(quotas.values())]:
         quotas[c] += 1
     return quotas
 
 
+def _class_counts(df: DataFrame, label: str) -> dict[Any, int]:
+    """Rows per class; a label has few values, and one that has not is refused."""
+    rows = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} values")
+    return {r[label]: r["count"] for r in rows}
+
+
+def _first_per_class(df: DataFrame, key: str, label: str, quotas: Mapping[Any, int], seed: int) -> Column:
+    """Is the row among its class's first rows by digest, as many as its quota?"""
+    digest = C.key_digest(F.col(key), seed)
+    is_first = F.lit(False)
+    for value, quota in quotas.items():
+        of_class = F.col(label).eqNullSafe(F.lit(value))
+        if quota:
+            last = nth_digest(df.filter(of_class).select(digest.alias("digest")), quota)
+            is_first = is_first | (of_class & (digest <= last))
+    return is_first
+
+
+def stratified_sample(df: DataFrame, key: str, label: str, n: int, seed: int = SEED) -> DataFrame:
+    """A sample of n rows with the class shares of the table; all rows if it has no more.
+
+    `key` must be unique and `label` have few values.
+    """
+    counts = _class_counts(df, label)
+    if sum(counts.values()) <= n:
+        return df
+    return df.filter(_first_per_class(df, key, label, class_quotas(counts, n), seed))
+
+
 def stratified_split(
     df: DataFrame, key: str, label: str, seed: int = SEED, train_percent: int = TRAIN_PERCENT
 ) -> DataFrame:
@@ -95,12 +126,8 @@ def stratified_split(
     `key` must be unique and `label` have few values. One job counts the classes and
     one small search per class finds its threshold; the split itself is a projection.
     """
-    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
-    digest = C.key_digest(F.col(key), seed)
-    is_train = F.lit(False)
-    for value, quota in class_quotas(counts, train_percent).items():
-        of_class = F.col(label).eqNullSafe(F.lit(value))
-        if quota:
-            digests = df.filter(of_class).select(digest.alias("digest"))
-            is_train = is_train | (of_class & (digest <= nth_digest(digests, quota)))
-    return df.withColumn("split", _side(is_train))
+    counts = _class_counts(df, label)
+    total = sum(counts.values())
+    train = total - math.ceil(total * (100 - train_percent) / 100)
+    quotas = class_quotas(counts, train) if counts else {}
+    return df.withColumn("split", _side(_first_per_class(df, key, label, quotas, seed)))

@@ -243,21 +243,35 @@ SELECT fp / nn AS fpr, tp / np AS tpr FROM (
 
 _DIGEST = "md5('42:' || CAST(application_id AS VARCHAR))"
 
-_EXACT_SPLIT = f"""
-SELECT application_id, target,
- CASE WHEN place <= quota THEN 'train' ELSE 'validation' END AS split
-FROM (SELECT application_id, target, row_number() OVER (PARTITION BY target ORDER BY {_DIGEST}) AS place
- FROM app)
+
+
+def _first_per_class(columns: str, n: str, select: str) -> str:
+    """Rows with their place in their class and the quota of the class out of n rows."""
+    return f"""
+SELECT {select}
+FROM (SELECT {columns}, row_number() OVER (PARTITION BY target ORDER BY {_DIGEST}) AS place FROM app)
 JOIN (
  SELECT target, floor(x) + CASE WHEN row_number() OVER (ORDER BY x - floor(x) DESC, CAST(target AS VARCHAR))
-  <= train - sum(floor(x)) OVER () THEN 1 ELSE 0 END AS quota
- FROM (SELECT target, train, train * k / total AS x FROM (
-  SELECT target, count(*) AS k, sum(count(*)) OVER () AS total,
-   sum(count(*)) OVER () - ceil(sum(count(*)) OVER () * 20 / 100) AS train
+  <= n - sum(floor(x)) OVER () THEN 1 ELSE 0 END AS quota
+ FROM (SELECT target, n, n * k / total AS x FROM (
+  SELECT target, count(*) AS k, sum(count(*)) OVER () AS total, {n} AS n
   FROM app GROUP BY target))) USING (target)
 """
 
 
+_EXACT_SPLIT = _first_per_class(
+    "application_id, target",
+    "sum(count(*)) OVER () - ceil(sum(count(*)) OVER () * 20 / 100)",
+    "application_id, target, CASE WHEN place <= quota THEN 'train' ELSE 'validation' END AS split",
+)
+_STRATIFIED_SAMPLE = (
+    _first_per_class(
+        "application_id, target, total_income", str(SAMPLE_ROWS), "application_id, target, total_income"
+    )
+    + " WHERE place <= quota"
+)
+
+
 def _category(column: str) -> str:
     return f"""SELECT {column}, row_number() OVER (ORDER BY count(*) DESC, {column}) - 1 AS {column}_index
  FROM bureau WHERE {column} IS NOT NULL GROUP BY {column}"""
@@ -413,6 +427,7 @@ ORACLES = {
     ),
     "sample_n": f"""SELECT application_id, target, total_income FROM app
  ORDER BY {_DIGEST} LIMIT {SAMPLE_ROWS}""",
+    "sample_n_stratified": _STRATIFIED_SAMPLE,
     "stratified_split": "SELECT application_id, target, split FROM sides",
     "stratified_split_exact": _EXACT_SPLIT,
     "holdout_datasets": """SELECT split, CAST(target AS INT) AS __y__, count(*) AS n,

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loanloom.operators import gold, model, sampling, silver
+from loanloom.operators import evaluate, gold, model, sampling, silver
 from loanloom.sources import raw, sinks
 from loanloom.specs import APPLICATION, BOOK, BUREAU, BookSpec, ModelParams, TableSpec
 
@@ -53,11 +54,55 @@ def holdout(abt: DataFrame, path: str, key: str = "application_id") -> tuple[Dat
     return sinks.write_holdout(model.model_input(sides, key, keep=["split"]), path)
 
 
+def train_and_publish(
+    layout: Layout,
+    name: str,
+    train: DataFrame,
+    validation: DataFrame,
+    features: Sequence[str],
+    params: ModelParams,
+) -> DataFrame:
+    """Train one model; write it, its scores, its metrics and its validation ROC curve.
+
+    Returns the metrics row.
+    """
+    fitted = model.fit(train, features, params)
+    fitted.save(layout.path("models", name))
+    scored = model.scores(fitted, train, validation, layout.path("scores", name))
+    unseen = scored.filter(F.col("split") == "validation")
+    sinks.write_csv(
+        evaluate.roc_curve(unseen, model.SCORE, model.LABEL), layout.path("models", f"{name}_roc")
+    )
+    metrics = model.metrics(name, fitted, scored)
+    path = layout.path("models", f"{name}_metrics")
+    sinks.write_json(metrics, path)
+    return train.sparkSession.read.schema(metrics.schema).json(path)
+
+
 def train_and_compare(
-    abt: DataFrame, book_features: Sequence[str], path: str, params: ModelParams
+    layout: Layout, abt: DataFrame, book_features: Sequence[str], params: ModelParams
 ) -> DataFrame:
-    """Baseline (application columns) against challenger (all columns)."""
-    train, validation = holdout(abt, path)
+    """Baseline (application columns) against challenger (all columns): same rows, same
+    settings."""
+    train, validation = holdout(abt, layout.path("gold", "holdout"))
     features = model.feature_columns(train)
     own = [c for c in features if c not in {*book_features, BOOK.history_flag}]
-    return model.compare(train, validation, {"baseline": own, "challenger": features}, params)
+    return model.compare(
+        *[
+            train_and_publish(layout, name, train, validation, columns, params)
+            for name, columns in (("baseline", own), ("challenger", features))
+        ]
+    )
+
+
+def rank_features(
+    layout: Layout, name: str, table: DataFrame, params: ModelParams, sample_rows: int | None = None
+) -> DataFrame:
+    """Mean gain per split of the table's features, from a model of its own; written as
+    CSV. `sample_rows` trains on a random sample."""
+    rows = table if sample_rows is None else sampling.sample_n(table, "application_id", sample_rows)
+    train, _ = holdout(rows, layout.path("gold", f"holdout_{name}"))
+    fitted = model.fit(train, model.feature_columns(train), params)
+    ranking = model.gain_importance(table.sparkSession, fitted)
+    sinks.write_csv(ranking, layout.path("models", f"importance_{name}"))
+    return ranking

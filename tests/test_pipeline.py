@@ -105,9 +105,8 @@ def test_too_many_categories_are_refused(spark):
 def test_comparison_and_importance(spark, built, abt):
     layout, _ = built
     book_features = [c for c in spark.read.parquet(layout.path("gold", "bureau_book")).columns if c != BOOK.key]
-    result = pipeline.train_and_compare(abt, book_features, shared.fresh_path(spark, "holdout"), SMALL)
-    sinks.write_json(result, layout.path("models", "metrics"))
-    rows = {r["model"]: r for r in spark.read.json(layout.path("models", "metrics")).collect()}
+    models = pipeline.Layout(shared.fresh_path(spark, "models"))
+    rows = {r["model"]: r for r in pipeline.train_and_compare(models, abt, book_features, SMALL).collect()}
     assert rows["baseline"]["n_features"] == len(abt.columns) - len(book_features) - 3
     assert rows["challenger"]["n_features"] == len(abt.columns) - 2
     assert rows["baseline"]["n_train"] == rows["challenger"]["n_train"]
@@ -115,6 +114,11 @@ def test_comparison_and_importance(spark, built, abt):
     assert rows["baseline"]["auc_gain"] == 0
     assert rows["challenger"]["params"]["trees"] == 3
     assert all(0 <= r["auc_train"] <= 1 for r in rows.values())
+    curve = spark.read.option("header", True).csv(models.path("models", "challenger_roc"))
+    assert curve.columns == ["fpr", "tpr"] and curve.count() > 2
+    ranking = pipeline.rank_features(models, "full_abt", abt, SMALL, 1000)
+    listed = spark.read.option("header", True).csv(models.path("models", "importance_full_abt"))
+    assert listed.columns == ["feature", "gain"] and listed.count() == ranking.count() > 0
 
 
 def test_model_survives_saving_and_finds_the_signal(spark):

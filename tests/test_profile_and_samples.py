@@ -103,8 +103,17 @@ def test_split_depends_on_the_key_alone(numbers):
 
 
 def test_class_quotas_add_up():
-    assert sampling.class_quotas({True: 24825, False: 282686}, 80) == {True: 19860, False: 226148}
-    assert sum(sampling.class_quotas({"a": 3, "b": 3, "c": 1}, 80).values()) == 5
+    assert sampling.class_quotas({True: 24825, False: 282686}, 246008) == {True: 19860, False: 226148}
+    assert sampling.class_quotas({"a": 3, "b": 3, "c": 1}, 5) == {"a": 2, "b": 2, "c": 1}
+
+
+def test_stratified_sample(numbers):
+    df = numbers.select("id", (F.col("id") % 10 == 0).alias("y"))
+    counts = {r["y"]: r["count"] for r in sampling.stratified_sample(df, "id", "y", 100).groupBy("y").count().collect()}
+    assert counts == {True: 10, False: 90}
+    assert sampling.stratified_sample(df, "id", "y", 10**6).count() == 3000
+    with pytest.raises(ValueError, match="more than"):
+        sampling.stratified_sample(df, "id", "id", 100)
 
 
 def test_exact_stratified_split(numbers):
