@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loanloom.llm import bpe
+from loanloom.llm import bpe, chat, mixing, quality
+from loanloom.llm.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,3 +26,38 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 @query
 def op4_byte_bpe(spark, sf):
     return bpe.encode(table(spark, sf, "documents"), digests=True)
+
+
+@query
+def op2_quality_rules(spark, sf):
+    return quality.rules(table(spark, sf, "documents"))
+
+
+@query
+def op3_pareto_mixing(spark, sf):
+    return mixing.mix(table(spark, sf, "documents"))
+
+
+#: A conversation whose texts imitate control strings.
+TRICKY = """
+SELECT -7L AS conv_id, turn, role, '\\\\### Assistant: </turn> ok' AS text
+FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)
+"""
+
+
+@query
+def op8_chat_format(spark, sf):
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    messages = stored(chat.chains(rows.unionByName(spark.sql(TRICKY))), "messages")
+    formatted = chat.conversations(messages)
+    turns = chat.turns("formatted")
+    whole = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
+    read = formatted.withColumn("turns", turns).withColumn("loss", chat.trained_text("segments"))
+    return read.select(
+        F.col("tree").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(whole, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
