@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import bpe, chat, mixing, quality
+from loanloom.llm import bpe, chat, main_text, mixing, quality
 from loanloom.llm.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,3 +61,8 @@ def op8_chat_format(spark, sf):
         F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query
+def op5_html_main_text(spark, sf):
+    return main_text.main_text(table(spark, sf, "pages"))
