@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import bpe, chat, main_text, mixing, quality
+from loanloom.llm import bpe, chat, main_text, mixing, quality, substring
 from loanloom.llm.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def op4_byte_bpe(spark, sf):
     return bpe.encode(table(spark, sf, "documents"), digests=True)
 
 
+@query
+def op1_substring_dedup(spark, sf):
+    return substring.digests(table(spark, sf, "documents"))
+
+
 @query
 def op2_quality_rules(spark, sf):
     return quality.rules(table(spark, sf, "documents"))
