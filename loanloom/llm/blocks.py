@@ -24,6 +24,8 @@ from loanloom.sources.shared import fresh_path
 
 #: Bytes of text in a block, and in the bucket of blocks that one task reads.
 BLOCK_BYTES, BUCKET_BYTES = 2_000_000, 32_000_000
+#: A row's number is its block's times 2**PLACE_BITS plus its place there.
+PLACE_BITS = 16
 #: Bytes of keys that meet in one group.
 GROUP_BYTES = 16_000_000
 
@@ -57,27 +59,28 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
         order = np.argsort(words.ids(rows[id_col]), kind="stable")
         rows = rows.take(pa.array(order)).combine_chunks()
         data, offsets = words.as_bytes(rows[text_col].cast(pa.large_string()))
-        block = (TaskContext.get().partitionId() << 32) | k
+        block = (TaskContext.get().partitionId() << 24) | k
         values = (block, words.ids(rows[id_col]).tobytes(), offsets.tobytes(), data.tobytes(), to_ipc(rows.drop_columns([text_col])))
         return pa.RecordBatch.from_arrays(
             [pa.array([block], pa.int64()), *(pa.array([v], pa.binary()) for v in values[1:])], ["block", "ids", "offsets", "text", "rest"]
         )
 
     def run(batches):
-        waiting, held, k = [], 0, 0
+        waiting, held, rows, k = [], 0, 0, 0
         for batch in batches:
             sizes = np.diff(words.as_bytes(batch[text_col])[1]) + 64
             at = 0
             while at < batch.num_rows:
                 upto = int(np.searchsorted(np.cumsum(sizes[at:]), size - held, "right")) + at
-                upto = max(upto, at + (not held))
+                upto = min(max(upto, at + (not held)), at + (1 << PLACE_BITS) - rows)
                 if upto > at:
                     waiting.append(batch.slice(at, upto - at))
                     held += int(sizes[at:upto].sum())
+                    rows += upto - at
                 at = upto
                 if at < batch.num_rows or held >= size:
                     yield packed(pa.Table.from_batches(waiting), k)
-                    waiting, held, k = [], 0, k + 1
+                    waiting, held, rows, k = [], 0, 0, k + 1
         if waiting:
             yield packed(pa.Table.from_batches(waiting), k)
 

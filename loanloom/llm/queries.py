@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import bpe, chat, main_text, mixing, quality, substring
+from loanloom.llm import bpe, chat, main_text, mixing, quality, setsketch, substring
 from loanloom.llm.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,8 @@ def op8_chat_format(spark, sf):
 @query
 def op5_html_main_text(spark, sf):
     return main_text.main_text(table(spark, sf, "pages"))
+
+
+@query
+def op9_setsketch_dedup(spark, sf):
+    return setsketch.near_duplicates(table(spark, sf, "documents"))
