@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import bpe, chat, main_text, mixing, quality, setsketch, substring
+from loanloom.llm import bpe, chat, hmm, main_text, mixing, neighbours, quality, setsketch, substring, toxicity
 from loanloom.llm.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +76,18 @@ def op5_html_main_text(spark, sf):
 @query
 def op9_setsketch_dedup(spark, sf):
     return setsketch.near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op6_hmm_scores(spark, sf):
+    return hmm.score(table(spark, sf, "documents"))
+
+
+@query
+def op7_factorization_toxicity(spark, sf):
+    return toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op10_learned_partitions(spark, sf):
+    return neighbours.search(table(spark, sf, "embeddings"))

@@ -58,24 +58,28 @@ class Words:
     def text_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
-    def codes(self) -> np.ndarray:
-        """64 bits for each word, equal for equal words."""
-        if not len(self.start):
-            return np.zeros(0, np.uint64)
+    def codes(self, *prefixes: int) -> np.ndarray | list[np.ndarray]:
+        """64 bits for each word, equal for equal words; with `prefixes`, a list that goes on
+        with those of the words' first so many bytes."""
         n = len(self.data)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(_byte_value[self.data] * _power_table(_BASE, n), out=sums[1:])
-        value = sums[self.end]
-        value -= sums[self.start]
-        value *= _power_table(_BASE_INVERSE, n)[self.start]
-        return mix(value + (self.end - self.start).astype(np.uint64))
-
-
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
-    """The words of texts that stand one after the other in `data`."""
+        shift = _power_table(_BASE_INVERSE, max(n, 1))[self.start]
+        out = []
+        for size in (0, *prefixes):
+            end = np.minimum(self.end, self.start + size) if size else self.end
+            value = sums[end]
+            value -= sums[self.start]
+            value *= shift
+            out.append(mix(value + (end - self.start).astype(np.uint64)))
+        return out if prefixes else out[0]
+
+
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, part: np.ndarray = ~_white) -> Words:
+    """The words of texts that stand one after the other in `data`; `part` tells which bytes words have."""
     if lower:
         data = _lower[data]
-    inside = ~_white[data]
+    inside = part[data]
     before, after = np.empty_like(inside), np.empty_like(inside)
     if len(data):
         before[0], before[1:] = False, inside[:-1]
