@@ -2,7 +2,8 @@
 
 A token is a lower-cased word or the end of a text. Words fall into SYMBOLS buckets by the
 hash; hidden states emit buckets, and a bucket emits its words by their counts:
-p(word | bucket) = (c + 1) / (N_b + V_b + 1), so that one unit is left for unknown words. All
+p(word | bucket) = (c + 1) / (N_b + V_b + 1), so that one unit is left for unknown words. States
+that tell nothing apart would thus give the add-one unigram model. All
 that the driver and every task hold of the model is states x buckets numbers, whatever the
 corpus; the counts of words, which grow with it, stay in Spark and are sent to the blocks of
 documents that ask for them, once for each block and word.
@@ -32,14 +33,13 @@ from loanloom.llm import blocks as packing
 from loanloom.llm import text as words
 from loanloom.llm.session import ship_package, stored
 
-STATES, SYMBOLS = 8, 1 << 14
+STATES, SYMBOL_BITS = 8, 12
+SYMBOLS = 1 << SYMBOL_BITS
 END = SYMBOLS
 #: Words of a piece in training and of a segment in scoring.
 PIECE, SEGMENT = 256, 512
 #: Documents and passes of the start, and passes over all training documents.
 SEED_DOCUMENTS, SEED_BYTES, SEED_PASSES, PASSES = 1_000, 20_000, 20, 2
-#: Weight of the overall distribution in every state's emissions.
-PRIOR = 200.0
 #: Larger blocks have fewer distinct words in all.
 BLOCK_BYTES = 4_000_000
 
@@ -49,7 +49,7 @@ def held_out(doc_id: int) -> bool:
 
 
 def symbols(codes: np.ndarray) -> np.ndarray:
-    return (codes >> np.uint64(50)).astype(np.int64)
+    return (codes >> np.uint64(64 - SYMBOL_BITS)).astype(np.int64)
 
 
 class Texts:
@@ -97,11 +97,12 @@ class Counts:
         self.step += other.step
         self.emit += other.emit
 
-    def model(self, overall: np.ndarray) -> Model:
-        """Parameters of largest likelihood, smoothed by the overall distribution of symbols."""
-        start = self.start + 1.0
-        step = self.step + 1.0
-        emit = self.emit + PRIOR * overall[:, None]
+    def model(self, unseen: np.ndarray) -> Model:
+        """Parameters of largest likelihood, with one count more for every state and step, and
+        `unseen` counts for the symbols, dealt to the states by their share of all tokens."""
+        start, step, total = self.start + 1.0, self.step + 1.0, self.emit.sum()
+        share = self.emit.sum(0) / total if total else np.full(len(start), 1 / len(start))
+        emit = self.emit + np.maximum(share, 1e-9) * unseen[:, None]
         return Model(start / start.sum(), step / step.sum(1, keepdims=True), emit / emit.sum(0))
 
 
@@ -271,7 +272,7 @@ def seeds(docs: DataFrame, limit: int = SEED_DOCUMENTS) -> list[bytes]:
     return [(r["text"] or "").encode() for r in chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).collect()]
 
 
-def begin(texts: list[bytes], overall: np.ndarray, states: int, passes: int) -> Model:
+def begin(texts: list[bytes], overall: np.ndarray, unseen: np.ndarray, states: int, passes: int) -> Model:
     """States told apart on the sample: random emissions, then Baum-Welch."""
     random = np.random.default_rng(11)
     noise = random.dirichlet(np.full(states, 0.5), SYMBOLS + 1)
@@ -284,11 +285,11 @@ def begin(texts: list[bytes], overall: np.ndarray, states: int, passes: int) ->
     sample = Texts(row)
     tokens, first = sample.sequences(np.arange(len(texts)))
     for _ in range(passes if len(texts) else 0):
-        model = expected(tokens, first, model).model(overall)
+        model = expected(tokens, first, model).model(unseen)
     return model
 
 
-def train(blocks: DataFrame, model: Model, overall: np.ndarray) -> Model:
+def train(blocks: DataFrame, model: Model, unseen: np.ndarray) -> Model:
     """One Baum-Welch pass over all training documents."""
     states = len(model.start)
     shapes = [(states,), (states, states), (SYMBOLS + 1, states)]
@@ -308,7 +309,7 @@ def train(blocks: DataFrame, model: Model, overall: np.ndarray) -> Model:
     rows = found.toArrow()  # one number for each parameter
     flat[np.asarray(rows["i"].combine_chunks())] = np.asarray(rows["value"].combine_chunks())
     cuts = np.split(flat, np.cumsum([int(np.prod(s)) for s in shapes])[:-1])
-    return Counts(*[c.reshape(s) for c, s in zip(cuts, shapes, strict=True)]).model(overall)
+    return Counts(*[c.reshape(s) for c, s in zip(cuts, shapes, strict=True)]).model(unseen)
 
 
 def score(docs: DataFrame, states: int = STATES, passes: int = PASSES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -318,11 +319,11 @@ def score(docs: DataFrame, states: int = STATES, passes: int = PASSES, block_byt
     blocks = packing.pack(docs, size=block_bytes)
     answers, n_b, v_b, ends = word_counts(blocks)
     n_tokens, n_types = int(n_b.sum()) + ends, int(v_b.sum()) + (ends > 0)
-    overall = np.r_[n_b + 0.5, ends + 0.5]
-    overall /= overall.sum()
-    model = begin(seeds(docs), overall, states, SEED_PASSES)
+    unseen = np.r_[v_b + 1, 1.0]
+    overall = np.r_[n_b, ends] + unseen
+    model = begin(seeds(docs), overall / overall.sum(), unseen, states, SEED_PASSES)
     for _ in range(passes):
-        model = train(blocks, model, overall)
+        model = train(blocks, model, unseen)
     weight = n_b + v_b + 1
     unit = np.log10(n_tokens + n_types + 1)
 

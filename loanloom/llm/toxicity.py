@@ -4,8 +4,9 @@ Terms are words, runs of letters in lower case, and their first four and five by
 generalise to unseen forms. Every term has a weight and a vector; the score of a text is the
 logistic of the bias, the weights of its terms and the products of all pairs of
 their vectors, so that two terms may mean together what neither means alone. The sum over pairs
-takes one pass: half of the squared sum less the sum of squares. Present terms share a unit of
-length, so that long texts are comparable.
+takes one pass: half of the squared sum less the sum of squares. Only terms take part whose
+share of toxic texts is further from the overall share than chance explains; weights with
+little evidence stay 0 (follow the regularised leader), so that long texts gather no noise.
 
 The model is fitted on at most FIT_ROWS labelled rows, chosen by a hash of the id; the rows
 whose CRC-32 of the id as text is 2 modulo 4 are never among them. It has 2 ** BITS weights and
@@ -32,8 +33,11 @@ from loanloom.llm.session import ship_package
 BITS, FACTORS = 18, 4
 #: Most labelled rows and bytes of their texts that a model is fitted on.
 FIT_ROWS, FIT_BYTES = 12_000, 20_000
-#: Labelled texts a term must occur in; passes over the rows; rows of a step; rate; decay of weights.
-LEAST_TEXTS, PASSES, BATCH, RATE, DECAY = 3, 12, 32, 0.3, 1e-6
+#: A term is used if it is in so many labelled texts, and its toxic ones miss their expected
+#: number by more than so many standard deviations and one text.
+LEAST_TEXTS, DEVIATIONS = 3, 3.0
+#: Passes over the rows, rows of a step; rate and penalties of the weights, rate and decay of the vectors.
+PASSES, BATCH, RATE, L1, L2, VECTOR_RATE, DECAY = 6, 32, 0.5, 0.5, 0.5, 2e-2, 1e-4
 PREFIXES = (4, 5)
 TOXIC = 0.3
 
@@ -67,56 +71,59 @@ class Machine:
         """The probability of label 1 for texts 0 .. n - 1."""
         use = self.known[term]
         text, term = text[use], term[use]
-        unit = 1 / np.sqrt(np.maximum(np.bincount(text, minlength=n), 1))
-        total = self.bias + unit * np.bincount(text, self.weight[term], n)
+        total = self.bias + np.bincount(text, self.weight[term], n)
         for f in self.factor.T:
             v = f[term]
-            total += 0.5 * unit**2 * (np.bincount(text, v, n) ** 2 - np.bincount(text, v * v, n))
+            total += 0.5 * (np.bincount(text, v, n) ** 2 - np.bincount(text, v * v, n))
         return 1 / (1 + np.exp(-np.clip(total, -60, 60)))
 
 
+def telling(term_lists: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """True for the terms that tell toxic texts from others."""
+    size, share = 1 << BITS, labels.mean()
+    counts, toxic = np.zeros(size), np.zeros(size)
+    for x, label in zip(term_lists, labels, strict=True):
+        counts[x] += 1
+        toxic[x] += label
+    usual = counts * share
+    return (counts >= LEAST_TEXTS) & (np.abs(toxic - usual) > DEVIATIONS * np.sqrt(usual * (1 - share)) + 1)
+
+
 def fit(term_lists: list[np.ndarray], labels: np.ndarray, seed: int = 5) -> Machine:
-    """Logistic loss, by stochastic steps with a rate of its own for every parameter."""
+    """Logistic loss; weights by the proximal leader, vectors by steps with rates of their own."""
     size = 1 << BITS
-    counts = np.zeros(size, np.int64)
-    for x in term_lists:
-        counts[x] += 1
-    known = counts >= min(LEAST_TEXTS, max(1, len(term_lists) // 50))
-    random = np.random.default_rng(seed)
+    weight, factor = np.zeros(size), np.zeros((size, FACTORS))
     share = float(labels.mean()) if len(labels) else 0.0
-    bias = float(np.log((share + 1e-3) / (1 - share + 1e-3)))
-    weight, factor = np.zeros(size, np.float32), np.zeros((size, FACTORS), np.float32)
     if not 0 < share < 1:
-        return Machine(bias if share else -60.0, weight, factor, known)
-    factor[known] = random.normal(0, 0.05, (int(known.sum()), FACTORS))
-    sum_w, sum_v, sum_b = np.full(size, 1e-2, np.float32), np.full((size, FACTORS), 1e-2, np.float32), 1e-2
+        return Machine(60.0 if share else -60.0, weight, factor, np.zeros(size, bool))
+    random, bias = np.random.default_rng(seed), float(np.log(share / (1 - share)))
+    known = telling(term_lists, labels)
     term_lists = [x[known[x]] for x in term_lists]
+    factor[known] = random.normal(0, 0.01, (int(known.sum()), FACTORS))
+    pull, sum_w, sum_v = np.zeros(size), np.zeros(size), np.full((size, FACTORS), 1e-2)
     for _ in range(PASSES):
         order = random.permutation(len(labels))
         for a in range(0, len(order), BATCH):
             rows = order[a : a + BATCH]
             lists = [term_lists[r] for r in rows]
-            lengths = np.array([len(x) for x in lists])
-            term, text = np.concatenate(lists), np.repeat(np.arange(len(rows)), lengths)
-            unit = 1 / np.sqrt(np.maximum(lengths, 1))
-            x = unit[text].astype(np.float32)
+            term, text = np.concatenate(lists), np.repeat(np.arange(len(rows)), [len(x) for x in lists])
             v = factor[term]
-            sums = np.stack([np.bincount(text, v[:, f] * x, len(rows)) for f in range(FACTORS)], 1)
-            squares = np.bincount(text, (v * v).sum(1) * x * x, len(rows))
-            total = bias + np.bincount(text, weight[term] * x, len(rows)) + 0.5 * ((sums**2).sum(1) - squares)
+            sums = np.stack([np.bincount(text, v[:, f], len(rows)) for f in range(FACTORS)], 1)
+            pairs = 0.5 * ((sums**2).sum(1) - np.bincount(text, (v * v).sum(1), len(rows)))
+            total = bias + np.bincount(text, weight[term], len(rows)) + pairs
             error = 1 / (1 + np.exp(-np.clip(total, -60, 60))) - labels[rows]
-            each = (error[text] * x).astype(np.float32)
             used, place = np.unique(term, return_inverse=True)
-            grad_w = np.bincount(place, each, len(used)) + DECAY * weight[used]
-            slope = each[:, None] * (sums[text] - v * x[:, None])
-            grad_v = np.stack([np.bincount(place, slope[:, f], len(used)) for f in range(FACTORS)], 1) + DECAY * factor[used]
-            sum_w[used] += grad_w**2
-            sum_v[used] += grad_v**2
-            weight[used] -= RATE * grad_w / np.sqrt(sum_w[used])
-            factor[used] -= 0.1 * RATE * grad_v / np.sqrt(sum_v[used])
-            sum_b += error.sum() ** 2
-            bias -= 0.1 * RATE * error.sum() / np.sqrt(sum_b)
-    return Machine(bias, weight, factor, known)
+            slope = np.bincount(place, error[text], len(used))
+            grown = np.sqrt(sum_w[used] + slope**2)
+            pull[used] += slope - (grown - np.sqrt(sum_w[used])) / RATE * weight[used]
+            sum_w[used] += slope**2
+            beyond = np.sign(pull[used]) * np.maximum(np.abs(pull[used]) - L1, 0)
+            weight[used] = -beyond / ((1 + grown) / RATE + L2)
+            slopes = error[text][:, None] * (sums[text] - v)
+            slopes = np.stack([np.bincount(place, slopes[:, f], len(used)) for f in range(FACTORS)], 1) + DECAY * factor[used]
+            sum_v[used] += slopes**2
+            factor[used] -= VECTOR_RATE * slopes / np.sqrt(sum_v[used])
+    return Machine(bias, weight.astype(np.float32), factor.astype(np.float32), known)
 
 
 def sample(docs: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> tuple[list[np.ndarray], np.ndarray]:
