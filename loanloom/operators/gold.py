@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from loanloom.functions import columns as C
 from loanloom.functions.naming import quote, require_distinct, share_name, status_part, text, type_part
-from loanloom.plans.skew import HOT_ROWS, wide_aggregate
+from loanloom.plans.skew import HOT_PARTS, wide_aggregate
 from loanloom.specs import BOOK, BookSpec, LINEAGE_COLUMNS, STATISTICS
 
 
@@ -66,7 +66,7 @@ def _history_columns(spec: BookSpec) -> list[str]:
 
 
 def segment_stats(
-    history: DataFrame, segment: str, spec: BookSpec = BOOK, hot_rows: int = HOT_ROWS
+    history: DataFrame, segment: str, spec: BookSpec = BOOK, hot_parts: int = HOT_PARTS
 ) -> DataFrame:
     """Min, max, mean and sum of each indicator over the segment's rows, per entity.
 
@@ -79,7 +79,7 @@ def segment_stats(
         spec.key,
         _segment_buffers(segment, spec),
         prepare=lambda part: ratios(part, spec),
-        hot_rows=hot_rows,
+        hot_parts=hot_parts,
     )
     return folded.select(spec.key, *_segment_features(segment, spec))
 
@@ -182,7 +182,7 @@ def book(
     history: DataFrame,
     types: Sequence[str] | None = None,
     spec: BookSpec = BOOK,
-    hot_rows: int = HOT_ROWS,
+    hot_parts: int = HOT_PARTS,
 ) -> DataFrame:
     """All features of every entity with history: one wide aggregation and one narrow.
 
@@ -204,7 +204,7 @@ def book(
         spec.key,
         [b for segment in spec.segments for b in _segment_buffers(segment, spec)],
         prepare=lambda part: ratios(part, spec),
-        hot_rows=hot_rows,
+        hot_parts=hot_parts,
     )
     meta_names = [c for c in counted.columns if c not in (spec.key, *counts)]
     return counted.join(folded, spec.key).select(

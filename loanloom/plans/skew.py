@@ -15,23 +15,17 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A task folds this many rows of one key without trouble.
-HOT_ROWS = 200_000
-#: Bound on the list of hot keys, which is broadcast. When more keys are hot than
-#: this, the hottest are listed; each of the others holds less than a 10 000th of all
-#: rows, and the plain way gives their exact result too.
-MAX_HOT_KEYS = 10_000
+#: A key is hot when it holds more than one part in so many of all rows. Fewer keys than
+#: this can be hot, whatever the table, so their list is bounded and complete; any
+#: other key brings at most this share of the rows into one task.
+HOT_PARTS = 1_000
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The keys with more than `hot_rows` rows, at most MAX_HOT_KEYS of them."""
+def hot_keys(df: DataFrame, key: str, hot_parts: int = HOT_PARTS) -> DataFrame:
+    """The keys that hold more than 1 / `hot_parts` of the rows."""
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return (
-        counted.filter(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"), key)
-        .limit(MAX_HOT_KEYS)
-        .select(key)
-    )
+    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return counted.filter(F.col("_rows") * hot_parts > total).select(key)
 
 
 def wide_aggregate(
@@ -39,7 +33,7 @@ def wide_aggregate(
     key: str,
     aggregates: Sequence[Column],
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
-    hot_rows: int = HOT_ROWS,
+    hot_parts: int = HOT_PARTS,
 ) -> DataFrame:
     """`prepare(df).groupBy(key).agg(*aggregates)`, hash-partitioned by `key`.
 
@@ -54,8 +48,8 @@ def wide_aggregate(
     def folded(rows: DataFrame) -> DataFrame:
         return prepare(rows).groupBy(key).agg(*aggregates)
 
-    found = hot_keys(df, key, hot_rows)
-    hot = found.collect()
+    found = hot_keys(df, key, hot_parts)
+    hot = found.collect()  # fewer than `hot_parts` keys
     if not hot:
         return folded(df.repartition(key))
     listed = F.broadcast(df.sparkSession.createDataFrame(hot, found.schema))
