@@ -67,17 +67,10 @@ def paths(messages: DataFrame, branches: int | None = None) -> DataFrame:
     nodes = nodes.select("tree", "message", F.col("m2").alias("up"), F.col("score").alias("total"), F.lit(1).cast("long").alias("length"))
     jumps = [stored(nodes, "jumps")]
     while not jumps[-1].filter("up IS NOT NULL").isEmpty():
-        above = jumps[-1].select(F.col("tree").alias("t2"), F.col("message").alias("m2"), F.col("up").alias("up2"), F.col("total").alias("total2"), F.col("length").alias("length2"))
-        joined = jumps[-1].join(above, same & (F.col("up") == F.col("m2")), "left")
-        nothing = F.lit(0)
-        joined = joined.select(
-            "tree",
-            "message",
-            F.col("up2").alias("up"),
-            (F.col("total") + F.coalesce("total2", nothing)).alias("total"),
-            (F.col("length") + F.coalesce("length2", nothing)).alias("length"),
-        )
-        jumps.append(stored(joined, "jumps"))
+        above = jumps[-1].toDF("t2", "m2", "up2", "total2", "length2")
+        joined = jumps[-1].filter("up IS NOT NULL").join(above, same & (F.col("up") == F.col("m2")))
+        further = joined.select("tree", "message", F.col("up2").alias("up"), (F.col("total") + F.col("total2")).alias("total"), (F.col("length") + F.col("length2")).alias("length"))
+        jumps.append(stored(further.unionByName(jumps[-1].filter("up IS NULL")), "jumps"))
     parents = jumps[0].filter("up IS NOT NULL").select(F.col("tree").alias("t2"), F.col("up").alias("m2")).distinct()
     leaves = jumps[-1].join(parents, same & (F.col("message") == F.col("m2")), "left_anti")
     if branches is not None:
@@ -85,9 +78,13 @@ def paths(messages: DataFrame, branches: int | None = None) -> DataFrame:
         leaves = leaves.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= branches)
     found = leaves.select(tree, F.col("message").alias("leaf"), "message", F.col("length").alias("place"))
     for k in reversed(range(len(jumps) - 1)):
+        # every message goes on, and with it the one 2**k above
         steps = jumps[k].filter("up IS NOT NULL").select(F.col("tree").alias("t2"), F.col("message").alias("m2"), F.col("up"))
-        further = found.join(steps, same & (F.col("message") == F.col("m2")))
-        found = found.unionByName(further.select("tree", "leaf", F.col("up").alias("message"), (F.col("place") - 2**k).alias("place")))
+        stays = F.struct("message", "place")
+        rises = F.struct(F.col("up").alias("message"), (F.col("place") - 2**k).alias("place"))
+        both = F.explode(F.when(F.col("up").isNull(), F.array(stays)).otherwise(F.array(stays, rises)))
+        found = found.join(steps, same & (F.col("message") == F.col("m2")), "left").select("tree", "leaf", both.alias("at"))
+        found = found.select("tree", "leaf", "at.*")
     return found
 
 
