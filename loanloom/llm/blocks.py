@@ -11,6 +11,7 @@ from __future__ import annotations
 import io
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -41,12 +42,41 @@ def from_ipc(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(data).read_all()
 
 
-def n_buckets(docs: DataFrame, text_col: str = "text") -> int:
-    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    return max(1, -(-total // BUCKET_BYTES))
+@dataclass(frozen=True)
+class Blocks:
+    """The table of blocks, its number of buckets, and the bytes of all texts."""
+
+    table: DataFrame
+    buckets: int
+    size: int
+
+    def without_rest(self) -> "Blocks":
+        return replace(self, table=self.table.drop("rest"))
+
+    def groups(self) -> int:
+        """Groups that keys are dealt to, so that a group's keys fit in memory."""
+        return max(1, -(-self.size // GROUP_BYTES))
+
+    def with_answers(self, answers: DataFrame, columns: list[str]) -> "Blocks":
+        """Adds the lists of all answers to each block; only the answers are moved."""
+        dealt = answers.withColumnRenamed("block", "_to").repartition(self.buckets, "_to")
+        listed = dealt.groupBy("_to").agg(*[F.collect_list(c).alias(c) for c in columns])
+        joined = self.table.join(listed.hint("shuffle_hash"), F.col("block") == F.col("_to"), "left")
+        return replace(self, table=joined.drop("_to"))
 
+    def map(self, fn: Callable, schema: str) -> DataFrame:
+        """The record batches that `fn(row)` yields for each block, given as a dict of its columns."""
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = BLOCK_BYTES) -> DataFrame:
+        def run(batches):
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    yield from fn({c: batch[c][k].as_py() for c in batch.schema.names})
+
+        ship_package(self.table.sparkSession)
+        return self.table.mapInArrow(run, schema)
+
+
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = BLOCK_BYTES) -> Blocks:
     """block, ids, offsets, text and the other columns (`rest`) of blocks of documents.
 
     Inside a block the documents are in the order of their ids, null last. A longer text
@@ -85,7 +115,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
             yield packed(pa.Table.from_batches(waiting), k)
 
     blocks = docs.mapInArrow(run, "block long, ids binary, offsets binary, text binary, rest binary")
-    return bucketed(blocks, n_buckets(docs, text_col))
+    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    buckets = max(1, -(-total // BUCKET_BYTES))
+    return Blocks(bucketed(blocks, buckets), buckets, total)
 
 
 def bucketed(blocks: DataFrame, n: int) -> DataFrame:
@@ -97,12 +129,6 @@ def bucketed(blocks: DataFrame, n: int) -> DataFrame:
     return blocks.sparkSession.table(name)
 
 
-def with_answers(blocks: DataFrame, answers: DataFrame, columns: list[str]) -> DataFrame:
-    """`blocks` with the lists of all answers to each; only the answers are moved."""
-    listed = answers.groupBy(F.col("block").alias("_to")).agg(*[F.collect_list(c).alias(c) for c in columns])
-    return blocks.join(listed.hint("shuffle_hash"), F.col("block") == F.col("_to"), "left").drop("_to")
-
-
 def groups_of(keys: np.ndarray, n_groups: int) -> np.ndarray:
     """The group of each 64-bit key, by its upper half, so that equal keys meet."""
     return ((keys >> np.uint64(32)) * np.uint64(n_groups) >> np.uint64(32)).astype(np.int64)
@@ -115,20 +141,8 @@ def split_sorted(keys: np.ndarray, n_groups: int) -> list[tuple[int, int, int]]:
     return [(int(found[a]), int(a), int(b)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
-def grouped(table: pa.Table, column: str, dtype, width: int = 1) -> tuple[np.ndarray, np.ndarray]:
+def grouped(table: pa.Table, column: str, dtype) -> tuple[np.ndarray, np.ndarray]:
     """The entries of all rows of a group one after the other, and the row each comes from."""
     parts = [np.frombuffer(x, dtype) for x in table[column].to_pylist()]
-    rows = np.repeat(np.arange(len(parts)), [len(p) // width for p in parts])
+    rows = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
     return np.concatenate(parts) if parts else np.zeros(0, dtype), rows
-
-
-def map_blocks(blocks: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """The record batches that `fn(row)` yields for each block, given as a dict of its columns."""
-
-    def run(batches):
-        for batch in batches:
-            for k in range(batch.num_rows):
-                yield from fn({c: batch[c][k].as_py() for c in batch.schema.names})
-
-    ship_package(blocks.sparkSession)
-    return blocks.mapInArrow(run, schema)

@@ -22,7 +22,7 @@ training documents all words are unknown.
 from __future__ import annotations
 
 import zlib
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -212,11 +212,10 @@ def log_likelihoods(tokens: np.ndarray, first: np.ndarray, model: Model) -> np.n
     return out
 
 
-def word_counts(blocks: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray, int]:
+def word_counts(blocks: packing.Blocks) -> tuple[DataFrame, np.ndarray, np.ndarray, int]:
     """Answers (block, part) with the training count of each distinct word of a block, in the order
     of word codes; words and distinct words per bucket; training documents."""
-    total = blocks.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_groups = max(1, -(-total // packing.GROUP_BYTES))
+    n_groups = blocks.groups()
 
     def ask(row):
         texts = Texts(row)
@@ -242,7 +241,7 @@ def word_counts(blocks: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray, i
         parts = [found[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
         return pa.table({"grp": pa.array(grp, pa.int64()), "block": pa.array([*table["block"].to_pylist(), None], pa.int64()), "counts": pa.array([*parts, sums], pa.binary())})
 
-    asked = packing.map_blocks(blocks.drop("rest"), ask, "grp long, block long, keys binary, counts binary")
+    asked = blocks.without_rest().map(ask, "grp long, block long, keys binary, counts binary")
     answers = stored(asked.groupBy("grp").applyInArrow(add, "grp long, block long, counts binary"), "word-counts")
 
     def bucket_rows(batches):
@@ -260,7 +259,7 @@ def word_counts(blocks: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray, i
     def trained(row):
         yield pa.RecordBatch.from_arrays([pa.array([int((~np.array([held_out(i) for i in np.frombuffer(row["ids"], np.int64)], bool)).sum())], pa.int64())], ["n"])
 
-    ends = packing.map_blocks(blocks.select("ids"), trained, "n long").agg(F.sum("n")).first()[0] or 0
+    ends = replace(blocks, table=blocks.table.select("ids")).map(trained, "n long").agg(F.sum("n")).first()[0] or 0
     answers = answers.filter("block IS NOT NULL").select("block", F.struct("grp", "counts").alias("part"))
     return answers, n, v, int(ends)
 
@@ -289,7 +288,7 @@ def begin(texts: list[bytes], overall: np.ndarray, unseen: np.ndarray, states: i
     return model
 
 
-def train(blocks: DataFrame, model: Model, unseen: np.ndarray) -> Model:
+def train(blocks: packing.Blocks, model: Model, unseen: np.ndarray) -> Model:
     """One Baum-Welch pass over all training documents."""
     states = len(model.start)
     shapes = [(states,), (states, states), (SYMBOLS + 1, states)]
@@ -304,7 +303,7 @@ def train(blocks: DataFrame, model: Model, unseen: np.ndarray) -> Model:
         used = np.flatnonzero(flat)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(flat[used])], ["i", "value"])
 
-    found = blocks.select("ids", "text", "offsets").mapInArrow(run, "i long, value double").groupBy("i").agg(F.sum("value").alias("value"))
+    found = blocks.table.select("ids", "text", "offsets").mapInArrow(run, "i long, value double").groupBy("i").agg(F.sum("value").alias("value"))
     flat = np.zeros(sum(int(np.prod(s)) for s in shapes))
     rows = found.toArrow()  # one number for each parameter
     flat[np.asarray(rows["i"].combine_chunks())] = np.asarray(rows["value"].combine_chunks())
@@ -349,4 +348,4 @@ def score(docs: DataFrame, states: int = STATES, passes: int = PASSES, block_byt
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return packing.map_blocks(packing.with_answers(blocks.drop("rest"), answers, ["part"]), run, schema)
+    return blocks.without_rest().with_answers(answers, ["part"]).map(run, schema)

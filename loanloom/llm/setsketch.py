@@ -10,8 +10,8 @@ maxima of registers, and equal registers are as likely as sets are similar.
 3. Pairs go on if their sizes allow the link and the likelihood of their registers, taken
    jointly over larger, smaller and equal ones, peaks near it or above.
 4. The survivors are compared on full sets: one side's set travels, once for each block.
-5. Where a bucket still holds several components, its other pairs across components are
-   estimated in chunks and verified likewise, so that no link is lost to step 2.
+5. Where a bucket still holds several components, all its pairs across components are
+   compared on full sets, chunk by chunk, so that no link is lost to step 2.
 
 Shingles are 64-bit hashes. Null, empty and blank texts have an empty set and no links; with fewer
 than five words the whole sequence is the only shingle. Repeated rows are in one class. A null
@@ -41,8 +41,8 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, LARGEST = 1.001, 20.0, 65_535
 #: Estimates miss by 0.16, five standard deviations of 125 registers, in 3 cases of 10 million.
 MARGIN = 0.16
-#: Classes of a bucket that are compared with each other at a time.
-CHUNK = 512
+#: Classes of a bucket that are compared with each other at a time, and shared elements.
+CHUNK, COLUMNS = 256, 8_192
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -123,11 +123,7 @@ def likeliest(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return (low + high) / 2
 
 
-def _sizes_allow(n_a, n_b):
-    return (100 * np.minimum(n_a, n_b)) >= LINK * np.maximum(n_a, n_b)
-
-
-def sketches(blocks: DataFrame) -> DataFrame:
+def sketches(blocks: packing.Blocks) -> DataFrame:
     """row, id, n, the digest a, b and the registers of every document; no registers for empty sets."""
 
     def run(block):
@@ -141,7 +137,7 @@ def sketches(blocks: DataFrame) -> DataFrame:
         columns.append(pa.array([r.tobytes() if s else None for r, s in zip(registers, some, strict=True)], pa.binary()))
         yield pa.RecordBatch.from_arrays(columns, ["row", "id", "n", "a", "b", "registers"])
 
-    return packing.map_blocks(blocks.drop("rest"), run, "row long, id long, n long, a long, b long, registers binary")
+    return blocks.without_rest().map(run, "row long, id long, n long, a long, b long, registers binary")
 
 
 def _register_rows(column) -> np.ndarray:
@@ -184,26 +180,30 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.select("u", "v", "n_u", "n_v", "r_u", "r_v").mapInArrow(run, "u long, v long")
 
 
-def verified(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose full sets make a link.
-
-    The sets of the v's are read from their blocks and sent to the blocks of the u's, once
-    for each block and v.
-    """
+def sets_of(rows: DataFrame, blocks: packing.Blocks) -> DataFrame:
+    """_row and the full set of the given rows, read from their blocks."""
     bits = packing.PLACE_BITS
-    asked = pairs.select(F.col("v").alias("row")).distinct().select(F.shiftright("row", bits).alias("block"), "row")
 
     def read(block):
         if block["row"]:
-            sets = Sets(block)
-            at = np.array(block["row"])
+            sets, at = Sets(block), np.array(block["row"])
             found = [sets.of(r - (block["block"] << bits)).tobytes() for r in at]
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(found, pa.binary())], ["_v", "set"])
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(found, pa.binary())], ["_row", "set"])
+
+    asked = rows.select("row").distinct().select(F.shiftright("row", bits).alias("block"), "row")
+    return blocks.without_rest().with_answers(asked, ["row"]).map(read, "_row long, set binary")
+
 
-    found = packing.map_blocks(packing.with_answers(blocks.drop("rest"), asked, ["row"]), read, "_v long, set binary")
+def verified(pairs: DataFrame, blocks: packing.Blocks) -> DataFrame:
+    """The pairs (u, v) whose full sets make a link.
+
+    The sets of the v's are read from their blocks and sent to the blocks of the u's, once
+    for each block and v.
+    """
+    bits = packing.PLACE_BITS
+    found = sets_of(pairs.select(F.col("v").alias("row")), blocks)
     by_block = pairs.groupBy(F.shiftright("u", bits).alias("block"), "v").agg(F.collect_list("u").alias("u"))
-    sent = by_block.join(found, F.col("v") == F.col("_v"))
-    sent = sent.select("block", F.struct("v", "u", "set").alias("ask"))
+    sent = by_block.join(found, F.col("v") == F.col("_row")).select("block", F.struct("v", "u", "set").alias("ask"))
 
     def compare(block):
         if not block["ask"]:
@@ -213,52 +213,78 @@ def verified(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
             other = np.frombuffer(ask["set"], np.uint64)
             for u in ask["u"]:
                 own = sets.of(u - (block["block"] << bits))
-                if not _sizes_allow(len(own), len(other)):
-                    continue
                 common = len(np.intersect1d(own, other, assume_unique=True))
                 if 100 * common >= LINK * (len(own) + len(other) - common):
                     out.append((u, ask["v"]))
         yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["u", "v"])
 
-    return packing.map_blocks(packing.with_answers(blocks.drop("rest"), sent, ["ask"]), compare, "u long, v long")
+    return blocks.without_rest().with_answers(sent, ["ask"]).map(compare, "u long, v long")
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every left with every right set, on the shared elements."""
+    element = np.concatenate([*left, *right])
+    sets = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
+    _, column, times = np.unique(element, return_inverse=True, return_counts=True)
+    use = times[column] > 1
+    column = (np.cumsum(times > 1) - 1)[column[use]]
+    out, rows, n = np.zeros((len(left), len(right)), np.float32), sets[use], int((times > 1).sum())
+    for a in range(0, n, COLUMNS):
+        part = (column >= a) & (column < a + COLUMNS)
+        matrix = np.zeros((len(left) + len(right), min(COLUMNS, n - a)), np.float32)
+        matrix[rows[part], column[part] - a] = 1
+        out += matrix[: len(left)] @ matrix[len(left) :].T
+    return out.astype(np.int64)
 
 
-def unsettled(members: DataFrame, labels: DataFrame, classes: DataFrame, chunk: int) -> DataFrame:
-    """Likely pairs across components from buckets of three or more classes; those with the
-    bucket's smallest class were compared before.
+def links_across(members: DataFrame, labels: DataFrame, blocks: packing.Blocks, chunk: int) -> DataFrame:
+    """Links (u, v) across components inside buckets of three or more classes that hold several
+    components, as many as join them.
 
-    `members` has key, row, hub and the bucket's size; a bucket is compared chunk by chunk.
+    `members` has key, row, hub and the bucket's size. Pairs with the hub were settled
+    before; all others are compared on full sets, chunk by chunk.
     """
     known = members.filter("size > 2").join(labels, F.col("row") == F.col("node"), "left")
     known = known.withColumn("label", F.coalesce("label", "row")).drop("node")
     mixed = known.groupBy(F.col("key").alias("_key")).agg(F.min("label").alias("_l"), F.max("label").alias("_m"), F.min("size").alias("_size"))
-    mixed = mixed.filter("_l < _m")
-    rows = known.filter("row <> hub").join(mixed, F.col("key") == F.col("_key")).withColumn("chunks", F.ceil(F.col("_size") / chunk).cast("int"))
+    rows = known.filter("row <> hub").join(mixed.filter("_l < _m"), F.col("key") == F.col("_key"))
+    rows = stored(rows.select("key", "row", "label", F.ceil(F.col("_size") / chunk).cast("int").alias("chunks")), "mixed-buckets")
+    found = stored(sets_of(rows, blocks), "sets")
     rows = rows.withColumn("c", F.pmod(F.xxhash64("row"), F.col("chunks")).cast("int"))
     rows = rows.withColumn("d", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     rows = rows.select("key", "row", "label", "c", F.least("c", "d").alias("i"), F.greatest("c", "d").alias("j"))
-    with_registers = rows.join(classes.select(F.col("row").alias("_row"), "n", "registers"), F.col("row") == F.col("_row")).drop("_row")
+    rows = rows.join(found, F.col("row") == F.col("_row")).drop("_row")
 
     def run(table):
-        registers, n, row, label, c = _register_rows(table["registers"]), *(_numbers(table[x]) for x in ("n", "row", "label", "c"))
+        row, label, c = (_numbers(table[x]) for x in ("row", "label", "c"))
+        sets = [np.frombuffer(x, np.uint64) for x in table["set"].to_pylist()]
         i, j = _numbers(table["i"])[0], _numbers(table["j"])[0]
         left, right = np.flatnonzero(c == i), np.flatnonzero(c == j)
         u, v = [], []
-        for x in left:
-            ys = right[(label[right] != label[x]) & _sizes_allow(n[right], n[x])]
-            ys = ys[row[ys] > row[x]] if i == j else ys
-            if len(ys):
-                found = likeliest(registers[ys], np.broadcast_to(registers[x], (len(ys), REGISTERS)), n[ys], np.full(len(ys), n[x]))
-                ys = ys[found >= LINK / 100 - MARGIN]
-                u.append(np.maximum(row[ys], row[x]))
-                v.append(np.minimum(row[ys], row[x]))
-        u, v = (np.concatenate(p) if p else np.zeros(0, np.int64) for p in (u, v))
+        if len(np.unique(label)) > 1 and len(left) and len(right):
+            common = common_counts([sets[x] for x in left], [sets[x] for x in right])
+            sizes = np.array([len(x) for x in sets])
+            linked = 100 * common >= LINK * (sizes[left][:, None] + sizes[right][None, :] - common)
+            a, b = np.nonzero(linked & (label[left][:, None] != label[right][None, :]))
+            joined = {}
+
+            def root(x):
+                while (up := joined.get(x, x)) != x:
+                    x = up
+                return x
+
+            for x, y in zip(left[a], right[b], strict=True):
+                p, q = root(label[x]), root(label[y])
+                if p != q:  # otherwise the components are joined already
+                    joined[p] = q
+                    u.append(row[x])
+                    v.append(row[y])
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    return with_registers.groupBy("key", "i", "j").applyInArrow(run, "u long, v long").distinct()
+    return rows.groupBy("key", "i", "j").applyInArrow(run, "u long, v long").distinct()
 
 
-def grouped(blocks: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def grouped(blocks: packing.Blocks, chunk: int = CHUNK) -> DataFrame:
     """row, id, n, component (its smallest id) and first (its first row) of every document."""
     everything = stored(sketches(blocks), "sketches")
     some = everything.filter("n > 0")
@@ -274,10 +300,9 @@ def grouped(blocks: DataFrame, chunk: int = CHUNK) -> DataFrame:
     pairs = members.filter("row <> hub").select(F.col("row").alias("u"), F.col("hub").alias("v")).distinct()
     links = stored(verified(stored(likely(pairs, classes), "pairs"), blocks), "links")
     labels = stored(components(links), "labels")
-    rest = stored(unsettled(members, labels, classes, chunk), "more-pairs")
-    if not rest.isEmpty():
-        links = links.unionByName(stored(verified(rest, blocks), "more-links"))
-        labels = stored(components(links), "labels")
+    more = stored(links_across(members, labels, blocks, chunk), "more-links")
+    if not more.isEmpty():
+        labels = stored(components(links.unionByName(more)), "labels")
 
     label = labels.select("node", "label")
     of_class = of_class.join(label, F.col("class") == F.col("node"), "left").withColumn("label", F.coalesce("label", "class"))
@@ -316,4 +341,4 @@ def deduplicated(docs: DataFrame, block_bytes: int = packing.BLOCK_BYTES, chunk:
             table = table.take(pa.array(places)).append_column("text", pa.array(texts, pa.string()))
             yield from table.select(names).combine_chunks().to_batches()
 
-    return packing.map_blocks(packing.with_answers(blocks, stored(first, "kept"), ["row"]), run, docs.schema)
+    return blocks.with_answers(stored(first, "kept"), ["row"]).map(run, docs.schema)

@@ -111,7 +111,7 @@ class Block:
         return self.data[self.offsets[d] : self.offsets[d + 1]]
 
 
-def whole_copies(blocks: DataFrame, size: int) -> DataFrame:
+def whole_copies(blocks: packing.Blocks, size: int) -> DataFrame:
     """block and the places of documents whose words equal those of a smaller id."""
 
     def digests(row):
@@ -121,7 +121,7 @@ def whole_copies(blocks: DataFrame, size: int) -> DataFrame:
         columns = [a, b, block.ids[use], np.full(len(use), row["block"], np.int64), use.astype(np.int32)]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "id", "block", "place"])
 
-    found = packing.map_blocks(blocks.drop("rest"), digests, "a long, b long, id long, block long, place int")
+    found = blocks.without_rest().map(digests, "a long, b long, id long, block long, place int")
     found = stored(found, "digests")
     ends = found.groupBy(F.col("a").alias("_a"), F.col("b").alias("_b")).agg(F.min("id").alias("_least"), F.max("id").alias("_most"))
     later = found.join(ends.filter("_least < _most"), (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")) & (F.col("id") > F.col("_least")))
@@ -133,8 +133,9 @@ def whole_copies(blocks: DataFrame, size: int) -> DataFrame:
     return later.select("block", "place").groupBy("block").applyInArrow(packed, "block long, copies binary")
 
 
-def repeated_grams(blocks: DataFrame, size: int, gram: int, n_groups: int) -> DataFrame:
+def repeated_grams(blocks: packing.Blocks, size: int, gram: int) -> DataFrame:
     """block and those smallest grams of its windows that another block has too."""
+    n_groups = blocks.groups()
 
     def ask(row):
         block = Block(row, size)
@@ -152,7 +153,7 @@ def repeated_grams(blocks: DataFrame, size: int, gram: int, n_groups: int) -> Da
         twice[order[:-1][same]] = True
         return answers(table, "repeated", rows[twice], keys[twice])
 
-    asked = packing.map_blocks(blocks.drop("rest"), ask, "grp long, block long, keys binary")
+    asked = blocks.without_rest().map(ask, "grp long, block long, keys binary")
     return asked.groupBy("grp").applyInArrow(common, "block long, repeated binary")
 
 
@@ -172,7 +173,7 @@ def prefixes(codes: np.ndarray, at: np.ndarray, size: int):
             yield d + 1, value
 
 
-def crowded_prefixes(blocks: DataFrame, size: int, n_bins: int, limit: int) -> dict[int, np.ndarray]:
+def crowded_prefixes(blocks: packing.Blocks, size: int, n_bins: int, limit: int) -> dict[int, np.ndarray]:
     """For each prefix length the bins that more than `limit` suffixes share.
 
     Their number is at most the number of suffixes over `limit`, for each length.
@@ -190,7 +191,7 @@ def crowded_prefixes(blocks: DataFrame, size: int, n_bins: int, limit: int) -> d
             used = np.flatnonzero(found)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(used), d, np.int32)), pa.array(used), pa.array(found[used])], ["d", "bin", "n"])
 
-    counted = blocks.drop("rest").mapInArrow(run, "d int, bin long, n long")
+    counted = blocks.without_rest().table.mapInArrow(run, "d int, bin long, n long")
     found = counted.groupBy("d", "bin").agg(F.sum("n").alias("n")).filter(F.col("n") > limit).collect()
     out: dict[int, list[int]] = {}
     for row in found:
@@ -202,7 +203,7 @@ def _suffix(size: int) -> np.dtype:
     return np.dtype([("words", "<u2", (size,)), ("hash", "<u8"), ("id", "<i8"), ("place", "<i4")])
 
 
-def suffixes(blocks: DataFrame, size: int, gram: int, crowded: dict[int, np.ndarray], n_bins: int) -> DataFrame:
+def suffixes(blocks: packing.Blocks, size: int, gram: int, crowded: dict[int, np.ndarray], n_bins: int) -> DataFrame:
     """grp, block and the packed suffixes that may have leaves in another block."""
 
     def run(row):
@@ -233,7 +234,7 @@ def suffixes(blocks: DataFrame, size: int, gram: int, crowded: dict[int, np.ndar
         packed = [out[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
         yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array(packed, pa.binary())], ["grp", "block", "suffixes"])
 
-    return packing.map_blocks(blocks.drop("rest"), run, "grp long, block long, suffixes binary")
+    return blocks.without_rest().map(run, "grp long, block long, suffixes binary")
 
 
 def subtree(found: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -271,20 +272,18 @@ def repeats(packed: DataFrame, size: int) -> DataFrame:
     return packed.groupBy("grp").applyInArrow(run, "block long, leaves binary")
 
 
-def settled(docs: DataFrame, size: int, block_bytes: int, group_suffixes: int) -> DataFrame:
+def settled(docs: DataFrame, size: int, block_bytes: int, group_suffixes: int) -> packing.Blocks:
     """The blocks of `docs` with `copies` and `leaves`, which say what to remove."""
     gram = min(GRAM, size)
     blocks = packing.pack(docs, size=block_bytes)
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     copied = stored(whole_copies(blocks, size), "copies")
-    known = packing.with_answers(blocks, copied, ["copies"])
-    n_groups = max(1, -(-total // packing.GROUP_BYTES))
-    n_bins = max(1, BINS_PER_GROUP * -(-total // (6 * group_suffixes)))
+    known = blocks.with_answers(copied, ["copies"])
+    n_bins = max(1, BINS_PER_GROUP * -(-blocks.size // (6 * group_suffixes)))
     crowded = crowded_prefixes(known, size, n_bins, group_suffixes)
-    repeated = stored(repeated_grams(known, size, gram, n_groups), "grams")
-    asked = packing.with_answers(blocks, copied.unionByName(repeated, allowMissingColumns=True), ["copies", "repeated"])
+    repeated = stored(repeated_grams(known, size, gram), "grams")
+    asked = blocks.with_answers(copied.unionByName(repeated, allowMissingColumns=True), ["copies", "repeated"])
     leaves = stored(repeats(suffixes(asked, size, gram, crowded, n_bins), size), "leaves")
-    return packing.with_answers(blocks, copied.unionByName(leaves, allowMissingColumns=True), ["copies", "leaves"])
+    return blocks.with_answers(copied.unionByName(leaves, allowMissingColumns=True), ["copies", "leaves"])
 
 
 def _bounds(block: Block, gone: np.ndarray):
@@ -314,7 +313,7 @@ def digests(docs: DataFrame, size: int = SIZE, block_bytes: int = packing.BLOCK_
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     blocks = settled(docs, size, block_bytes, group_suffixes)
-    return packing.map_blocks(blocks.drop("rest"), run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return blocks.without_rest().map(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def deduplicated(docs: DataFrame, size: int = SIZE, block_bytes: int = packing.BLOCK_BYTES, group_suffixes: int = GROUP_SUFFIXES) -> DataFrame:
@@ -349,4 +348,4 @@ def deduplicated(docs: DataFrame, size: int = SIZE, block_bytes: int = packing.B
             columns["n_chars"] = pc.if_else(pa.array(changed), lengths, columns["n_chars"].combine_chunks())
         yield from pa.table({c: columns[c] for c in names}).combine_chunks().to_batches()
 
-    return packing.map_blocks(settled(docs, size, block_bytes, group_suffixes), run, docs.schema)
+    return settled(docs, size, block_bytes, group_suffixes).map(run, docs.schema)
