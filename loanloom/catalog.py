@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanloom.functions.naming import type_part
 from loanloom.operators import evaluate, gold, model, profile, sampling, silver
 from loanloom.plans import pipeline
 from loanloom.sources import raw, sinks, views
@@ -38,8 +38,9 @@ SEGMENT_COLUMNS = ("organization_type", "owns_car", "has_mobile_phone")
 SUMMARY_COLUMNS = ("age_years", "employment_years", "total_income")
 CATEGORY_COLUMNS = ("credit_status", "credit_type", "credit_currency")
 SAMPLE_ROWS = 1000
-#: Trees per model in these queries; the specs hold the full settings.
-TREES = 10
+#: One tree with one split, small enough to be computed in SQL, and its features.
+STUMP = ModelParams(trees=1, depth=1)
+STUMP_FEATURES = ("owns_car", "has_mobile_phone", "document_2_provided")
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -206,6 +207,29 @@ def type_bucket_counts(spark, sf):
     return gold.type_counts(bureau(spark, sf), SAVED_TYPES)
 
 
+def by_rank(df: DataFrame, types: Sequence[str]) -> DataFrame:
+    """Columns of types named by the rank of the type; ranks without a type are 0."""
+    names = {}
+    for i, t in enumerate(types, 1):
+        for end in ("count", "share"):
+            names[f"{BOOK.prefix}_type_{type_part(t)}_{end}"] = f"{BOOK.prefix}_type_rank_{i}_{end}"
+    empty = {"count": F.lit(0).cast("long"), "share": F.lit(0.0)}
+    missing = {
+        f"{BOOK.prefix}_type_rank_{i}_{end}": empty[end]
+        for i in range(len(types) + 1, BOOK.top_n + 1)
+        for end in empty
+        if f"{BOOK.prefix}_type_other_{end}" in df.columns
+    }
+    return df.withColumnsRenamed(names).withColumns(missing)
+
+
+@query
+def type_rank_counts(spark, sf):
+    history = bureau(spark, sf)
+    types = gold.top_type_list(history)
+    return by_rank(gold.type_counts(history, types), types)
+
+
 @query
 def type_bucket_profile(spark, sf):
     return gold.type_profile(bureau(spark, sf))
@@ -221,6 +245,13 @@ def bureau_book(spark, sf):
     return rounded_ratios(book(spark, sf))
 
 
+@query
+def bureau_book_ranked(spark, sf):
+    history = bureau(spark, sf)
+    types = gold.top_type_list(history)
+    return rounded_ratios(by_rank(gold.book(history, types), types))
+
+
 @query
 def feature_dictionary(spark, sf):
     features = book(spark, sf)
@@ -234,6 +265,13 @@ def abt(spark, sf):
     return rounded_ratios(gold.abt(application(spark, sf), book(spark, sf)))
 
 
+@query
+def abt_ranked(spark, sf):
+    history = bureau(spark, sf)
+    types = gold.top_type_list(history)
+    return rounded_ratios(by_rank(gold.abt(application(spark, sf), gold.book(history, types)), types))
+
+
 @query
 def narrow_numeric(spark, sf):
     counted = gold.abt(application(spark, sf), gold.meta(bureau(spark, sf)))
@@ -282,6 +320,13 @@ def target_correlation(spark, sf):
     return rounded(profile.target_correlation(rows, columns), ["correlation"])
 
 
+@query
+def top_correlations(spark, sf):
+    rows = application(spark, sf)
+    columns = profile.numeric_columns(rows, without=["application_id"])
+    return rounded(profile.target_correlation(rows, columns, top=5), ["correlation"])
+
+
 @query
 def histogram_by_target(spark, sf):
     return profile.histogram_by_target(application(spark, sf), "age_years", 0.5)
@@ -340,6 +385,18 @@ def holdout_datasets(spark, sf):
     return counted[0].unionByName(counted[1])
 
 
+@query
+def holdout_datasets_exact(spark, sf):
+    sides = pipeline.holdout(application(spark, sf), fresh_path(spark, "holdout"), stratify="target")
+    counted = [
+        side.groupBy(model.LABEL)
+        .agg(F.count(F.lit(1)).alias("n"), F.max("total_income").alias("max_income"))
+        .select(F.lit(name).alias("split"), "*")
+        for name, side in zip(("train", "validation"), sides)
+    ]
+    return counted[0].unionByName(counted[1])
+
+
 @query
 def category_index(spark, sf):
     rows = bureau(spark, sf).select("application_id", "bureau_credit_id", *CATEGORY_COLUMNS)
@@ -383,7 +440,7 @@ def gbt_score(spark, sf):
     train = rows.filter(F.col("split") == "train")
     features = model.feature_columns(rows)
     labelled = model.model_input(train.drop("split"))
-    fitted = model.fit(labelled, features, ModelParams(trees=TREES))
+    fitted = model.fit(labelled, features, ModelParams())
     return model.score(fitted, rows, ["application_id", "split"])
 
 
@@ -391,7 +448,7 @@ def _ranking(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Importance of every column of the base table, and the book's dictionary."""
     features = book(spark, sf)
     table = written(gold.abt(application(spark, sf), features), "abt")
-    params = replace(RANKING_PARAMS["full_abt"], trees=TREES)
+    params = RANKING_PARAMS["full_abt"]
     layout = pipeline.Layout(fresh_path(spark, "ranking"))
     ranking = pipeline.rank_features(layout, "full_abt", table, params, RANKING_SAMPLE_ROWS)
     return ranking, sinks.feature_dictionary(features, BOOK.key)
@@ -413,7 +470,48 @@ def model_metrics(spark, sf):
     table = written(gold.abt(application(spark, sf), features), "abt")
     names = [c for c in features.columns if c != BOOK.key]
     layout = pipeline.Layout(fresh_path(spark, "models"))
-    return pipeline.train_and_compare(layout, table, names, ModelParams(trees=TREES))
+    return pipeline.train_and_compare(layout, table, names, ModelParams())
+
+
+def _stump_rows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = application(spark, sf).select("application_id", "target", *STUMP_FEATURES)
+    return written(sampling.split(rows, "application_id"), "stump")
+
+
+def _stump(spark: SparkSession, sf: str) -> tuple[model.Fitted, DataFrame]:
+    rows = _stump_rows(spark, sf)
+    train = model.model_input(rows.filter(F.col("split") == "train").drop("split"))
+    return model.fit(train, STUMP_FEATURES, STUMP), rows
+
+
+@query
+def stump_score(spark, sf):
+    fitted, rows = _stump(spark, sf)
+    return rounded(model.score(fitted, rows, ["application_id", "split"]), [model.SCORE], 9)
+
+
+@query
+def stump_importance(spark, sf):
+    fitted, _ = _stump(spark, sf)
+    return rounded(model.gain_importance(spark, fitted, top=20), ["gain"], 12)
+
+
+@query
+def stump_origin(spark, sf):
+    fitted, _ = _stump(spark, sf)
+    book_side = sinks.feature_dictionary(gold.meta(bureau(spark, sf)), BOOK.key)
+    return rounded(model.importance_origin(model.gain_importance(spark, fitted), book_side), ["gain"], 12)
+
+
+@query
+def stump_metrics(spark, sf):
+    """The last feature alone against all three."""
+    rows = application(spark, sf).select("application_id", "target", *STUMP_FEATURES)
+    layout = pipeline.Layout(fresh_path(spark, "stumps"))
+    report = pipeline.train_and_compare(layout, rows, STUMP_FEATURES[:2], STUMP)
+    settings = [F.col(f"params.{c}").alias(c) for c in ("trees", "depth", "learning_rate", "seed")]
+    report = report.select(*[c for c in report.columns if c != "params"], *settings)
+    return rounded(report, ["auc_train", "auc_val", "auc_gain"], 9)
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
 
@@ -18,9 +19,14 @@ def text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+#: A part of a name, between underscores, that is not lower case throughout.
+_shouted = re.compile(r"(?:^|_)[^_]*[A-Z]")
+
+
 def needs_fallback(name: str) -> bool:
-    """All-capital names, and names joined by underscores that hold a capital."""
-    return name.isupper() or ("_" in name and name != name.lower())
+    """Names of capitals, and names of several parts of which one has a capital."""
+    several = "_" in name
+    return bool(_shouted.search(name)) and (several or name == name.upper())
 
 
 def fallback(name: str) -> str:
@@ -42,12 +48,18 @@ def require_distinct(names: Iterable[str]) -> None:
         raise ValueError(f"several columns would be named: {', '.join(twice)}")
 
 
-def status_part(status: str) -> str:
-    return status.lower().replace(" ", "_")
+#: What a feature name cannot hold; underscores take the place of each such character.
+_not_in_names = re.compile(r"[\W_]")
 
 
 def type_part(value: str) -> str:
-    return "".join(ch.lower() if ch.isalnum() else "_" for ch in value)
+    """A category as part of a feature name."""
+    return _not_in_names.sub("_", value).lower()
+
+
+def status_part(status: str) -> str:
+    """A status as part of a feature name; it reads like a category."""
+    return type_part(status)
 
 
 def share_name(count_name: str) -> str:

@@ -162,7 +162,7 @@ def type_counts(history: DataFrame, types: Sequence[str], spec: BookSpec = BOOK)
 
 
 def type_profile(history: DataFrame, spec: BookSpec = BOOK) -> DataFrame:
-    """Rows and share of each (entity, type bucket) that occurs, one row per pair."""
+    """Rows of each (entity, type bucket) that occurs, one row per pair."""
     types = top_type_list(history, spec)
     bucket = C.type_bucket(F.col(spec.category), types, spec.other).alias("type_bucket")
     return _named(history, spec).groupBy(spec.key, bucket).agg(F.count(F.lit(1)).alias("n"))

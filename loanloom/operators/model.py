@@ -7,9 +7,9 @@ from dataclasses import asdict, dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,11 +22,14 @@ from loanloom.specs import LINEAGE_COLUMNS, ModelParams
 LABEL = "__y__"
 FEATURES = "__features__"
 SCORE = "score"
-#: Stands for a missing number. The trees take no nulls; one split below every real
-#: value sets the missing ones apart.
+#: Stands for a missing number, below every real one. Bin borders need not lie between, so
+#: every feature with missing values also has a 0/1 indicator.
 MISSING = -1e15
-MIN_BINS = 32
-MAX_CATEGORIES = 10_000
+#: Categories of a text feature that trees tell apart; the rest, unseen ones and null are one
+#: more. Bins of every feature.
+CATEGORIES, BINS = 60, 64
+#: Training rows for a task: trees make many short passes, so small tables use few tasks.
+ROWS_PER_TASK = 50_000
 
 
 def model_input(
@@ -50,72 +53,98 @@ def _index_name(column: str) -> str:
     return f"{column}_index"
 
 
-def category_indexer(columns: Sequence[str]) -> StringIndexer:
-    """Categories by falling frequency, ties by name; null and unseen values come last."""
-    return StringIndexer(
-        inputCols=list(columns),
-        outputCols=[_index_name(c) for c in columns],
-        stringOrderType="frequencyDesc",
-        handleInvalid="keep",
-    )
-
+def _ranks(df: DataFrame, column: str) -> DataFrame:
+    """_value and _rank of every category: by falling frequency, ties by name, from 0.
 
-def require_few_categories(df: DataFrame, columns: Sequence[str]) -> None:
-    """Indexing keeps every category on the driver and in every tree: a bounded number.
-
-    Columns beyond it belong bucketed first (top types and "other").
+    Numbered where the sorted categories lie, with the counts of the parts before; any
+    number of categories.
     """
-    if not columns:
-        return
-    sizes = df.agg(*[F.approx_count_distinct(quote(c)).alias(c) for c in columns]).first().asDict()
-    if wide := [c for c, n in sizes.items() if n > MAX_CATEGORIES]:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories in: {', '.join(wide)}")
+    counted = df.filter(F.col(quote(column)).isNotNull()).groupBy(F.col(quote(column)).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    placed = counted.orderBy(F.desc("_n"), "_value").withColumn("_id", F.monotonically_increasing_id())
+    part = F.shiftright("_id", 33)
+    placed = write_parquet(placed.select("_value", part.alias("_part"), (F.col("_id") - F.shiftleft(part, 33)).alias("_place")), fresh_path(df.sparkSession, "ranks"))
+    parts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")  # one row per part
+    parts = parts.select("_part", before.alias("_before"))
+    return placed.join(parts, "_part").select("_value", (F.col("_before") + F.col("_place")).cast("double").alias("_rank"))
 
 
 def category_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The category columns replaced by their indexes."""
-    require_few_categories(df, columns)
-    indexed = category_indexer(columns).fit(df).transform(df)
-    kept = [F.col(quote(_index_name(c) if c in columns else c)) for c in df.columns]
-    return indexed.select(*kept)
+    """The category columns replaced by their indexes, null by the number of categories."""
+    order = [_index_name(c) if c in columns else c for c in df.columns]
+    for c in columns:
+        ranks = _ranks(df, c)
+        total = ranks.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
+        joined = df.join(ranks, F.col(quote(c)) == F.col("_value"), "left")
+        df = joined.withColumn(_index_name(c), F.coalesce("_rank", total)).drop("_value", "_rank")
+    return df.select(*[F.col(quote(c)) for c in order])
+
+
+def top_categories(df: DataFrame, column: str, n: int = CATEGORIES) -> list[str]:
+    """The `n` most frequent categories."""
+    counted = df.filter(F.col(quote(column)).isNotNull()).groupBy(F.col(quote(column)).alias("v")).count()
+    return [r["v"] for r in counted.orderBy(F.desc("count"), "v").limit(n).collect()]
+
+
+def category_indexer(df: DataFrame, columns: Sequence[str]) -> StringIndexerModel:
+    """The most frequent categories by rank; all others, null and unseen ones come last."""
+    labels = [top_categories(df, c) or [""] for c in columns]
+    indexer = StringIndexerModel.from_arrays_of_labels(labels, list(columns), [_index_name(c) for c in columns], handleInvalid="keep")
+    return indexer
 
 
 @dataclass(frozen=True)
 class Fitted:
-    """A trained pipeline, the logical features it reads, and its settings."""
+    """A trained pipeline, the logical features it reads, those of them that have an
+    indicator of missing values, and its settings."""
 
     pipeline: PipelineModel
     features: tuple[str, ...]
     params: ModelParams
+    indicators: tuple[str, ...] = ()
+
+    def inputs(self) -> list[str]:
+        """The feature behind every input of the trees."""
+        return [*self.features, *self.indicators]
 
     def save(self, path: str) -> None:
         self.pipeline.write().overwrite().save(path)
 
 
-def _numeric(df: DataFrame, features: Sequence[str], strings: Sequence[str]) -> DataFrame:
-    """Every feature that is not text as a double without nulls."""
-    numbers = [c for c in features if c not in strings]
-    as_double = {
-        c: F.coalesce(F.col(quote(c)).cast("double"), F.lit(MISSING)).alias(c) for c in numbers
-    }
-    return df.select(*[as_double.get(c, F.col(quote(c))) for c in df.columns])
+def _number(column: str) -> Column:
+    """The column as a double; NaN counts as missing."""
+    return F.nullif(F.col(quote(column)).cast("double"), F.lit(float("nan")))
+
+
+def _missing_name(column: str) -> str:
+    return f"{column}__missing"
 
 
-def _bins(indexers: Sequence[StringIndexerModel]) -> int:
-    sizes = [len(labels) + 1 for m in indexers for labels in m.labelsArray]
-    return max([MIN_BINS, *sizes])
+def _numeric(df: DataFrame, features: Sequence[str], strings: Sequence[str], indicators: Sequence[str]) -> DataFrame:
+    """Every feature that is not text as a double without nulls, and the indicators."""
+    as_double = {c: F.coalesce(_number(c), F.lit(MISSING)).alias(c) for c in features if c not in strings}
+    missing = [_number(c).isNull().cast("double").alias(_missing_name(c)) for c in indicators]
+    return df.select(*[as_double.get(c, F.col(quote(c))) for c in df.columns], *missing)
+
+
+def _with_missing(df: DataFrame, numbers: Sequence[str]) -> list[str]:
+    """The features that have missing values; one aggregate."""
+    if not numbers:
+        return []
+    found = df.agg(*[F.bool_or(_number(c).isNull()).alias(f"_{i}") for i, c in enumerate(numbers)]).first()
+    return [c for c, some in zip(numbers, found, strict=True) if some]
 
 
 def fit(train: DataFrame, features: Sequence[str], params: ModelParams, label: str = LABEL) -> Fitted:
     """Train on `train`; read it from files, as every tree level passes over it."""
     ensure_checkpoint_dir(train.sparkSession)
     strings = string_columns(train, features)
-    rows = _numeric(train.select(*features, label), features, strings)
-    require_few_categories(rows, strings)
-    indexers = [category_indexer(strings).fit(rows)] if strings else []
-    assembler = VectorAssembler(
-        inputCols=[_index_name(c) if c in strings else c for c in features], outputCol=FEATURES
-    )
+    indicators = _with_missing(train, [c for c in features if c not in strings])
+    rows = _numeric(train.select(*[F.col(quote(c)) for c in features], label), features, strings, indicators)
+    rows = rows.repartition(max(1, -(-train.count() // ROWS_PER_TASK)))
+    indexers = [category_indexer(rows, strings)] if strings else []
+    inputs = [_index_name(c) if c in strings else c for c in features]
+    assembler = VectorAssembler(inputCols=[*inputs, *map(_missing_name, indicators)], outputCol=FEATURES)
     trees = GBTClassifier(
         featuresCol=FEATURES,
         labelCol=label,
@@ -123,11 +152,11 @@ def fit(train: DataFrame, features: Sequence[str], params: ModelParams, label: s
         maxDepth=params.depth,
         stepSize=params.learning_rate,
         seed=params.seed,
-        maxBins=_bins(indexers),
+        maxBins=BINS,
         checkpointInterval=10,
     )
     pipeline = Pipeline(stages=[*indexers, assembler, trees]).fit(rows)
-    return Fitted(pipeline, tuple(features), params)
+    return Fitted(pipeline, tuple(features), params, tuple(indicators))
 
 
 def score(fitted: Fitted, df: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -135,28 +164,30 @@ def score(fitted: Fitted, df: DataFrame, keep: Sequence[str]) -> DataFrame:
     strings = string_columns(df, fitted.features)
     needed = list(dict.fromkeys([*keep, *fitted.features]))
     kept = df.select(*needed, *[F.col(quote(c)).alias(f"__keep_{i}") for i, c in enumerate(keep)])
-    scored = fitted.pipeline.transform(_numeric(kept, fitted.features, strings))
+    scored = fitted.pipeline.transform(_numeric(kept, fitted.features, strings, fitted.indicators))
     return scored.select(
         *[F.col(f"__keep_{i}").alias(c) for i, c in enumerate(keep)],
         vector_to_array("probability")[1].alias(SCORE),
     )
 
 
-def gain_importance(spark: SparkSession, fitted: Fitted) -> DataFrame:
-    """Mean gain per split of each feature that some tree splits on, best first.
+def gain_importance(spark: SparkSession, fitted: Fitted, top: int | None = None) -> DataFrame:
+    """Mean gain per split of each feature that some tree splits on, best first; the first
+    `top` of them. Splits on whether a feature is missing are splits on the feature.
 
     Read from the saved trees: the model's own importances are normalised totals.
     """
     path = fresh_path(spark, "trees")
     fitted.pipeline.stages[-1].write().overwrite().save(path)
     nodes = spark.read.parquet(f"{path}/data").select("nodeData.*")
-    names = F.array(*[F.lit(c) for c in fitted.features])
-    return (
+    names = F.array(*[F.lit(c) for c in fitted.inputs()])
+    ranking = (
         nodes.filter(F.col("gain") > 0)
         .groupBy(names[F.col("split.featureIndex")].alias("feature"))
         .agg(F.avg("gain").alias("gain"))
         .orderBy(F.desc("gain"), "feature")
     )
+    return ranking if top is None else ranking.limit(top)
 
 
 def importance_origin(ranking: DataFrame, dictionary: DataFrame, top: int = 30) -> DataFrame:

@@ -1,4 +1,5 @@
-"""Data profiling. Each report is one aggregate over its table."""
+"""Data profiling. Each report is one aggregate over its table; exact quantiles take further
+passes over a copy of their columns."""
 
 from __future__ import annotations
 
@@ -118,8 +119,10 @@ def rate_by_segment(
     )
 
 
-def target_correlation(df: DataFrame, columns: Sequence[str], target: str = "target") -> DataFrame:
-    """Pearson correlation of each column with the target, strongest first."""
+def target_correlation(
+    df: DataFrame, columns: Sequence[str], target: str = "target", top: int | None = None
+) -> DataFrame:
+    """Pearson correlation of each column with the target, strongest first; the first `top`."""
     y = F.col(target).cast("int").cast("double")
     folds = {}
     for c in columns:
@@ -129,7 +132,8 @@ def target_correlation(df: DataFrame, columns: Sequence[str], target: str = "tar
     # Null, not an error as from `corr`, where a column or the target is constant.
     correlation = F.try_divide(F.col("joint"), F.col("spread") * F.col("target_spread"))
     rows = rows.select("column_name", correlation.alias("correlation"))
-    return rows.orderBy(F.abs("correlation").desc_nulls_last(), "column_name")
+    ranked = rows.orderBy(F.abs("correlation").desc_nulls_last(), "column_name")
+    return ranked if top is None else ranked.limit(top)
 
 
 def histogram_by_target(df: DataFrame, column: str, width: float, target: str = "target") -> DataFrame:

@@ -4,7 +4,7 @@ Each order statistic that a quantile needs lies in a known open interval of valu
 A round asks `percentile_approx` for two values close around it, counts the rows
 below, at and between them, and so finds the statistic or a much smaller interval.
 A round is two aggregates over all columns and moves only sketches and counts. When
-few rows are left in an interval, they are fetched.
+few rows are left in an interval, they are fetched. The rounds read a copy of the columns.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from loanloom.functions.naming import quote
+from loanloom.sources.shared import fresh_path
+from loanloom.sources.sinks import write_parquet
 
 ACCURACY = 5_000
 #: Rows that one aggregation buffer may hold at the end.
@@ -106,7 +108,8 @@ def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], inside_rows: int = INSIDE_ROWS
 ) -> dict[tuple[str, float], float | None]:
     """Linearly interpolated quantiles by (column, probability); null without values."""
-    df = df.select(*[F.col(quote(c)) for c in columns])
+    narrow = df.select(*[_values(c).alias(c) for c in columns])
+    df = write_parquet(narrow, fresh_path(df.sparkSession, "quantiles"))  # the source is read once
     sizes = dict(zip(columns, _one_row(df, [F.count(_values(c)) for c in columns])))
     at = {(c, p): (n - 1) * p for c, n in sizes.items() if n for p in probs}
     ranks = {(c, r) for (c, _), x in at.items() for r in (math.floor(x), math.ceil(x))}

@@ -6,50 +6,42 @@ every feature set sees the same rows on the same side.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Mapping
-from typing import Any
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanloom.functions import columns as C
+from loanloom.sources.shared import fresh_path
+from loanloom.sources.sinks import write_parquet
 from loanloom.specs import SEED, TRAIN_PERCENT
 
-#: Hexadecimal digits resolved per round: 65 536 cells.
-DIGITS = 4
-#: A cell with this many keys or fewer is resolved by ordering it.
-CELL_ROWS = 10_000
-DIGEST_DIGITS = 32
-MAX_CLASSES = 100
+#: Hexadecimal digits resolved per round, 65 536 cells for each class, and rounds. The rows of
+#: a class's last cell, one in 4 billion, are ordered.
+DIGITS, ROUNDS = 4, 2
 
 
-def nth_digest(digests: DataFrame, n: int, cell_rows: int = CELL_ROWS) -> str | None:
-    """The n-th smallest of the one column's digests (n counts from 1), found digit by digit;
-    None if there are fewer.
+def last_digests(digests: DataFrame, quotas: DataFrame) -> DataFrame:
+    """class and the `quota`-th smallest digest of each (`last`), for any number of classes.
 
-    Every round counts the rows per leading digits inside the cell that holds the
-    answer; at most 65 536 counts exist per round and one leaves Spark. A last, small
-    cell is ordered.
+    `digests` has class and digest, `quotas` class and quota, at least 1 and at most the rows
+    of the class. A round counts the rows per class and leading digits, so that only those
+    in the cells that hold the answers go on; all classes share each round.
     """
-    (digest,) = (F.col(c) for c in digests.columns)
-    prefix, left = "", n
-    while len(prefix) < DIGEST_DIGITS:
-        inside = digests.filter(digest.startswith(prefix))
-        cells = inside.groupBy(F.substr(digest, F.lit(1), F.lit(len(prefix) + DIGITS)).alias("cell")).agg(
-            F.count(F.lit(1)).alias("rows")
+    state = quotas.select(F.col("class").alias("_class"), F.lit("").alias("_prefix"), F.col("quota").alias("_left"))
+    same = F.col("class").eqNullSafe(F.col("_class"))
+    for k in range(1, ROUNDS + 1):
+        inside = digests.join(state, same & F.col("digest").startswith(F.col("_prefix")))
+        cells = inside.groupBy("class", F.substring("digest", 1, k * DIGITS).alias("cell")).agg(
+            F.count(F.lit(1)).alias("n"), F.max("_left").alias("_left")
         )
-        # The only unpartitioned window: over the counts of one round.
-        running = cells.withColumn("seen", F.sum("rows").over(Window.orderBy("cell")))
-        hit = running.filter(F.col("seen") >= left).orderBy("cell").first()
-        if hit is None:
-            return None
-        cell, rows, seen = hit
-        prefix, left = cell, left - (seen - rows)
-        if rows <= cell_rows:
-            smallest = digests.filter(digest.startswith(prefix)).orderBy(digest).limit(left)
-            return smallest.agg(F.max(digest)).first()[0]
-    return prefix
+        seen = F.sum("n").over(Window.partitionBy("class").orderBy("cell"))
+        cells = cells.withColumn("_seen", seen).filter("_seen >= _left AND _seen - n < _left")
+        found = cells.select(F.col("class").alias("_class"), F.col("cell").alias("_prefix"), (F.col("_left") - F.col("_seen") + F.col("n")).alias("_left"))
+        state = write_parquet(found, fresh_path(digests.sparkSession, "cells"))
+    inside = digests.join(state, same & F.col("digest").startswith(F.col("_prefix")))
+    place = F.row_number().over(Window.partitionBy("class").orderBy("digest"))
+    return inside.withColumn("_place", place).filter("_place = _left").select("class", F.col("digest").alias("last"))
 
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int = SEED) -> DataFrame:
@@ -58,12 +50,14 @@ def sample_n(df: DataFrame, key: str, n: int, seed: int = SEED) -> DataFrame:
     `key` must be unique and not null. The result is a filter on the table: nothing is
     shuffled.
     """
-    digest = C.key_digest(F.col(key), seed)
-    digests = df.select(digest.alias("digest"))
     if n <= 0:
         return df.limit(0)
-    last = nth_digest(digests, n)
-    return df if last is None else df.filter(digest <= last)
+    digest = C.key_digest(F.col(key), seed)
+    digests = df.select(F.lit(0).alias("class"), digest.alias("digest"))
+    if df.count() <= n:
+        return df
+    quota = df.sparkSession.createDataFrame([(0, n)], "class int, quota long")
+    return df.filter(digest <= last_digests(digests, quota).first()["last"])
 
 
 def _side(is_train: Column) -> Column:
@@ -76,46 +70,39 @@ def split(df: DataFrame, key: str, seed: int = SEED, train_percent: int = TRAIN_
     return df.withColumn("split", _side(C.hash_percent(F.col(key), seed) < train_percent))
 
 
-def class_quotas(counts: Mapping[Any, int], n: int) -> dict[Any, int]:
-    """n rows shared among the classes in proportion, rounded so that they add up."""
-    total = sum(counts.values())
-    exact = {c: n * k / total for c, k in counts.items()}
-    quotas = {c: math.floor(x) for c, x in exact.items()}
-    by_remainder = sorted(counts, key=lambda c: (quotas[c] - exact[c], str(c)))
-    for c in by_remainder[: n - sum(quotas.values())]:
-        quotas[c] += 1
-    return quotas
+def class_quotas(counts: DataFrame, rows: Callable[[Column], Column]) -> DataFrame:
+    """`rows(total)` rows shared among the classes in proportion, rounded so that they add up.
 
-
-def _class_counts(df: DataFrame, label: str) -> dict[Any, int]:
-    """Rows per class; a label has few values, and one that has not is refused."""
-    rows = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} values")
-    return {r[label]: r["count"] for r in rows}
+    `counts` has class and n. Largest remainders are rounded up, ties by the class's name; that
+    order is over one row per class.
+    """
+    every = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    df = counts.withColumn("_total", F.sum("n").over(every)).withColumn("_rows", rows(F.col("_total")))
+    df = df.withColumn("_exact", F.col("_rows") * F.col("n") / F.col("_total")).withColumn("_floor", F.floor("_exact"))
+    place = F.row_number().over(Window.orderBy(F.desc(F.col("_exact") - F.col("_floor")), F.col("class").cast("string")))
+    more = place <= F.col("_rows") - F.sum("_floor").over(every)
+    return df.select("class", (F.col("_floor") + F.when(more, 1).otherwise(0)).alias("quota"))
 
 
-def _first_per_class(df: DataFrame, key: str, label: str, quotas: Mapping[Any, int], seed: int) -> Column:
-    """Is the row among its class's first rows by digest, as many as its quota?"""
+def _with_last(df: DataFrame, key: str, label: str, seed: int, rows: Callable[[Column], Column]) -> tuple[DataFrame, Column]:
+    """`df` joined to its class's last digest, and whether a row is among the quota."""
     digest = C.key_digest(F.col(key), seed)
-    is_first = F.lit(False)
-    for value, quota in quotas.items():
-        of_class = F.col(label).eqNullSafe(F.lit(value))
-        if quota:
-            last = nth_digest(df.filter(of_class).select(digest.alias("digest")), quota)
-            is_first = is_first | (of_class & (digest <= last))
-    return is_first
+    digests = df.select(F.col(label).alias("class"), digest.alias("digest"))
+    counts = digests.groupBy("class").agg(F.count(F.lit(1)).alias("n"))
+    quotas = write_parquet(class_quotas(counts, rows), fresh_path(df.sparkSession, "quotas"))
+    last = last_digests(digests, quotas.filter("quota > 0"))
+    last = write_parquet(last, fresh_path(df.sparkSession, "last")).toDF("_class", "_last")
+    joined = df.join(last, F.col(label).eqNullSafe(F.col("_class")), "left")
+    return joined, F.coalesce(digest <= F.col("_last"), F.lit(False))
 
 
 def stratified_sample(df: DataFrame, key: str, label: str, n: int, seed: int = SEED) -> DataFrame:
     """A sample of n rows with the class shares of the table; all rows if it has no more.
 
-    `key` must be unique and `label` have few values.
+    `key` must be unique; `label` may have any number of values.
     """
-    counts = _class_counts(df, label)
-    if sum(counts.values()) <= n:
-        return df
-    return df.filter(_first_per_class(df, key, label, class_quotas(counts, n), seed))
+    joined, is_first = _with_last(df, key, label, seed, lambda total: F.least(total, F.lit(max(n, 0))))
+    return joined.filter(is_first).drop("_class", "_last")
 
 
 def stratified_split(
@@ -123,11 +110,8 @@ def stratified_split(
 ) -> DataFrame:
     """Adds `split` with the exact share of every class on either side.
 
-    `key` must be unique and `label` have few values. One job counts the classes and
-    one small search per class finds its threshold; the split itself is a projection.
+    `key` must be unique; `label` may have any number of values. The number of jobs does not
+    depend on it.
     """
-    counts = _class_counts(df, label)
-    total = sum(counts.values())
-    train = total - math.ceil(total * (100 - train_percent) / 100)
-    quotas = class_quotas(counts, train) if counts else {}
-    return df.withColumn("split", _side(_first_per_class(df, key, label, quotas, seed)))
+    joined, is_first = _with_last(df, key, label, seed, lambda total: total - F.ceil(total * (100 - train_percent) / 100))
+    return joined.withColumn("split", _side(is_first)).drop("_class", "_last")

@@ -10,6 +10,7 @@ from loanloom.catalog import (
     SAMPLE_ROWS,
     SAVED_TYPES,
     SEGMENT_COLUMNS,
+    STUMP_FEATURES,
     SUMMARY_COLUMNS,
 )
 from loanloom.functions.naming import share_name, status_part, type_part
@@ -163,6 +164,55 @@ SELECT application_id, target, total_income,
 FROM app
 """
 
+TOP_RANKED = "SELECT credit_type, row_number() OVER (ORDER BY n DESC, credit_type) AS r FROM top"
+HISTORY_RANKED = """
+SELECT history.*, coalesce(r, 0) AS type_rank
+FROM history LEFT JOIN top_ranked ON history.credit_type = top_ranked.credit_type
+"""
+_RANKED = {
+    f"bureau_type_rank_{i}_count": f"count(*) FILTER (WHERE type_rank = {i})" for i in range(1, BOOK.top_n + 1)
+} | {"bureau_type_other_count": "count(*) FILTER (WHERE type_rank = 0)"}
+_RANKED_ALL = _STATUS | _RANKED
+_RANKED_SHARES = {k.replace("_count", "_share"): f"({v}) / count(*)" for k, v in _RANKED_ALL.items()}
+BOOK_RANKED = (
+    "SELECT application_id, "
+    + ", ".join(
+        [
+            _META,
+            *[c for s in BOOK.segments for c in _statistics(s, filtered=True)],
+            _named(_RANKED_ALL),
+            _named(_RANKED_SHARES),
+        ]
+    )
+    + " FROM history_ranked GROUP BY application_id"
+)
+_RANKED_FILLED = ", ".join(
+    f"coalesce({c}, 0) AS {c}" if "_count" in c else c for c in re.findall(r" AS (bureau_\w+)", BOOK_RANKED)
+)
+
+
+def _stump(features: tuple[str, ...], name: str) -> dict[str, str]:
+    """Views of the one split of largest gain on the training side, labels as 1 and -1.
+
+    The variance of such labels is 1 less their squared mean. Missing values lie below all
+    others; whether a value is missing is a split too, the same one.
+    """
+    cuts = [(f, f"{f} IS NULL") for f in features] + [(f, f"{f} IS NULL OR NOT {f}") for f in features]
+    tried = _union(
+        [f"SELECT {i} AS cut, '{f}' AS feature, application_id, split, y, {rule} AS is_left FROM stump_rows" for i, (f, rule) in enumerate(cuts)]
+    )
+    return {
+        f"{name}_cuts": tried,
+        f"{name}_sides": f"""SELECT cut, feature, is_left, CAST(count(*) AS DOUBLE) AS n, avg(y) AS m
+ FROM {name}_cuts WHERE split = 'train' GROUP BY ALL""",
+        f"{name}_best": f"""SELECT cut, feature,
+ 1 - pow(sum(n * m) / sum(n), 2) - sum(n * (1 - m * m)) / sum(n) AS gain
+ FROM {name}_sides GROUP BY cut, feature HAVING count(*) = 2 ORDER BY gain DESC, cut LIMIT 1""",
+        f"{name}_scores": f"""SELECT application_id, split, y, 1 / (1 + exp(-2 * m)) AS score
+ FROM {name}_cuts JOIN {name}_sides USING (cut, is_left) WHERE cut = (SELECT cut FROM {name}_best)""",
+    }
+
+
 # Every view, in order of definition; a query gets those it needs.
 VIEWS = {
     "raw_app": _raw(RAW_APP),
@@ -174,10 +224,19 @@ VIEWS = {
     "meta": _per_application(_META),
     "book": BOOK_SQL,
     "top": TOP,
+    "top_ranked": TOP_RANKED,
+    "history_ranked": HISTORY_RANKED,
+    "book_ranked": BOOK_RANKED,
     "sides": SPLIT,
 }
 
 
+STUMP_ROWS = """
+SELECT application_id, split, owns_car, has_mobile_phone, document_2_provided, CASE WHEN target THEN 1 ELSE -1 END AS y
+FROM sides JOIN app USING (application_id, target, total_income)
+"""
+
+
 def _with_views(sql: str) -> str:
     needed: list[str] = []
     text = sql
@@ -193,6 +252,9 @@ def _union(parts: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
+VIEWS |= {"stump_rows": STUMP_ROWS} | _stump(STUMP_FEATURES[2:], "small") | _stump(STUMP_FEATURES, "full")
+
+
 def _missing(column: str, extra: str = "") -> str:
     return f"""SELECT '{column}' AS column_name, count(*) - count({column}) AS n_missing,
      (count(*) - count({column})) / count(*) AS missing_share,
@@ -316,6 +378,26 @@ def _sentinel(table: str, view: str, column: str, hit: str) -> str:
  FROM {view}"""
 
 
+def _model(name: str, view: str, n_features: int) -> str:
+    aucs = _auc(f"SELECT split, score AS s, (y + 1) // 2 AS y FROM {view}_scores", "split")
+
+    def of(side: str, value: str) -> str:
+        return f"max(CASE WHEN split = '{side}' THEN {value} END)"
+
+    rows = "n_positive + n_negative"
+    return f"""SELECT '{name}' AS model, {of("train", "auc")} AS auc_train, {of("validation", "auc")} AS auc_val,
+ CAST({n_features} AS INT) AS n_features, {of("train", rows)} AS n_train, {of("validation", rows)} AS n_val
+ FROM ({aucs})"""
+
+
+_MODELS = f"""SELECT * FROM ({_model("baseline", "small", 1)}) UNION ALL SELECT * FROM ({_model("challenger", "full", 3)})"""
+STUMP_METRICS = f"""
+SELECT model, {_round("auc_train", 9)} AS auc_train, {_round("auc_val", 9)} AS auc_val, n_features, n_train, n_val,
+ {_round("auc_val - max(CASE WHEN model = 'baseline' THEN auc_val END) OVER ()", 9)} AS auc_gain,
+ CAST(1 AS INT) AS trees, CAST(1 AS INT) AS depth, CAST(0.08 AS DOUBLE) AS learning_rate, CAST(42 AS INT) AS seed
+FROM ({_MODELS})
+"""
+
 ORACLES = {
     "bronze_csv_ingest": _bronze(
         "raw_app", "application_train", ("DAYS_REGISTRATION", "DAYS_LAST_PHONE_CHANGE")
@@ -432,7 +514,26 @@ ORACLES = {
     "stratified_split_exact": _EXACT_SPLIT,
     "holdout_datasets": """SELECT split, CAST(target AS INT) AS __y__, count(*) AS n,
  max(total_income) AS max_income FROM sides GROUP BY ALL""",
+    "holdout_datasets_exact": f"""SELECT split, CAST(target AS INT) AS __y__, count(*) AS n,
+ max(total_income) AS max_income FROM ({_EXACT_SPLIT}) JOIN app USING (application_id, target) GROUP BY ALL""",
     "category_index": _CATEGORY_INDEX,
+    "type_rank_counts": f"SELECT application_id, {_named(_RANKED)} FROM history_ranked GROUP BY application_id",
+    "bureau_book_ranked": "SELECT * FROM book_ranked",
+    "abt_ranked": f"""SELECT app.*, {_RANKED_FILLED}, coalesce(bureau_credit_count, 0) > 0 AS has_bureau_history
+ FROM app LEFT JOIN book_ranked USING (application_id)""",
+    "top_correlations": "SELECT * FROM ("
+    + _union(
+        [
+            f"SELECT '{c}' AS column_name, {_round(f'corr({c}, CAST(target AS INT))')} AS correlation FROM app"
+            for c in _APP_NUMBERS
+        ]
+    )
+    + ") ORDER BY abs(correlation) DESC NULLS LAST, column_name LIMIT 5",
+    "stump_score": f"SELECT application_id, split, {_round('score', 9)} AS score FROM full_scores",
+    "stump_importance": f"SELECT feature, {_round('gain', 12)} AS gain FROM full_best",
+    "stump_origin": f"""SELECT feature, {_round("gain", 12)} AS gain, 'application' AS origin,
+ CAST(1 AS BIGINT) AS n_features, CAST(1 AS DOUBLE) AS share FROM full_best""",
+    "stump_metrics": STUMP_METRICS,
     "model_input": "SELECT * EXCLUDE (application_id, target), CAST(target AS INT) AS __y__ FROM app",
     "roc_auc": _auc(_INCOME_SCORE(extra="", table="app")),
     "roc_auc_quality": _auc(

@@ -33,10 +33,10 @@ def to_silver(spark: SparkSession, layout: Layout, table: TableSpec) -> DataFram
 
 
 def to_gold(
-    spark: SparkSession, layout: Layout, types: Sequence[str] | None = None, spec: BookSpec = BOOK
+    spark: SparkSession, layout: Layout, types: Sequence[str] | None = None, spec: BookSpec = BOOK, narrow: bool = False
 ) -> DataFrame:
     """Book, its sidecars and the base table. Without `types` those of the data are used
-    and kept for scoring."""
+    and kept for scoring; `narrow` stores the base table in the smallest types."""
     application, history = (
         spark.read.parquet(layout.path("silver", t.name)) for t in (APPLICATION, BUREAU)
     )
@@ -45,12 +45,18 @@ def to_gold(
         sinks.write_types(spark, types, layout.path("gold", "top_types"))
     book = sinks.write_parquet(gold.book(history, types, spec), layout.path("gold", "bureau_book"))
     sinks.write_csv(sinks.feature_dictionary(book, spec.key), layout.path("gold", "feature_dictionary"))
-    return sinks.write_parquet(gold.abt(application, book, spec), layout.path("gold", "abt"))
+    abt = gold.abt(application, book, spec)
+    return sinks.write_parquet(gold.narrow_numeric(abt) if narrow else abt, layout.path("gold", "abt"))
 
 
-def holdout(abt: DataFrame, path: str, key: str = "application_id") -> tuple[DataFrame, DataFrame]:
-    """Training and validation rows as datasets with a 0/1 label."""
-    sides = sampling.split(abt, key)
+def holdout(
+    abt: DataFrame, path: str, key: str = "application_id", stratify: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Training and validation rows as datasets with a 0/1 label.
+
+    With `stratify`, every value of that column has its exact share on either side.
+    """
+    sides = sampling.stratified_split(abt, key, stratify) if stratify else sampling.split(abt, key)
     return sinks.write_holdout(model.model_input(sides, key, keep=["split"]), path)
 
 
@@ -96,13 +102,16 @@ def train_and_compare(
 
 
 def rank_features(
-    layout: Layout, name: str, table: DataFrame, params: ModelParams, sample_rows: int | None = None
+    layout: Layout, name: str, table: DataFrame, params: ModelParams, sample_rows: int | None = None, top: int | None = None
 ) -> DataFrame:
     """Mean gain per split of the table's features, from a model of its own; written as
-    CSV. `sample_rows` trains on a random sample."""
+    CSV, and beside it the model's metrics as JSON. `sample_rows` trains on a random sample,
+    `top` keeps the best features."""
     rows = table if sample_rows is None else sampling.sample_n(table, "application_id", sample_rows)
-    train, _ = holdout(rows, layout.path("gold", f"holdout_{name}"))
+    train, validation = holdout(rows, layout.path("gold", f"holdout_{name}"))
     fitted = model.fit(train, model.feature_columns(train), params)
-    ranking = model.gain_importance(table.sparkSession, fitted)
+    scored = model.scores(fitted, train, validation, layout.path("scores", f"importance_{name}"))
+    sinks.write_json(model.metrics(name, fitted, scored), layout.path("models", f"importance_{name}_metrics"))
+    ranking = model.gain_importance(table.sparkSession, fitted, top)
     sinks.write_csv(ranking, layout.path("models", f"importance_{name}"))
     return ranking

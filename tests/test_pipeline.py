@@ -3,7 +3,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from loanloom.operators import gold, model, sampling
+from loanloom.operators import evaluate, gold, model, sampling
 from loanloom.plans import pipeline
 from loanloom.sources import raw, shared, sinks, views
 from loanloom.specs import APPLICATION, BOOK, BUREAU, LINEAGE_COLUMNS, ModelParams
@@ -96,10 +96,41 @@ def test_category_index_orders_by_frequency_then_name(spark):
     assert got == [1.0, 0.0, 2.0, 2.0, 3.0] or got == [2.0, 1.0, 0.0, 0.0, 3.0]
 
 
-def test_too_many_categories_are_refused(spark):
-    df = spark.range(12_000).select(F.col("id").cast("string").alias("k"))
-    with pytest.raises(ValueError, match="categories in: k"):
-        model.category_index(df, ["k"])
+def test_any_number_of_categories(spark):
+    df = spark.range(12_000).select(F.col("id").cast("string").alias("k")).repartition(5)
+    ranked = sorted(str(i) for i in range(12_000))
+    indexed = model.category_index(df.select("k", F.col("k").alias("own")), ["own"])
+    got = {r["k"]: r["own_index"] for r in indexed.collect()}
+    assert got == {k: float(i) for i, k in enumerate(ranked)}
+
+
+def test_missing_values_are_seen(spark):
+    """One value in a thousand is missing, or NaN, and tells the class; bins cannot."""
+    rows = spark.range(4000).select(
+        (F.col("id") % 500 == 0).cast("int").alias(model.LABEL),
+        F.when(F.col("id") % 500 > 0, F.rand(1)).alias("holes"),
+        F.when(F.col("id") % 500 == 0, F.lit(float("nan"))).otherwise(F.rand(2)).alias("nans"),
+    )
+    rows = sinks.write_parquet(rows, shared.fresh_path(spark, "holes"))
+    for feature in ("holes", "nans"):
+        fitted = model.fit(rows, [feature], SMALL)
+        assert fitted.indicators == (feature,)
+        scored = model.score(fitted, rows, [model.LABEL])
+        assert evaluate.roc_auc(scored, model.SCORE, model.LABEL).first()["auc"] == 1
+        assert [r["feature"] for r in model.gain_importance(spark, fitted).collect()] == [feature]
+
+
+def test_rare_categories_are_one(spark):
+    rows = spark.range(500).select((F.col("id") % 2).cast("int").alias(model.LABEL), F.concat(F.lit("c"), F.col("id") % 200).alias("kind"))
+    fitted = model.fit(sinks.write_parquet(rows, shared.fresh_path(spark, "kinds")), ["kind"], SMALL)
+    assert len(fitted.pipeline.stages[0].labelsArray[0]) == model.CATEGORIES
+
+
+def test_exact_holdout(spark, abt):
+    train, validation = pipeline.holdout(abt, shared.fresh_path(spark, "exact"), stratify="target")
+    counts = [r["count"] for side in (train, validation) for r in side.groupBy(model.LABEL).count().orderBy(model.LABEL).collect()]
+    n = abt.count()
+    assert sum(counts[:2]) == n - -(-n * 20 // 100) and abs(counts[1] / sum(counts[:2]) - counts[3] / sum(counts[2:])) < 0.005
 
 
 def test_comparison_and_importance(spark, built, abt):
@@ -119,6 +150,8 @@ def test_comparison_and_importance(spark, built, abt):
     ranking = pipeline.rank_features(models, "full_abt", abt, SMALL, 1000)
     listed = spark.read.option("header", True).csv(models.path("models", "importance_full_abt"))
     assert listed.columns == ["feature", "gain"] and listed.count() == ranking.count() > 0
+    report = spark.read.json(models.path("models", "importance_full_abt_metrics")).first()
+    assert 0 <= report["auc_val"] <= 1 and pipeline.rank_features(models, "best", abt, SMALL, 1000, top=2).count() == 2
 
 
 def test_model_survives_saving_and_finds_the_signal(spark):
@@ -140,7 +173,7 @@ def test_model_survives_saving_and_finds_the_signal(spark):
     fitted.save(path)
     from pyspark.ml import PipelineModel
 
-    again = model.Fitted(PipelineModel.load(path), fitted.features, fitted.params)
+    again = model.Fitted(PipelineModel.load(path), fitted.features, fitted.params, fitted.indicators)
     a = model.score(fitted, df, [model.LABEL]).collect()
     assert a == model.score(again, df, [model.LABEL]).collect()
     assert all((r[model.SCORE] > 0.5) == (r[model.LABEL] == 1) for r in a)

@@ -86,12 +86,18 @@ def test_sample_of_more_than_all_is_all(numbers):
     assert sampling.sample_n(numbers, "id", 0).count() == 0
 
 
-def test_digest_search_descends_into_crowded_cells(numbers):
-    digests = numbers.select(F.md5(F.col("id").cast("string")).alias("d"))
-    ordered = sorted(r["d"] for r in digests.collect())
-    for n in (1, 1500, 3000):
-        assert sampling.nth_digest(digests, n, cell_rows=0) == ordered[n - 1]
-    assert sampling.nth_digest(digests, 3001) is None
+def test_digest_search_of_all_classes_at_once(spark, numbers):
+    """Crowded cells (equal leading digits) and several classes, null among them."""
+    digest = F.concat(F.when(F.col("id") % 2 == 0, "0000000").otherwise("f"), F.md5(F.col("id").cast("string")))
+    label = F.when(F.col("id") % 3 > 0, F.col("id") % 3)
+    digests = numbers.select(label.alias("class"), digest.alias("digest"))
+    ordered = {}
+    for r in digests.collect():
+        ordered.setdefault(r["class"], []).append(r["digest"])
+    for n in (1, 400, 1000):
+        quotas = spark.createDataFrame([(c, n) for c in ordered], "class long, quota long")
+        got = {r["class"]: r["last"] for r in sampling.last_digests(digests, quotas).collect()}
+        assert got == {c: sorted(d)[n - 1] for c, d in ordered.items()}
 
 
 def test_split_depends_on_the_key_alone(numbers):
@@ -102,9 +108,13 @@ def test_split_depends_on_the_key_alone(numbers):
     assert 0.77 < a.filter("split = 'train'").count() / 3000 < 0.83
 
 
-def test_class_quotas_add_up():
-    assert sampling.class_quotas({True: 24825, False: 282686}, 246008) == {True: 19860, False: 226148}
-    assert sampling.class_quotas({"a": 3, "b": 3, "c": 1}, 5) == {"a": 2, "b": 2, "c": 1}
+def test_class_quotas_add_up(spark):
+    def quotas(counts, n):
+        df = spark.createDataFrame(list(counts.items()), "class string, n long")
+        return {r["class"]: r["quota"] for r in sampling.class_quotas(df, lambda total: F.lit(n)).collect()}
+
+    assert quotas({"true": 24825, "false": 282686}, 246008) == {"true": 19860, "false": 226148}
+    assert quotas({"a": 3, "b": 3, "c": 1}, 5) == {"a": 2, "b": 2, "c": 1}
 
 
 def test_stratified_sample(numbers):
@@ -112,8 +122,12 @@ def test_stratified_sample(numbers):
     counts = {r["y"]: r["count"] for r in sampling.stratified_sample(df, "id", "y", 100).groupBy("y").count().collect()}
     assert counts == {True: 10, False: 90}
     assert sampling.stratified_sample(df, "id", "y", 10**6).count() == 3000
-    with pytest.raises(ValueError, match="more than"):
-        sampling.stratified_sample(df, "id", "id", 100)
+    assert sampling.stratified_sample(df, "id", "y", 0).count() == 0 and sampling.stratified_sample(df.limit(0), "id", "y", 5).count() == 0
+    # any number of classes, here one for each row or two
+    many = numbers.select("id", F.floor(F.col("id") / 2).alias("y"))
+    assert sampling.stratified_sample(many, "id", "y", 100).count() == 100
+    sides = sampling.stratified_split(many, "id", "y").groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in sides} == {"train": 2400, "validation": 600}
 
 
 def test_exact_stratified_split(numbers):
