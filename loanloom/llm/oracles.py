@@ -1,5 +1,63 @@
-"""DuckDB SQL of the numbered operators' queries, where SQL can express them."""
+"""DuckDB SQL of the numbered operators' queries, where SQL can express them.
+
+The others rest on sketches (2), hashes of rows (3), a vocabulary (4), markup (5), trained
+models (6, 7) or a search that need not be exact (10); tests hold them against plain versions.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+WORDS = r"regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')".format
+LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SUBSTRINGS = f"""
+WITH docs AS (SELECT doc_id, {WORDS("text")} AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM docs),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM places WHERE i + 12 <= len(w)),
+firsts AS (SELECT k, min(doc_id) AS least FROM windows GROUP BY k),
+starts AS (SELECT doc_id, i FROM windows JOIN firsts USING (k) WHERE least < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + j AS i FROM starts, (SELECT unnest(range(13)) AS j)),
+kept AS (SELECT doc_id, string_agg(w[i], ' ' ORDER BY i) AS text FROM places ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+counted AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN counted USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+_ESCAPED = "replace(replace(replace({0}, '\\', '\\b'), '<', '\\l'), '>', '\\g')".format
+
+CHAT = f"""
+WITH turns AS (
+ SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+ UNION ALL SELECT -7, turn, role, '\\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) t(turn, role)),
+joined AS (
+ SELECT conv_id, count(*) AS n_turns,
+  string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS whole,
+  coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+  sum(length('<turn:' || {_ESCAPED("role")} || '>' || chr(10) || {_ESCAPED("text")} || '</turn>' || chr(10))) AS chars
+ FROM turns GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+ sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars
+FROM joined
+"""
+
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE docs AS (SELECT doc_id, {WORDS(LOWERED)} AS w FROM documents),
+shingles AS (
+ SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+ FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM docs)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n FROM shingles a JOIN shingles b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+ SELECT u, v FROM common JOIN sizes x ON u = x.doc_id JOIN sizes y ON v = y.doc_id
+ WHERE 100 * common.n >= 85 * (x.n + y.n - common.n)),
+reached(doc_id, other) AS (
+ SELECT doc_id, doc_id FROM docs UNION SELECT reached.doc_id, v FROM reached JOIN links ON other = u),
+least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM least LEFT JOIN sizes USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_substring_dedup": SUBSTRINGS.strip(),
+    "op8_chat_format": CHAT.strip(),
+    "op9_setsketch_dedup": NEAR_DUPLICATES.strip(),
+}
