@@ -92,10 +92,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
 # -- sources and sinks -----------------------------------------------------
 
 
-def _csv_ingest(spark: SparkSession, table: DataFrame, spec) -> DataFrame:
+def _csv_ingest(spark: SparkSession, table: DataFrame, spec, infer_unknown: bool = False) -> DataFrame:
     root = fresh_path(spark, "ingest")
     sinks.write_csv(table, f"{root}/raw/{spec.name}.csv")
-    raw.ingest(spark, spec, f"{root}/raw", f"{root}/bronze")
+    raw.ingest(spark, spec, f"{root}/raw", f"{root}/bronze", infer_unknown)
     return spark.read.parquet(f"{root}/bronze/{spec.name}").drop("_ingested_at")
 
 
@@ -109,6 +109,15 @@ def bronze_csv_ingest_bureau(spark, sf):
     return _csv_ingest(spark, views.raw_bureau(spark, sf), BUREAU)
 
 
+@query
+def bronze_unknown_columns(spark, sf):
+    """Columns that the spec does not know get types of their own."""
+    table = views.raw_app(spark, sf).withColumns(
+        {"NEW_COUNT": F.col("SK_ID_CURR") % 7, "NEW_RATE": F.col("SK_ID_CURR") / 2 + 0.25, "NEW_TEXT": F.concat(F.lit("t"), "SK_ID_CURR")}
+    )
+    return _csv_ingest(spark, table, APPLICATION, infer_unknown=True)
+
+
 @query
 def table_audit(spark, sf):
     root = fresh_path(spark, "audit")

@@ -361,9 +361,9 @@ _BYTES = ", ".join(
 )
 
 
-def _bronze(view: str, name: str, doubles: tuple[str, ...]) -> str:
+def _bronze(view: str, name: str, doubles: tuple[str, ...], more: str = "") -> str:
     casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in doubles)
-    return f"SELECT * REPLACE ({casts}), '{name}.csv' AS _source_file FROM {view}"
+    return f"SELECT * REPLACE ({casts}), {more} '{name}.csv' AS _source_file FROM {view}"
 
 
 def _rate(segment: str) -> str:
@@ -416,6 +416,13 @@ ORACLES = {
             "AMT_ANNUITY",
         ),
     ),
+    "bronze_unknown_columns": _bronze(
+        "raw_app",
+        "application_train",
+        ("DAYS_REGISTRATION", "DAYS_LAST_PHONE_CHANGE"),
+        """CAST(SK_ID_CURR % 7 AS INT) AS NEW_COUNT, SK_ID_CURR / CAST(2 AS DOUBLE) + CAST(0.25 AS DOUBLE) AS NEW_RATE,
+ 't' || CAST(SK_ID_CURR AS VARCHAR) AS NEW_TEXT,""",
+    ),
     "table_audit": _union(
         [
             f"""SELECT '{name}' AS table_name, count(*) AS n_rows, CAST({width} AS INT) AS n_columns,

@@ -22,18 +22,26 @@ class Audit:
     null_keys: int
 
 
-def read_csv(spark: SparkSession, path: str, spec: TableSpec, infer: bool = False) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, spec: TableSpec, infer: bool = False, infer_unknown: bool = False
+) -> DataFrame:
     """Scan a headered CSV with the spec's types, whatever the order of its columns.
 
-    Columns the spec does not know stay text. Malformed values fail the job rather
-    than turn into nulls. `infer=True` lets Spark guess, at the price of another scan.
+    Columns the spec does not know stay text; with `infer_unknown` Spark guesses their types,
+    with `infer` those of all columns, at the price of another scan. Malformed values fail the
+    job rather than turn into nulls.
     """
     reader = spark.read.option("header", True)
     if infer:
         return reader.option("inferSchema", True).csv(path)
     header = reader.csv(path).columns
-    schema = T.StructType([T.StructField(n, spec.types.get(n, T.StringType())) for n in header])
-    return reader.schema(schema).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
+    types = dict(spec.types)
+    if infer_unknown and any(n not in types for n in header):
+        guessed = spark.read.option("header", True).option("inferSchema", True).csv(path).schema
+        types = {f.name: f.dataType for f in guessed} | types
+    schema = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in header])
+    reader = spark.read.option("header", True).schema(schema)
+    return reader.option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
 
 
 def with_lineage(df: DataFrame, source_file: str) -> DataFrame:
@@ -48,9 +56,12 @@ def write_audited(df: DataFrame, path: str, table: str, key: str) -> Audit:
     return Audit(table, seen.get["rows"], len(df.columns), seen.get["null_keys"])
 
 
-def ingest(spark: SparkSession, spec: TableSpec, raw_dir: str, bronze_dir: str) -> Audit:
+def ingest(
+    spark: SparkSession, spec: TableSpec, raw_dir: str, bronze_dir: str, infer_unknown: bool = False
+) -> Audit:
     source_file = f"{spec.name}.csv"
-    df = with_lineage(read_csv(spark, f"{raw_dir}/{source_file}", spec), source_file)
+    rows = read_csv(spark, f"{raw_dir}/{source_file}", spec, infer_unknown=infer_unknown)
+    df = with_lineage(rows, source_file)
     key = next(raw for raw, new in spec.renames.items() if new == spec.key)
     return write_audited(df, f"{bronze_dir}/{spec.name}", spec.name, key)
 

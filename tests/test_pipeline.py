@@ -73,6 +73,24 @@ def test_csv_columns_may_come_in_any_order(spark):
     assert raw.ingest(spark, BUREAU, root, f"{root}/bronze") == raw.Audit("bureau", 2, 5, 0)
 
 
+def test_types_of_unknown_columns(spark):
+    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    with open(f"{root}/bureau.csv", "w") as f:
+        f.write("NEW,DAYS_CREDIT,OTHER,SK_ID_CURR\n1.5,-5,x,7\n,,,8\n")
+    df = raw.read_csv(spark, f"{root}/bureau.csv", BUREAU, infer_unknown=True)
+    assert df.dtypes == [("NEW", "double"), ("DAYS_CREDIT", "int"), ("OTHER", "string"), ("SK_ID_CURR", "bigint")]
+
+
+def test_narrow_base_table(spark, built):
+    layout, _ = built
+    plain = spark.read.parquet(layout.path("gold", "abt"))
+    rows, columns = plain.count(), plain.columns
+    narrow = pipeline.to_gold(spark, layout, narrow=True)
+    assert narrow.columns == columns and narrow.count() == rows
+    assert "double" not in dict(narrow.dtypes).values() and dict(narrow.dtypes)["bureau_credit_count"] == "tinyint"
+    pipeline.to_gold(spark, layout)
+
+
 def test_malformed_values_fail(spark):
     root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     with open(f"{root}/bureau.csv", "w") as f:
