@@ -278,7 +278,7 @@ def abt(spark, sf):
 def abt_ranked(spark, sf):
     history = bureau(spark, sf)
     types = gold.top_type_list(history)
-    return rounded_ratios(by_rank(gold.abt(application(spark, sf), gold.book(history, types)), types))
+    return rounded_ratios(gold.abt(application(spark, sf), by_rank(gold.book(history, types), types)))
 
 
 @query
