@@ -45,6 +45,8 @@ MARKS = frozenset(
 #: How surely an element marks the article; the surest marks on a page count.
 ARTICLE = {"article": 3, "main": 2}
 CONTENT = frozenset("article articlebody content entry maincontent post story".split())
+#: Words that turn a class name into a remark about its element.
+REMARKS = frozenset("has no not with without".split())
 #: The words among them that also hold for elements that mark articles.
 NOT_ARTICLES = frozenset("comment comments recommended related replies reply".split())
 #: Elements that end an open element of the same kind.
@@ -63,7 +65,7 @@ _raw_end = {name: re.compile(rf"</{name}\b[^>]*>|\Z", re.I) for name in RAW}
 
 
 def _marks(rest: str) -> tuple[set[str], set[str]]:
-    """Words of class and id, and the role."""
+    """Words of class and id names, and the role."""
     words, roles = set(), set()
     if "=" in rest:
         for name, *values in _attribute.findall(rest):
@@ -71,7 +73,10 @@ def _marks(rest: str) -> tuple[set[str], set[str]]:
             if name.lower() == "role":
                 roles.update(value.lower().split())
             else:
-                words.update(_part.findall(_camel.sub(" ", value).lower()))
+                for token in value.split():
+                    parts = _part.findall(_camel.sub(" ", token).lower())
+                    if parts and parts[0] not in REMARKS:
+                        words.update(parts)
     return words, roles
 
 
@@ -79,7 +84,8 @@ def lines(page: str) -> list[tuple[str, int, int]]:
     """(text, characters in links, mark of the article around it) of every line; ("", 0, 0) is a gap."""
     out: list[tuple[str, int, int]] = []
     text: list[str] = []
-    stack: list[tuple[str, bool, int]] = []  # name, dropped, mark of the article
+    # name, dropped (1 by a form around it, which may hold a whole page), mark of the article
+    stack: list[tuple[str, int, int]] = []
     linked, at = [0], 0
 
     def flush(gap: bool = False) -> None:
@@ -101,7 +107,7 @@ def lines(page: str) -> list[tuple[str, int, int]]:
     def leave(k: int) -> None:
         """Close the elements from `k` on."""
         if any(x[0] in BLOCKS or x[1] for x in stack[k:]):
-            flush(gap=stack[k][1] and not (k and stack[k - 1][1]))
+            flush(gap=bool(stack[k][1]) and not (k and stack[k - 1][1]))
         del stack[k:]
 
     while match := _token.search(page, at):
@@ -134,12 +140,14 @@ def lines(page: str) -> list[tuple[str, int, int]]:
         if name == "body":
             while stack and stack[-1][0] == "head":
                 leave(len(stack) - 1)
-        dropped, level = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+        dropped, level = (stack[-1][1], stack[-1][2]) if stack else (0, 0)
         words, roles = _marks(match["rest"] or match["rest2"] or "")
+        if dropped == 1 and name in ARTICLE:
+            dropped = 0
         if not dropped and name not in ("html", "body"):
-            dropped = name in DROPPED or bool(roles & ROLES) or (name == "header" and not level)
-            dropped = dropped or bool(words & (NOT_ARTICLES if name in ARTICLE else MARKS))
-            if dropped:
+            unwanted = name in DROPPED or roles & ROLES or (name == "header" and not level)
+            if unwanted or words & (NOT_ARTICLES if name in ARTICLE else MARKS):
+                dropped = 1 if name == "form" else 2
                 flush(gap=True)
         if not dropped:
             level = max(level, ARTICLE.get(name, 0), 2 if "main" in roles else 0, 1 if words & CONTENT else 0)

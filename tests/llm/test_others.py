@@ -36,6 +36,8 @@ PARAGRAPH = "A paragraph with enough text in it to be taken for the body of an a
         ("<script>var a='<p>" + PARAGRAPH + "</p>'</script><style>p{}</style><p>" + PARAGRAPH + "</p>", PARAGRAPH),
         ("<form><p>" + PARAGRAPH + "</p></form><!-- <p>no</p> --><p>" + PARAGRAPH + " 1 < 2</p>", PARAGRAPH + " 1 < 2"),
         ("<ARTICLE><P>a <b>b</b>c</P><ul><li>x<li>y</ul><table><tr><td>1<td>2</table></ARTICLE>", "a bc\n\nx\n\ny\n\n1 2"),
+        ("<form id=page><header>x</header><article class='post has-comments'><p>In a form.</p><form><p>mail</p></form></article></form>", "In a form."),
+        ("<div class='content with-sidebar'><p>" + PARAGRAPH + "</p></div><div class='entryComments'><p>" + PARAGRAPH + "</p></div>", PARAGRAPH),
         ("<div id='cookie-notice'>" + PARAGRAPH + "</div><p>" + PARAGRAPH + "</p><p><a href=x>" + PARAGRAPH + "</a></p>", PARAGRAPH),
         ("<p title=\"a>b\">" + PARAGRAPH + "<p unclosed='x>" + PARAGRAPH, PARAGRAPH + "\n\n" + PARAGRAPH),
     ],
