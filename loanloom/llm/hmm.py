@@ -8,8 +8,8 @@ that the driver and every task hold of the model is states x buckets numbers, wh
 corpus; the counts of words, which grow with it, stay in Spark and are sent to the blocks of
 documents that ask for them, once for each block and word.
 
-Training starts from a bounded sample of documents, which only breaks the symmetry between
-states; the final parameters come from passes over all training documents. These are read in
+Training starts from a bounded sample of documents, on the driver, which only breaks the symmetry
+between states; the final parameters come from passes over all training documents. These are read in
 pieces of PIECE words; every word of every text counts. The likelihood of a text is exact, by
 the scaled forward recursion over the whole text; long texts are cut into segments whose
 transfer matrices are chained.
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from loanloom.llm import blocks as packing
 from loanloom.llm import text as words
-from loanloom.llm.session import ship_package, stored
+from loanloom.llm.session import sampled, ship_package, stored
 
 STATES, SYMBOL_BITS = 8, 12
 SYMBOLS = 1 << SYMBOL_BITS
@@ -264,11 +264,12 @@ def word_counts(blocks: packing.Blocks) -> tuple[DataFrame, np.ndarray, np.ndarr
     return answers, n, v, int(ends)
 
 
-def seeds(docs: DataFrame, limit: int = SEED_DOCUMENTS) -> list[bytes]:
-    """A fixed sample of at most `limit` training texts of at most SEED_BYTES."""
-    chosen = docs.filter(F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(7)) != 2)
-    chosen = chosen.filter(F.octet_length("text") <= SEED_BYTES).select("doc_id", "text")
-    return [(r["text"] or "").encode() for r in chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).collect()]
+def seeds(docs: DataFrame, n: int = SEED_DOCUMENTS) -> list[bytes]:
+    """A fixed sample of about `n` training texts, each of at most SEED_BYTES."""
+    held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(7)) == 2
+    chosen = docs.filter(~held & (F.octet_length("text") <= SEED_BYTES)).select("doc_id", "text")
+    rows = sampled(chosen, n, "doc_id").collect()
+    return [text for _, text in sorted((words.NO_ID if r["doc_id"] is None else r["doc_id"], r["text"].encode()) for r in rows)]
 
 
 def begin(texts: list[bytes], overall: np.ndarray, unseen: np.ndarray, states: int, passes: int) -> Model:
