@@ -8,7 +8,7 @@ takes one pass: half of the squared sum less the sum of squares. Only terms take
 share of toxic texts is further from the overall share than chance explains; weights with
 little evidence stay 0 (follow the regularised leader), so that long texts gather no noise.
 
-The model is fitted on at most FIT_ROWS labelled rows, chosen by a hash of the id; the rows
+The model is fitted on about FIT_ROWS labelled rows, chosen by a hash of the id; the rows
 whose CRC-32 of the id as text is 2 modulo 4 are never among them. It has 2 ** BITS weights and
 vectors whatever the corpus, and is applied to whole texts. Labels, languages, sources and ids
 are not inputs.
@@ -28,10 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.llm import text as words
-from loanloom.llm.session import ship_package
+from loanloom.llm.session import sampled, ship_package
 
 BITS, FACTORS = 18, 4
-#: Most labelled rows and bytes of their texts that a model is fitted on.
+#: Bytes of text whose terms are sorted at a time.
+PIECE_BYTES = 500_000
+#: Labelled rows that a model is fitted on, about, and most bytes of their texts.
 FIT_ROWS, FIT_BYTES = 12_000, 20_000
 #: A term is used if it is in so many labelled texts, and its toxic ones miss their expected
 #: number by more than so many standard deviations and one text.
@@ -127,23 +129,24 @@ def fit(term_lists: list[np.ndarray], labels: np.ndarray, seed: int = 5) -> Mach
 
 
 def sample(docs: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> tuple[list[np.ndarray], np.ndarray]:
-    """Terms and labels of at most `limit` labelled texts of at most FIT_BYTES."""
+    """Terms and labels of about `limit` labelled texts of at most FIT_BYTES."""
     usable = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("label")).filter("label IN (0, 1) AND _id IS NOT NULL")
-    usable = usable.filter(~held_out(F.col("_id"))).orderBy(F.xxhash64("_id"), "_id", "label").limit(limit)
+    usable = sampled(usable.filter(~held_out(F.col("_id"))), limit, "_id")
     joined = docs.select("doc_id", F.lower("text").alias("text")).join(F.broadcast(usable), F.col("doc_id") == F.col("_id"))
     joined = joined.filter(F.octet_length("text") <= FIT_BYTES).select("doc_id", "text", "label")
 
     def run(batches):
         for batch in batches:
             data, offsets = words.as_bytes(batch["text"])
-            for a, b in words.pieces(data, offsets):
+            for a, b in words.pieces(data, offsets, PIECE_BYTES):
                 text, term = terms(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 edges = np.searchsorted(text, np.arange(b - a + 1))
                 lists = [term[x:y].astype(np.int32).tobytes() for x, y in zip(edges[:-1], edges[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(a, b - a), batch["label"].slice(a, b - a), pa.array(lists, pa.binary())], ["doc_id", "label", "terms"])
 
-    # repeated ids could multiply the rows
-    rows = joined.mapInArrow(run, "doc_id long, label int, terms binary").orderBy("doc_id", "label", "terms").limit(limit).toArrow()
+    # one row for each id and label, whatever repeats
+    found = joined.mapInArrow(run, "doc_id long, label int, terms binary").groupBy("doc_id", "label").agg(F.min("terms").alias("terms"))
+    rows = found.toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
     return [np.frombuffer(x, np.int32) for x in rows["terms"].to_pylist()], np.array(rows["label"].to_pylist(), float)
 
 
@@ -155,7 +158,7 @@ def score(docs: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> DataFram
     def run(batches):
         for batch in batches:
             data, offsets = words.as_bytes(batch["text"])
-            for a, b in words.pieces(data, offsets):
+            for a, b in words.pieces(data, offsets, PIECE_BYTES):
                 found = machine.scores(*terms(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]), b - a)
                 columns = [batch[c].slice(a, b - a) for c in ("doc_id", "held_out")]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(found), pa.array((found >= TOXIC).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
