@@ -8,7 +8,8 @@ queries from the sample, and is compared with all vectors there by exact cosines
 
 Equal vectors are searched once and stand for each other: of their ids only the smallest
 can be among the nearest, as ties go to smaller ids, so a vector that fills a third of the table is
-no hot part. Parts are split into chunks of bounded size, and so are the queries for them.
+no hot part. Parts are split into chunks of bounded size, and the queries for each into lots.
+The number of parts, at most SAMPLE / PER_PART, does not grow with the table; chunks do.
 
 Null vectors, and vectors that are empty, zero or hold null or non-finite components, take no
 part; neither do those whose length differs from that of most of the sample. Rows without an
@@ -25,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanloom.llm.session import ship_package, stored
+from loanloom.llm.session import sampled, ship_package, stored
 
 #: Vectors that parts are learned on, neighbours in their graph, vectors of the sample for a part.
 SAMPLE, NEIGHBOURS, PER_PART = 8_000, 10, 250
 #: Units of the hidden layer, passes and rate of learning.
 HIDDEN, PASSES, RATE = 128, 40, 2e-3
 #: Share of true neighbours that queries of the sample must find, and the number of such queries.
-RECALL, TRIALS = 0.98, 1_000
+RECALL, TRIALS = 0.95, 1_000
 #: Vectors and queries of a chunk.
 CHUNK, QUERIES = 20_000, 4_000
 
@@ -184,7 +185,7 @@ def search(rows: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id",
     smallest = rows.withColumn("_n", F.row_number().over(Window.partitionBy("key").orderBy("id"))).filter(F.col("_n") <= k + 1)
     distinct = smallest.groupBy("key").agg(F.sort_array(F.collect_list("id")).alias("ids"), F.first("vector").alias("vector"))
     distinct = stored(distinct, "distinct-vectors")
-    taken = distinct.select("vector", F.size("vector").alias("d")).orderBy(F.xxhash64("vector"), "vector").limit(SAMPLE).toArrow()
+    taken = sampled(distinct.select("vector", F.size("vector").alias("d")), SAMPLE, "vector").orderBy("vector").toArrow()
     out = "query_id long, rank int, vec_id long, score double"
     if not taken.num_rows:
         return spark.createDataFrame([], out)
@@ -206,19 +207,20 @@ def search(rows: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id",
     shape = "key struct<col1:bigint,col2:int>, ids array<bigint>, vector array<double>, parts array<int>"
     index = same.mapInArrow(route(1), shape).select("ids", "vector", F.element_at("parts", 1).alias("part"))
     index = stored(index, "index")
-    counts = index.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks"))
-    counts = stored(counts.withColumnRenamed("part", "_part"), "parts")  # one row for each part
     queries = rows.filter((F.col("id") % every == 0) & (F.size("vector") == d))
     asked = queries.groupBy("key").agg(F.first("vector").alias("vector"), F.min("id").alias("any")).withColumn("ids", F.array("any"))
-    asked = stored(asked.select("key", "ids", "vector").mapInArrow(route(probes), shape), "asked")
-    asked = asked.select("key", "vector", F.explode("parts").alias("part"))
-    asked = asked.join(F.broadcast(counts), F.col("part") == F.col("_part"))
+    asked = asked.select("key", "ids", "vector").mapInArrow(route(probes), shape)
+    asked = stored(asked.select("key", "vector", F.explode("parts").alias("part")), "asked")
+    # one row for each part: how many chunks its vectors make, and how many lots its queries
+    loads = asked.groupBy(F.col("part").alias("_asked")).agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("lots"))
+    sizes = index.groupBy(F.col("part").alias("_part")).agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks"))
+    parts = stored(sizes.join(loads, F.col("_part") == F.col("_asked")).drop("_asked"), "parts")
+    asked = asked.join(F.broadcast(parts), F.col("part") == F.col("_part"))
     asked = asked.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    groups = max(1, -(-queries.count() // QUERIES))
-    asked = asked.withColumn("lot", F.pmod(F.xxhash64("key"), F.lit(groups)).cast("int"))
-    index = index.join(F.broadcast(counts), F.col("part") == F.col("_part"))
+    asked = asked.withColumn("lot", F.pmod(F.xxhash64("key"), F.col("lots")).cast("int"))
+    index = index.join(F.broadcast(parts), F.col("part") == F.col("_part"))
     index = index.withColumn("chunk", F.pmod(F.xxhash64("vector"), F.col("chunks")).cast("int"))
-    index = index.withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    index = index.withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)))
     place = ["part", "chunk", "lot"]
 
     def compare(left, right):
