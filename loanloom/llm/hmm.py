@@ -8,11 +8,11 @@ that the driver and every task hold of the model is states x buckets numbers, wh
 corpus; the counts of words, which grow with it, stay in Spark and are sent to the blocks of
 documents that ask for them, once for each block and word.
 
-Training starts from a bounded sample of documents, on the driver, which only breaks the symmetry
-between states; the final parameters come from passes over all training documents. These are read in
-pieces of PIECE words; every word of every text counts. The likelihood of a text is exact, by
-the scaled forward recursion over the whole text; long texts are cut into segments whose
-transfer matrices are chained.
+Training starts from fixed noise around the counts of all training documents. Every Baum-Welch
+pass reads all of them, every word of every text, until the likelihood gains less than TOLERANCE or
+after PASSES. Posteriors and likelihoods of a text are exact, by the scaled recursions over the
+whole text; long texts are cut into segments whose transfer matrices are chained in both
+directions.
 
 Null texts count as empty: one end, no words. Training documents are those whose CRC-32 of
 the id as text is not 2 modulo 7, a null id as the empty text. Every row gives one row. Without
@@ -31,15 +31,15 @@ from pyspark.sql import functions as F
 
 from loanloom.llm import blocks as packing
 from loanloom.llm import text as words
-from loanloom.llm.session import sampled, ship_package, stored
+from loanloom.llm.session import ship_package, stored
 
 STATES, SYMBOL_BITS = 8, 12
 SYMBOLS = 1 << SYMBOL_BITS
 END = SYMBOLS
-#: Words of a piece in training and of a segment in scoring.
-PIECE, SEGMENT = 256, 512
-#: Documents and passes of the start, and passes over all training documents.
-SEED_DOCUMENTS, SEED_BYTES, SEED_PASSES, PASSES = 1_000, 20_000, 20, 2
+#: Words of a segment, and segments that are handled at once in training.
+SEGMENT, SEGMENTS = 512, 512
+#: Most passes over all training documents, and the least share of the log-likelihood that a pass gains.
+PASSES, TOLERANCE = 22, 1e-4
 #: Larger blocks have fewer distinct words in all.
 BLOCK_BYTES = 4_000_000
 
@@ -87,6 +87,8 @@ class Counts:
     start: np.ndarray
     step: np.ndarray
     emit: np.ndarray
+    #: Natural logarithm of the probability of what was counted.
+    log: float = 0.0
 
     @classmethod
     def zero(cls, states: int) -> "Counts":
@@ -96,6 +98,7 @@ class Counts:
         self.start += other.start
         self.step += other.step
         self.emit += other.emit
+        self.log += other.log
 
     def model(self, unseen: np.ndarray) -> Model:
         """Parameters of largest likelihood, with one count more for every state and step, and
@@ -106,110 +109,131 @@ class Counts:
         return Model(start / start.sum(), step / step.sum(1, keepdims=True), emit / emit.sum(0))
 
 
-def _by_length(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where pieces of at most `size` tokens begin, and their lengths, longest first."""
-    lengths = np.diff(first)
-    n = -(-lengths // size)
-    at = np.repeat(first[:-1], n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)) * size
-    length = np.minimum(np.repeat(first[1:], n) - at, size)
-    order = np.argsort(-length, kind="stable")
-    return at[order], length[order]
+class Segments:
+    """Sequences cut into segments, and the matrices that lead through all but the first of each."""
+
+    def __init__(self, tokens: np.ndarray, first: np.ndarray, model: Model):
+        self.tokens, self.model = tokens, model
+        lengths = np.diff(first)
+        n = -(-lengths // SEGMENT)
+        self.seq = np.repeat(np.arange(len(lengths)), n)
+        k = np.arange(len(self.seq)) - np.repeat(np.cumsum(n) - n, n)
+        self.at = first[:-1][self.seq] + k * SEGMENT
+        self.length = np.minimum(first[1:][self.seq] - self.at, SEGMENT)
+        self.head, self.tail = np.flatnonzero(k == 0), np.flatnonzero(k > 0)
+        states = len(model.start)
+        self.rows, self.logs = self.run(self.tail, np.tile(model.step, (len(self.tail), 1, 1)))
+        #: Normed forward vectors at the end of every segment that has a next one.
+        self.forward = np.zeros((len(self.seq), states))
+
+    def run(self, segments: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Forward vectors (segments, r, states) at the ends of segments, normed, and log10 of their norms."""
+        order = np.argsort(-self.length[segments], kind="stable")
+        at, length, rows = self.at[segments][order], self.length[segments][order], rows[order]
+        logs, states = np.zeros(rows.shape[:2]), rows.shape[2]
+        active = np.searchsorted(-length, -np.arange(length[0] if len(length) else 0), "left")
+        for t, many in enumerate(active):
+            part = rows[:many]
+            if t:
+                part = (part.reshape(-1, states) @ self.model.step).reshape(part.shape)
+            part = part * self.model.emit[self.tokens[at[:many] + t]][:, None, :]
+            if t % 8 == 7 or t == len(active) - 1:
+                scale = part.sum(2)
+                logs[:many] += np.log10(scale)
+                part = part / scale[:, :, None]
+            rows[:many] = part
+        scale = rows.sum(2)
+        logs += np.log10(scale)
+        rows /= scale[:, :, None]
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return rows[back], logs[back]
+
+    def onward(self, segments: np.ndarray) -> np.ndarray:
+        """log10 of the probability of every sequence; `segments` are the first ones to run."""
+        forward, logs = self.run(segments, np.tile(self.model.start, (len(segments), 1, 1)))
+        self.forward[segments], out = forward[:, 0], np.zeros(self.seq[-1] + 1 if len(self.seq) else 0)
+        out[self.seq[segments]] = logs[:, 0]
+        for j, k in enumerate(self.tail):
+            row = self.logs[j] + np.log10(np.maximum(self.forward[k - 1], 1e-300))
+            top = row.max()
+            vector = 10.0 ** (row - top) @ self.rows[j]
+            out[self.seq[k]] += top + np.log10(vector.sum())
+            self.forward[k] = vector / vector.sum()
+        return out
+
+    def backward(self) -> np.ndarray:
+        """Backward vectors at the end of every segment, up to a factor."""
+        out = np.ones((len(self.seq), len(self.model.start)))
+        for j in range(len(self.tail) - 1, -1, -1):
+            k = self.tail[j]
+            vector = 10.0 ** (self.logs[j] - self.logs[j].max()) * (self.rows[j] @ out[k])
+            out[k - 1] = vector / vector.sum()
+        return out
 
 
 def expected(tokens: np.ndarray, first: np.ndarray, model: Model) -> Counts:
-    """Baum-Welch counts of pieces of the sequences."""
-    states = len(model.start)
-    out = Counts.zero(states)
-    at, length = _by_length(first, PIECE)
-    for a in range(0, len(at), 1024):
-        _expect(tokens, at[a : a + 1024], length[a : a + 1024], model, out)
+    """Baum-Welch counts of the sequences, with posteriors given the whole of each."""
+    out = Counts.zero(len(model.start))
+    cut = Segments(tokens, first, model)
+    # sequences of one segment need no vectors from others
+    cut.onward(cut.head[np.isin(cut.head + 1, cut.tail)])
+    beta = cut.backward()
+    order = np.argsort(-cut.length, kind="stable")
+    for a in range(0, len(order), SEGMENTS):
+        _expect(cut, order[a : a + SEGMENTS], beta, out)
     return out
 
 
-def _expect(tokens, at, length, model, out) -> None:
-    if not len(at):
-        return
+def _expect(cut, segments, beyond, out) -> None:
+    """Adds the counts of segments, longest first; `beyond` are the backward vectors at their ends."""
+    tokens, model, at, length = cut.tokens, cut.model, cut.at[segments], cut.length[segments]
     steps, active = int(length[0]), np.searchsorted(-length, -np.arange(length[0]), "left")
+    later = np.isin(segments, cut.tail)
+    before = cut.forward[segments - 1]
     emitted = [model.emit[tokens[at[: active[t]] + t]] for t in range(steps)]
     alphas, scales = [], []
-    alpha = model.start * emitted[0]
+    alpha = np.where(later[:, None], before @ model.step, model.start) * emitted[0]
     for t in range(steps):
         if t:
             alpha = (alpha[: active[t]] @ model.step) * emitted[t]
-        scale = alpha.sum(1, keepdims=True)
-        alpha = alpha / scale
+        scale = None
+        if t % 8 == 7:
+            scale = alpha.sum(1, keepdims=True)
+            alpha = alpha / scale
+            out.log += np.log(scale).sum()
+        ends = alpha[active[t + 1] if t < steps - 1 else 0 :]
+        if len(ends):
+            out.log += np.log(ends.sum(1)).sum()
         alphas.append(alpha)
         scales.append(scale)
     seen, posteriors = [], []
-    beta = np.ones((active[-1], len(model.start)))
+    many, beta = 0, np.zeros((0, len(model.start)))
     for t in range(steps - 1, -1, -1):
         if t < steps - 1:
-            ahead = emitted[t + 1] * beta / scales[t + 1]
-            out.step += model.step * (alphas[t][: active[t + 1]].T @ ahead)
-            beta = np.ones((active[t], len(model.start)))
-            beta[: active[t + 1]] = ahead @ model.step.T
+            ahead = emitted[t + 1] * beta
+            if scales[t + 1] is not None:
+                ahead /= scales[t + 1]
+            out.step += model.step * (alphas[t][:many].T @ ahead)
+            beta = ahead @ model.step.T
+        if active[t] > many:  # segments that end here
+            last = beyond[segments[many : active[t]]]
+            last = last / (alphas[t][many:] * last).sum(1, keepdims=True)
+            beta, many = np.concatenate([beta, last]), active[t]
         gamma = alphas[t] * beta
         seen.append(tokens[at[: active[t]] + t])
         posteriors.append(gamma)
-    out.start += posteriors[-1].sum(0)
+    out.start += posteriors[-1][~later].sum(0)
+    out.step += model.step * (before[later].T @ (emitted[0] * beta)[later])
     seen, posteriors = np.concatenate(seen), np.concatenate(posteriors)
     for k in range(len(model.start)):
         out.emit[:, k] += np.bincount(seen, posteriors[:, k], SYMBOLS + 1)
 
 
 def log_likelihoods(tokens: np.ndarray, first: np.ndarray, model: Model) -> np.ndarray:
-    """log10 of the exact probability of each sequence.
-
-    The first segment of a sequence carries its forward vector, later ones one row for every
-    state they may begin in; the rows are chained afterwards.
-    """
-    states = len(model.start)
-    lengths = np.diff(first)
-    n = -(-lengths // SEGMENT)
-    seq = np.repeat(np.arange(len(lengths)), n)
-    k = np.arange(len(seq)) - np.repeat(np.cumsum(n) - n, n)
-    at = first[:-1][seq] + k * SEGMENT
-    length = np.minimum(first[1:][seq] - at, SEGMENT)
-    head, tail = np.flatnonzero(k == 0), np.flatnonzero(k > 0)
-
-    def run(at, length, rows):
-        """Forward vectors over segments, longest first; rows: (segments, r, states)."""
-        order = np.argsort(-length, kind="stable")
-        at, length, rows = at[order], length[order], rows[order]
-        logs = np.zeros(rows.shape[:2])
-        active = np.searchsorted(-length, -np.arange(length[0] if len(length) else 0), "left")
-        for t, many in enumerate(active):
-            part = rows[:many]
-            if t:
-                part = part @ model.step
-            part = part * model.emit[tokens[at[:many] + t]][:, None, :]
-            if t % 8 == 7 or t == len(active) - 1:
-                scale = part.sum(2)
-                logs[:many] += np.log10(scale)
-                part = part / scale[:, :, None]
-            rows[:many] = part
-        scale = rows.sum(2)
-        logs += np.log10(scale)
-        rows /= scale[:, :, None]
-        back = np.empty(len(order), np.int64)
-        back[order] = np.arange(len(order))
-        return rows[back], logs[back]
-
-    out = np.zeros(len(lengths))
-    if not len(head):
-        return out
-    forward, logs = run(at[head], length[head], np.tile(model.start, (len(head), 1, 1)))
-    forward, out = forward[:, 0], logs[:, 0].copy()
-    if len(tail):
-        ahead, logs = run(at[tail], length[tail], np.tile(model.step, (len(tail), 1, 1)))
-        for j, s in enumerate(seq[tail]):
-            row = logs[j] + np.log10(np.maximum(forward[s], 1e-300))
-            top = row.max()
-            weight = 10.0 ** (row - top)
-            vector = weight @ ahead[j]
-            out[s] += top + np.log10(vector.sum())
-            forward[s] = vector / vector.sum()
-    return out
+    """log10 of the exact probability of each sequence."""
+    cut = Segments(tokens, first, model)
+    return cut.onward(cut.head)
 
 
 def word_counts(blocks: packing.Blocks) -> tuple[DataFrame, np.ndarray, np.ndarray, int]:
@@ -264,52 +288,60 @@ def word_counts(blocks: packing.Blocks) -> tuple[DataFrame, np.ndarray, np.ndarr
     return answers, n, v, int(ends)
 
 
-def seeds(docs: DataFrame, n: int = SEED_DOCUMENTS) -> list[bytes]:
-    """A fixed sample of about `n` training texts, each of at most SEED_BYTES."""
-    held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(7)) == 2
-    chosen = docs.filter(~held & (F.octet_length("text") <= SEED_BYTES)).select("doc_id", "text")
-    rows = sampled(chosen, n, "doc_id").collect()
-    return [text for _, text in sorted((words.NO_ID if r["doc_id"] is None else r["doc_id"], r["text"].encode()) for r in rows)]
-
-
-def begin(texts: list[bytes], overall: np.ndarray, unseen: np.ndarray, states: int, passes: int) -> Model:
-    """States told apart on the sample: random emissions, then Baum-Welch."""
+def begin(overall: np.ndarray, states: int) -> Model:
+    """States told apart by fixed noise around the shares of all symbols."""
     random = np.random.default_rng(11)
     noise = random.dirichlet(np.full(states, 0.5), SYMBOLS + 1)
     emit = overall[:, None] * (0.2 / states + noise)
     step = np.full((states, states), 0.1 / (states - 1)) if states > 1 else np.ones((1, 1))
     np.fill_diagonal(step, 0.9 if states > 1 else 1.0)
-    model = Model(np.full(states, 1.0 / states), step, emit / emit.sum(0))
-    offsets = np.r_[0, np.cumsum([len(t) for t in texts])].astype(np.int64)
-    row = {"ids": np.zeros(len(texts), np.int64).tobytes(), "text": b"".join(texts), "offsets": offsets.tobytes()}
-    sample = Texts(row)
-    tokens, first = sample.sequences(np.arange(len(texts)))
-    for _ in range(passes if len(texts) else 0):
-        model = expected(tokens, first, model).model(unseen)
-    return model
+    return Model(np.full(states, 1.0 / states), step, emit / emit.sum(0))
+
+
+def training(blocks: packing.Blocks) -> DataFrame:
+    """tokens and first of the training documents of every block, written once for all passes."""
+
+    def run(row):
+        texts = Texts(row)
+        tokens, first = texts.sequences(np.flatnonzero(~texts.held))
+        columns = [pa.array([x.tobytes()], pa.binary()) for x in (tokens.astype(np.uint16), first.astype(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, ["tokens", "first"])
+
+    return stored(blocks.without_rest().map(run, "tokens binary, first binary"), "hmm-tokens")
 
 
-def train(blocks: packing.Blocks, model: Model, unseen: np.ndarray) -> Model:
-    """One Baum-Welch pass over all training documents."""
+def train(sequences: DataFrame, model: Model) -> Counts:
+    """The counts of one Baum-Welch pass over all training documents."""
     states = len(model.start)
-    shapes = [(states,), (states, states), (SYMBOLS + 1, states)]
+    shapes = [(states,), (states, states), (SYMBOLS + 1, states), (1,)]
 
     def run(batches):
         total = Counts.zero(states)
         for batch in batches:
-            for k in range(batch.num_rows):
-                texts = Texts({c: batch[c][k].as_py() for c in batch.schema.names})
-                total.add(expected(*texts.sequences(np.flatnonzero(~texts.held)), model))
-        flat = np.concatenate([x.reshape(-1) for x in (total.start, total.step, total.emit)])
+            for tokens, first in zip(batch["tokens"], batch["first"], strict=True):
+                total.add(expected(np.frombuffer(tokens.as_buffer(), np.uint16), np.frombuffer(first.as_buffer(), np.int64), model))
+        flat = np.concatenate([np.reshape(x, -1) for x in (total.start, total.step, total.emit, total.log)])
         used = np.flatnonzero(flat)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(flat[used])], ["i", "value"])
 
-    found = blocks.table.select("ids", "text", "offsets").mapInArrow(run, "i long, value double").groupBy("i").agg(F.sum("value").alias("value"))
+    found = sequences.mapInArrow(run, "i long, value double").groupBy("i").agg(F.sum("value").alias("value"))
     flat = np.zeros(sum(int(np.prod(s)) for s in shapes))
     rows = found.toArrow()  # one number for each parameter
     flat[np.asarray(rows["i"].combine_chunks())] = np.asarray(rows["value"].combine_chunks())
-    cuts = np.split(flat, np.cumsum([int(np.prod(s)) for s in shapes])[:-1])
-    return Counts(*[c.reshape(s) for c, s in zip(cuts, shapes, strict=True)]).model(unseen)
+    start, step, emit, log = np.split(flat, np.cumsum([int(np.prod(s)) for s in shapes])[:-1])
+    return Counts(start, step.reshape(shapes[1]), emit.reshape(shapes[2]), float(log[0]))
+
+
+def fit(sequences: DataFrame, model: Model, unseen: np.ndarray, passes: int, tolerance: float = TOLERANCE) -> Model:
+    """Baum-Welch passes until the likelihood stops rising, `passes` at most."""
+    last = -np.inf
+    for _ in range(passes):
+        counts = train(sequences, model)
+        model = counts.model(unseen)
+        if counts.log - last <= tolerance * abs(counts.log):
+            break
+        last = counts.log
+    return model
 
 
 def score(docs: DataFrame, states: int = STATES, passes: int = PASSES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -321,9 +353,7 @@ def score(docs: DataFrame, states: int = STATES, passes: int = PASSES, block_byt
     n_tokens, n_types = int(n_b.sum()) + ends, int(v_b.sum()) + (ends > 0)
     unseen = np.r_[v_b + 1, 1.0]
     overall = np.r_[n_b, ends] + unseen
-    model = begin(seeds(docs), overall / overall.sum(), unseen, states, SEED_PASSES)
-    for _ in range(passes):
-        model = train(blocks, model, unseen)
+    model = fit(training(blocks), begin(overall / overall.sum(), states), unseen, passes)
     weight = n_b + v_b + 1
     unit = np.log10(n_tokens + n_types + 1)
 

@@ -211,6 +211,41 @@ def test_baum_welch_never_loses_likelihood():
         last = now
 
 
+def test_counts_of_long_texts_are_exact():
+    """Posteriors of a text of many segments are those given the whole text."""
+    random = np.random.default_rng(5)
+    model = hmm.Model(random.dirichlet(np.ones(3)), random.dirichlet(np.ones(3), 3), random.dirichlet(np.ones(hmm.SYMBOLS + 1), 3).T)
+    first = np.r_[0, np.cumsum([1, 512, 513, 1400, 7])]
+    tokens = random.integers(0, hmm.SYMBOLS + 1, first[-1])
+    start, step, emit = np.zeros(3), np.zeros((3, 3)), np.zeros((hmm.SYMBOLS + 1, 3))
+    for a, b in zip(first[:-1], first[1:], strict=True):
+        alpha, beta = [model.start * model.emit[tokens[a]]], [np.ones(3)]
+        for t in range(a + 1, b):
+            ahead = (alpha[-1] / alpha[-1].sum()) @ model.step * model.emit[tokens[t]]
+            alpha.append(ahead)
+        for t in range(b - 1, a, -1):
+            pair = model.step * np.outer(alpha[t - a - 1], model.emit[tokens[t]] * beta[0])
+            step += pair / pair.sum()
+            behind = model.step @ (model.emit[tokens[t]] * beta[0])
+            beta.insert(0, behind / behind.sum())
+        gamma = np.array(alpha) * np.array(beta)
+        gamma /= gamma.sum(1, keepdims=True)
+        start += gamma[0]
+        np.add.at(emit, tokens[a:b], gamma)
+    found = hmm.expected(tokens, first, model)
+    assert all(np.allclose(x, y, rtol=1e-9, atol=1e-12) for x, y in [(found.start, start), (found.step, step), (found.emit, emit)])
+
+
+def test_long_texts_are_trained_like_others(spark):
+    """Two vocabularies in long runs: states tell them apart though every text has more than 20 KB."""
+    random = np.random.default_rng(6)
+    rows = [(i, " ".join(f"{'ab'[k // 250 % 2]}word{w}" for k, w in enumerate(random.integers(0, 300, 3000)))) for i in range(30)]
+    assert min(len(t) for _, t in rows) > 20_000
+    found = hmm.score(spark.createDataFrame(rows, "doc_id long, text string"))
+    gain = found.filter("held_out").agg(F.sum("score") - F.sum("base_score"), F.sum("n_tokens")).first()
+    assert gain[0] > 0.2 * gain[1]  # log10(2) is 0.301
+
+
 # -- toxicity ----------------------------------------------------------------
 
 
