@@ -1,12 +1,12 @@
 """A hidden Markov language model, trained by Baum-Welch counts from all partitions.
 
-A token is a lower-cased word or the end of a text. Words fall into SYMBOLS buckets by the
-hash; hidden states emit buckets, and a bucket emits its words by their counts:
-p(word | bucket) = (c + 1) / (N_b + V_b + 1), so that one unit is left for unknown words. States
-that tell nothing apart would thus give the add-one unigram model. All
-that the driver and every task hold of the model is states x buckets numbers, whatever the
-corpus; the counts of words, which grow with it, stay in Spark and are sent to the blocks of
-documents that ask for them, once for each block and word.
+A token is a lower-cased word or the end of a text. In training, words fall into SYMBOLS buckets by
+the hash and hidden states emit buckets; that is all the driver holds of the model, whatever the
+corpus. A last pass then counts the states of every word, 8 numbers each, which stay in Spark and
+are sent to the blocks of documents that ask for them, once for each block and word. A word of c
+occurrences, E of them in a state, has (c + 1) * (E + BACK_OFF * bucket's share) / (c + BACK_OFF) there;
+an unknown word has one by its bucket's shares. States that tell nothing apart would thus give the
+add-one unigram model. Shares are sent as 16-bit numbers.
 
 Training starts from fixed noise around the counts of all training documents. Every Baum-Welch
 pass reads all of them, every word of every text, until the likelihood gains less than TOLERANCE or
@@ -40,6 +40,8 @@ END = SYMBOLS
 SEGMENT, SEGMENTS = 512, 512
 #: Most passes over all training documents, and the least share of the log-likelihood that a pass gains.
 PASSES, TOLERANCE = 22, 1e-4
+#: Occurrences that a bucket's shares of the states count for in those of its words.
+BACK_OFF = 1.0
 #: Larger blocks have fewer distinct words in all.
 BLOCK_BYTES = 4_000_000
 
@@ -62,16 +64,17 @@ class Texts:
         self.doc = found.text_of_word()
         self.held = np.array([held_out(i) for i in self.ids], bool)
 
-    def sequences(self, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Symbols of the chosen documents, each followed by an end, and where each begins."""
+    def sequences(self, docs: np.ndarray, labels: np.ndarray | None = None, end: int = END) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols (or `labels` of the words) of the chosen documents, each followed by an end, and where each begins."""
+        labels = symbols(self.codes) if labels is None else labels
         lengths = np.diff(self.first)[docs] + 1
         first = np.r_[0, np.cumsum(lengths)]
-        out = np.full(first[-1], END)
+        out = np.full(first[-1], end)
         place = np.ones(first[-1], bool)
         place[first[1:] - 1] = False
         chosen = np.zeros(len(self.ids), bool)
         chosen[docs] = True
-        out[place] = symbols(self.codes[chosen[self.doc]])
+        out[place] = labels[chosen[self.doc]]
         return out, first
 
 
@@ -91,8 +94,8 @@ class Counts:
     log: float = 0.0
 
     @classmethod
-    def zero(cls, states: int) -> "Counts":
-        return cls(np.zeros(states), np.zeros((states, states)), np.zeros((SYMBOLS + 1, states)))
+    def zero(cls, states: int, size: int = SYMBOLS + 1) -> "Counts":
+        return cls(np.zeros(states), np.zeros((states, states)), np.zeros((size, states)))
 
     def add(self, other: "Counts") -> None:
         self.start += other.start
@@ -100,12 +103,15 @@ class Counts:
         self.emit += other.emit
         self.log += other.log
 
+    def smoothed(self, unseen: np.ndarray) -> np.ndarray:
+        """Emissions with `unseen` counts for the symbols, dealt to the states by their share of all tokens."""
+        total = self.emit.sum()
+        share = self.emit.sum(0) / total if total else np.full(len(self.start), 1 / len(self.start))
+        return self.emit + np.maximum(share, 1e-9) * unseen[:, None]
+
     def model(self, unseen: np.ndarray) -> Model:
-        """Parameters of largest likelihood, with one count more for every state and step, and
-        `unseen` counts for the symbols, dealt to the states by their share of all tokens."""
-        start, step, total = self.start + 1.0, self.step + 1.0, self.emit.sum()
-        share = self.emit.sum(0) / total if total else np.full(len(start), 1 / len(start))
-        emit = self.emit + np.maximum(share, 1e-9) * unseen[:, None]
+        """Parameters of largest likelihood, with one count more for every state and step."""
+        start, step, emit = self.start + 1.0, self.step + 1.0, self.smoothed(unseen)
         return Model(start / start.sum(), step / step.sum(1, keepdims=True), emit / emit.sum(0))
 
 
@@ -172,20 +178,22 @@ class Segments:
         return out
 
 
-def expected(tokens: np.ndarray, first: np.ndarray, model: Model) -> Counts:
-    """Baum-Welch counts of the sequences, with posteriors given the whole of each."""
-    out = Counts.zero(len(model.start))
+def expected(tokens: np.ndarray, first: np.ndarray, model: Model, labels: np.ndarray | None = None, size: int = SYMBOLS + 1) -> Counts:
+    """Baum-Welch counts of the sequences, with posteriors given the whole of each. Emissions are
+    counted by symbol or by the `labels` below `size` of the tokens."""
+    out = Counts.zero(len(model.start), size)
+    labels = tokens if labels is None else labels
     cut = Segments(tokens, first, model)
     # sequences of one segment need no vectors from others
     cut.onward(cut.head[np.isin(cut.head + 1, cut.tail)])
     beta = cut.backward()
     order = np.argsort(-cut.length, kind="stable")
     for a in range(0, len(order), SEGMENTS):
-        _expect(cut, order[a : a + SEGMENTS], beta, out)
+        _expect(cut, order[a : a + SEGMENTS], beta, labels, out)
     return out
 
 
-def _expect(cut, segments, beyond, out) -> None:
+def _expect(cut, segments, beyond, labels, out) -> None:
     """Adds the counts of segments, longest first; `beyond` are the backward vectors at their ends."""
     tokens, model, at, length = cut.tokens, cut.model, cut.at[segments], cut.length[segments]
     steps, active = int(length[0]), np.searchsorted(-length, -np.arange(length[0]), "left")
@@ -221,13 +229,13 @@ def _expect(cut, segments, beyond, out) -> None:
             last = last / (alphas[t][many:] * last).sum(1, keepdims=True)
             beta, many = np.concatenate([beta, last]), active[t]
         gamma = alphas[t] * beta
-        seen.append(tokens[at[: active[t]] + t])
+        seen.append(labels[at[: active[t]] + t])
         posteriors.append(gamma)
     out.start += posteriors[-1][~later].sum(0)
     out.step += model.step * (before[later].T @ (emitted[0] * beta)[later])
     seen, posteriors = np.concatenate(seen), np.concatenate(posteriors)
     for k in range(len(model.start)):
-        out.emit[:, k] += np.bincount(seen, posteriors[:, k], SYMBOLS + 1)
+        out.emit[:, k] += np.bincount(seen, posteriors[:, k], len(out.emit))
 
 
 def log_likelihoods(tokens: np.ndarray, first: np.ndarray, model: Model) -> np.ndarray:
@@ -236,45 +244,30 @@ def log_likelihoods(tokens: np.ndarray, first: np.ndarray, model: Model) -> np.n
     return cut.onward(cut.head)
 
 
-def word_counts(blocks: packing.Blocks) -> tuple[DataFrame, np.ndarray, np.ndarray, int]:
-    """Answers (block, part) with the training count of each distinct word of a block, in the order
-    of word codes; words and distinct words per bucket; training documents."""
+def word_counts(blocks: packing.Blocks) -> tuple[np.ndarray, np.ndarray, int]:
+    """Training words and distinct ones per bucket; training documents."""
     n_groups = blocks.groups()
 
     def ask(row):
         texts = Texts(row)
-        keys, inverse = np.unique(texts.codes, return_inverse=True)
-        counts = np.bincount(inverse, ~texts.held[texts.doc], len(keys)).astype(np.uint32)
+        keys, counts = np.unique(texts.codes[~texts.held[texts.doc]], return_counts=True)
         parts = packing.split_sorted(keys, n_groups)
-        columns = [pa.array([g for g, _, _ in parts], pa.int64()), pa.array([row["block"]] * len(parts), pa.int64())]
-        columns += [pa.array([x[a:b].tobytes() for _, a, b in parts], pa.binary()) for x in (keys, counts)]
-        yield pa.RecordBatch.from_arrays(columns, ["grp", "block", "keys", "counts"])
+        columns = [pa.array([g for g, _, _ in parts], pa.int64())]
+        columns += [pa.array([x[a:b].tobytes() for _, a, b in parts], pa.binary()) for x in (keys, counts.astype(np.uint32))]
+        yield pa.RecordBatch.from_arrays(columns, ["grp", "keys", "counts"])
 
     def add(table):
-        keys, rows = packing.grouped(table, "keys", np.uint64)
+        keys, _ = packing.grouped(table, "keys", np.uint64)
         counts, _ = packing.grouped(table, "counts", np.uint32)
         known, inverse = np.unique(keys, return_inverse=True)
         total = np.bincount(inverse, counts, len(known)).astype(np.int64)
-        edges = np.searchsorted(rows, np.arange(table.num_rows + 1))
-        found = total[inverse]
         buckets = symbols(known)
         used = np.unique(buckets)
-        of_bucket = [np.bincount(buckets, w, SYMBOLS)[used] for w in (total, total > 0)]
-        sums = np.stack([used, *of_bucket]).astype(np.int64).tobytes()
-        grp = table["grp"].slice(0, 1).to_pylist() * (table.num_rows + 1)
-        parts = [found[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
-        return pa.table({"grp": pa.array(grp, pa.int64()), "block": pa.array([*table["block"].to_pylist(), None], pa.int64()), "counts": pa.array([*parts, sums], pa.binary())})
-
-    asked = blocks.without_rest().map(ask, "grp long, block long, keys binary, counts binary")
-    answers = stored(asked.groupBy("grp").applyInArrow(add, "grp long, block long, counts binary"), "word-counts")
+        of_bucket = [np.bincount(buckets, w, SYMBOLS)[used].astype(np.int64) for w in (total, total > 0)]
+        return pa.table([pa.array(c) for c in (used, *of_bucket)], ["symbol", "n", "v"])
 
-    def bucket_rows(batches):
-        for batch in batches:
-            for x in batch["counts"].to_pylist():
-                used, n, v = np.frombuffer(x, np.int64).reshape(3, -1)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (used, n, v)], ["symbol", "n", "v"])
-
-    sums = answers.filter("block IS NULL").select("counts").mapInArrow(bucket_rows, "symbol long, n long, v long")
+    asked = blocks.without_rest().map(ask, "grp long, keys binary, counts binary")
+    sums = asked.groupBy("grp").applyInArrow(add, "symbol long, n long, v long")
     sums = sums.groupBy("symbol").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
     n, v = np.zeros(SYMBOLS), np.zeros(SYMBOLS)
     for row in sums.collect():  # at most SYMBOLS rows
@@ -284,8 +277,69 @@ def word_counts(blocks: packing.Blocks) -> tuple[DataFrame, np.ndarray, np.ndarr
         yield pa.RecordBatch.from_arrays([pa.array([int((~np.array([held_out(i) for i in np.frombuffer(row["ids"], np.int64)], bool)).sum())], pa.int64())], ["n"])
 
     ends = replace(blocks, table=blocks.table.select("ids")).map(trained, "n long").agg(F.sum("n")).first()[0] or 0
-    answers = answers.filter("block IS NOT NULL").select("block", F.struct("grp", "counts").alias("part"))
-    return answers, n, v, int(ends)
+    return n, v, int(ends)
+
+
+def rounded(shares: np.ndarray) -> np.ndarray:
+    """Shares of the states as 16-bit numbers, none of them 0."""
+    return np.clip(np.round(shares * 65_535), 1, 65_535).astype(np.uint16)
+
+
+def weights(counts: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """What words of these counts and rounded shares have in the states, 1 + count in all."""
+    return (counts + 1.0)[:, None] * shares / shares.sum(1, dtype=np.float64, keepdims=True)
+
+
+def word_states(blocks: packing.Blocks, model: Model, of_bucket: np.ndarray) -> tuple[DataFrame, np.ndarray]:
+    """Answers (block, part) with the training count of each distinct word of a block and its shares of
+    the states, in the order of word codes; the weights of all known words per state."""
+    n_groups, states = blocks.groups(), len(model.start)
+
+    def ask(row):
+        texts = Texts(row)
+        keys, inverse = np.unique(texts.codes, return_inverse=True)
+        counts = np.bincount(inverse, ~texts.held[texts.doc], len(keys)).astype(np.uint32)
+        docs = np.flatnonzero(~texts.held)
+        labels, _ = texts.sequences(docs, inverse, len(keys))
+        found = expected(*texts.sequences(docs), model, labels, len(keys) + 1).emit[:-1]
+        shares = np.round(found / np.maximum(counts, 1)[:, None] * 65_535).clip(0, 65_535).astype(np.uint16)
+        parts = packing.split_sorted(keys, n_groups)
+        columns = [pa.array([g for g, _, _ in parts], pa.int64()), pa.array([row["block"]] * len(parts), pa.int64())]
+        columns += [pa.array([x[a:b].tobytes() for _, a, b in parts], pa.binary()) for x in (keys, counts, shares)]
+        yield pa.RecordBatch.from_arrays(columns, ["grp", "block", "keys", "counts", "shares"])
+
+    def add(table):
+        keys, rows = packing.grouped(table, "keys", np.uint64)
+        counts, _ = packing.grouped(table, "counts", np.uint32)
+        shares = packing.grouped(table, "shares", np.uint16)[0].reshape(-1, states)
+        known, inverse = np.unique(keys, return_inverse=True)
+        total = np.bincount(inverse, counts, len(known)).astype(np.int64)
+        scale = counts / 65_535
+        found = np.stack([np.bincount(inverse, scale * shares[:, k], len(known)) for k in range(states)], 1)
+        found += BACK_OFF * of_bucket[symbols(known)]
+        used = rounded(found / found.sum(1, keepdims=True))
+        sums = weights(total, used)[total > 0].sum(0)
+        edges = np.searchsorted(rows, np.arange(table.num_rows + 1))
+        spans = list(zip(edges[:-1], edges[1:], strict=True))
+        parts = [[x[inverse[a:b]].tobytes() for a, b in spans] for x in (total, used)]
+        grp = table["grp"].slice(0, 1).to_pylist() * (table.num_rows + 1)
+        columns = [pa.array(grp, pa.int64()), pa.array([*table["block"].to_pylist(), None], pa.int64())]
+        columns += [pa.array([*parts[0], sums.tobytes()], pa.binary()), pa.array([*parts[1], None], pa.binary())]
+        return pa.table(columns, ["grp", "block", "counts", "shares"])
+
+    asked = blocks.without_rest().map(ask, "grp long, block long, keys binary, counts binary, shares binary")
+    answers = stored(asked.groupBy("grp").applyInArrow(add, "grp long, block long, counts binary, shares binary"), "word-states")
+
+    def state_rows(batches):
+        for batch in batches:
+            for x in batch["counts"].to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(range(states), pa.int64()), pa.array(np.frombuffer(x))], ["state", "weight"])
+
+    sums = answers.filter("block IS NULL").select("counts").mapInArrow(state_rows, "state long, weight double")
+    total = np.zeros(states)
+    for row in sums.groupBy("state").agg(F.sum("weight").alias("weight")).collect():  # one row for each state
+        total[row["state"]] = row["weight"]
+    return answers.filter("block IS NOT NULL").select("block", F.struct("grp", "counts", "shares").alias("part")), total
 
 
 def begin(overall: np.ndarray, states: int) -> Model:
@@ -332,16 +386,16 @@ def train(sequences: DataFrame, model: Model) -> Counts:
     return Counts(start, step.reshape(shapes[1]), emit.reshape(shapes[2]), float(log[0]))
 
 
-def fit(sequences: DataFrame, model: Model, unseen: np.ndarray, passes: int, tolerance: float = TOLERANCE) -> Model:
-    """Baum-Welch passes until the likelihood stops rising, `passes` at most."""
-    last = -np.inf
+def fit(sequences: DataFrame, model: Model, unseen: np.ndarray, passes: int, tolerance: float = TOLERANCE) -> tuple[Model, Counts]:
+    """Baum-Welch passes until the likelihood stops rising, `passes` at most; the counts of the last."""
+    last, counts = -np.inf, Counts.zero(len(model.start))
     for _ in range(passes):
         counts = train(sequences, model)
         model = counts.model(unseen)
         if counts.log - last <= tolerance * abs(counts.log):
             break
         last = counts.log
-    return model
+    return model, counts
 
 
 def score(docs: DataFrame, states: int = STATES, passes: int = PASSES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -349,20 +403,25 @@ def score(docs: DataFrame, states: int = STATES, passes: int = PASSES, block_byt
     ship_package(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     blocks = packing.pack(docs, size=block_bytes)
-    answers, n_b, v_b, ends = word_counts(blocks)
+    n_b, v_b, ends = word_counts(blocks)
     n_tokens, n_types = int(n_b.sum()) + ends, int(v_b.sum()) + (ends > 0)
     unseen = np.r_[v_b + 1, 1.0]
     overall = np.r_[n_b, ends] + unseen
-    model = fit(training(blocks), begin(overall / overall.sum(), states), unseen, passes)
-    weight = n_b + v_b + 1
+    model, counts = fit(training(blocks), begin(overall / overall.sum(), states), unseen, passes)
+    buckets = counts.smoothed(unseen)
+    of_bucket = buckets / buckets.sum(1, keepdims=True)
+    answers, total = word_states(blocks, model, of_bucket)
+    end, total = buckets[END:], total + buckets[END] + of_bucket[:END].sum(0)
     unit = np.log10(n_tokens + n_types + 1)
 
     def run(row):
         texts = Texts(row)
         docs = np.arange(len(texts.ids))
         keys, inverse = np.unique(texts.codes, return_inverse=True)
-        parts = sorted((p["grp"], p["counts"]) for p in row["part"] or [])
-        counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x, np.int64) for _, x in parts)])
+        parts = sorted((p["grp"], p["counts"], p["shares"]) for p in row["part"] or [])
+        counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x, np.int64) for _, x, _ in parts)])
+        shares = np.concatenate([np.zeros(0, np.uint16), *(np.frombuffer(x, np.uint16) for _, _, x in parts)]).reshape(-1, states)
+        own = replace(model, emit=np.concatenate([weights(counts, shares), end]) / total)
         known = np.log10(counts + 1.0)
         lengths = np.diff(texts.first)
 
@@ -371,11 +430,10 @@ def score(docs: DataFrame, states: int = STATES, passes: int = PASSES, block_byt
             return sums[texts.first[1:]] - sums[texts.first[:-1]] + end
 
         base = summed(known[inverse] - unit, np.log10(ends + 1.0) - unit)
-        inside = summed((known - np.log10(weight[symbols(keys)]))[inverse], 0.0)
-        total = log_likelihoods(*texts.sequences(docs), model) + inside
+        scores = log_likelihoods(*texts.sequences(docs, inverse, len(keys)), own)
         n_known = summed((counts > 0).astype(float)[inverse], float(ends > 0)).round().astype(np.int64)
         columns = [words.id_column(texts.ids), pa.array(texts.held), pa.array(lengths + 1), pa.array(n_known)]
-        columns += [pa.array(np.full(len(docs), n_tokens)), pa.array(base), pa.array(total)]
+        columns += [pa.array(np.full(len(docs), n_tokens)), pa.array(base), pa.array(scores)]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"

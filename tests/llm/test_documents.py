@@ -246,6 +246,20 @@ def test_long_texts_are_trained_like_others(spark):
     assert gain[0] > 0.2 * gain[1]  # log10(2) is 0.301
 
 
+def test_states_tell_words_of_a_bucket_apart(spark):
+    """Frequent words tell the runs apart; a bucket has five rare words, of both vocabularies."""
+    random = np.random.default_rng(7)
+
+    def word(k):
+        v = k // 50 % 2
+        return f"f{v}x{random.integers(0, 20)}" if random.random() < 0.5 else f"w{2 * random.integers(0, 10_000) + v}"
+
+    rows = [(i, " ".join(word(k) for k in range(2000))) for i in range(100)]
+    found = hmm.score(spark.createDataFrame(rows, "doc_id long, text string"))
+    gain = found.filter("held_out").agg(F.sum("score") - F.sum("base_score"), F.sum("n_tokens")).first()
+    assert gain[0] > 0.16 * gain[1]  # with the states of buckets alone 0.114
+
+
 # -- toxicity ----------------------------------------------------------------
 
 
