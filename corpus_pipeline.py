@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from loanloom.llm import bpe, mixing, quality, setsketch, substring
 from loanloom.llm.session import stored
 
+#: Near duplicates share this many hundredths of their shingles.
+LINK = 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or a fence of their language and source go."""
@@ -19,8 +22,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, that of the smallest id."""
-    return setsketch.deduplicated(docs)
+    """One document of each group of near duplicates (similarity 0.8 or more) stays, that of the smallest id."""
+    return setsketch.deduplicated(docs, link=LINK)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

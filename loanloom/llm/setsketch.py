@@ -32,9 +32,9 @@ from loanloom.llm.components import components
 from loanloom.llm.session import stored
 
 SHINGLE = 5
-#: Links have 100 * intersection >= LINK * union.
+#: Links have 100 * intersection >= link * union; this is the link of the query.
 LINK = 85
-#: Bands and registers of a band: a pair at the threshold shares no band with probability 4e-7.
+#: Bands and registers of a band: a pair at the threshold shares no band with probability 4e-7 (5e-5 at 80).
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
 #: Base and rate of the registers, and their largest value.
@@ -164,17 +164,17 @@ def band_rows(classes: DataFrame) -> DataFrame:
     return classes.select("row", "registers").mapInArrow(run, "key long, row long")
 
 
-def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def likely(pairs: DataFrame, classes: DataFrame, link: int) -> DataFrame:
     """The pairs (u, v) that can be links by size and by likelihood."""
     left, right = (classes.select(F.col("row").alias(f"_{x}"), F.col("n").alias(f"n_{x}"), F.col("registers").alias(f"r_{x}")) for x in "uv")
-    allowed = F.least("n_u", "n_v") * 100 >= F.greatest("n_u", "n_v") * LINK
+    allowed = F.least("n_u", "n_v") * 100 >= F.greatest("n_u", "n_v") * link
     both = pairs.join(left, F.col("u") == F.col("_u")).join(right, F.col("v") == F.col("_v")).filter(allowed)
 
     def run(batches):
         for batch in batches:
             n_u, n_v = (_numbers(batch[c]) for c in ("n_u", "n_v"))
             found = likeliest(_register_rows(batch["r_u"]), _register_rows(batch["r_v"]), n_u, n_v)
-            keep = pa.array(found >= LINK / 100 - MARGIN)
+            keep = pa.array(found >= link / 100 - MARGIN)
             yield pa.RecordBatch.from_arrays([batch[c].filter(keep) for c in "uv"], ["u", "v"])
 
     return both.select("u", "v", "n_u", "n_v", "r_u", "r_v").mapInArrow(run, "u long, v long")
@@ -194,7 +194,7 @@ def sets_of(rows: DataFrame, blocks: packing.Blocks) -> DataFrame:
     return blocks.without_rest().with_answers(asked, ["row"]).map(read, "_row long, set binary")
 
 
-def verified(pairs: DataFrame, blocks: packing.Blocks) -> DataFrame:
+def verified(pairs: DataFrame, blocks: packing.Blocks, link: int) -> DataFrame:
     """The pairs (u, v) whose full sets make a link.
 
     The sets of the v's are read from their blocks and sent to the blocks of the u's, once
@@ -214,7 +214,7 @@ def verified(pairs: DataFrame, blocks: packing.Blocks) -> DataFrame:
             for u in ask["u"]:
                 own = sets.of(u - (block["block"] << bits))
                 common = len(np.intersect1d(own, other, assume_unique=True))
-                if 100 * common >= LINK * (len(own) + len(other) - common):
+                if 100 * common >= link * (len(own) + len(other) - common):
                     out.append((u, ask["v"]))
         yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["u", "v"])
 
@@ -237,7 +237,7 @@ def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     return out.astype(np.int64)
 
 
-def links_across(members: DataFrame, labels: DataFrame, blocks: packing.Blocks, chunk: int) -> DataFrame:
+def links_across(members: DataFrame, labels: DataFrame, blocks: packing.Blocks, chunk: int, link: int) -> DataFrame:
     """Links (u, v) across components inside buckets of three or more classes that hold several
     components, as many as join them.
 
@@ -264,7 +264,7 @@ def links_across(members: DataFrame, labels: DataFrame, blocks: packing.Blocks,
         if len(np.unique(label)) > 1 and len(left) and len(right):
             common = common_counts([sets[x] for x in left], [sets[x] for x in right])
             sizes = np.array([len(x) for x in sets])
-            linked = 100 * common >= LINK * (sizes[left][:, None] + sizes[right][None, :] - common)
+            linked = 100 * common >= link * (sizes[left][:, None] + sizes[right][None, :] - common)
             a, b = np.nonzero(linked & (label[left][:, None] != label[right][None, :]))
             joined = {}
 
@@ -284,7 +284,7 @@ def links_across(members: DataFrame, labels: DataFrame, blocks: packing.Blocks,
     return rows.groupBy("key", "i", "j").applyInArrow(run, "u long, v long").distinct()
 
 
-def grouped(blocks: packing.Blocks, chunk: int = CHUNK) -> DataFrame:
+def grouped(blocks: packing.Blocks, chunk: int = CHUNK, link: int = LINK) -> DataFrame:
     """row, id, n, component (its smallest id) and first (its first row) of every document."""
     everything = stored(sketches(blocks), "sketches")
     some = everything.filter("n > 0")
@@ -298,9 +298,9 @@ def grouped(blocks: packing.Blocks, chunk: int = CHUNK) -> DataFrame:
     buckets = bands.groupBy(F.col("key").alias("_key")).agg(F.min("row").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = stored(bands.join(buckets, F.col("key") == F.col("_key")).drop("_key"), "buckets")
     pairs = members.filter("row <> hub").select(F.col("row").alias("u"), F.col("hub").alias("v")).distinct()
-    links = stored(verified(stored(likely(pairs, classes), "pairs"), blocks), "links")
+    links = stored(verified(stored(likely(pairs, classes, link), "pairs"), blocks, link), "links")
     labels = stored(components(links), "labels")
-    more = stored(links_across(members, labels, blocks, chunk), "more-links")
+    more = stored(links_across(members, labels, blocks, chunk, link), "more-links")
     if not more.isEmpty():
         labels = stored(components(links.unionByName(more)), "labels")
 
@@ -314,9 +314,9 @@ def grouped(blocks: packing.Blocks, chunk: int = CHUNK) -> DataFrame:
     return found.withColumns({"component": F.coalesce("component", "id"), "first": F.coalesce("first", "row")})
 
 
-def near_duplicates(docs: DataFrame, block_bytes: int = packing.BLOCK_BYTES, chunk: int = CHUNK) -> DataFrame:
+def near_duplicates(docs: DataFrame, block_bytes: int = packing.BLOCK_BYTES, chunk: int = CHUNK, link: int = LINK) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document."""
-    found = grouped(packing.pack(docs.select("doc_id", "text"), size=block_bytes), chunk)
+    found = grouped(packing.pack(docs.select("doc_id", "text"), size=block_bytes), chunk, link)
 
     def known(name):
         return F.when(F.col(name) != words.NO_ID, F.col(name))
@@ -325,11 +325,11 @@ def near_duplicates(docs: DataFrame, block_bytes: int = packing.BLOCK_BYTES, chu
     return found.select(known("id").alias("doc_id"), F.col("n").alias("n_shingles"), known("component").alias("component_id"), kept.alias("kept"))
 
 
-def deduplicated(docs: DataFrame, block_bytes: int = packing.BLOCK_BYTES, chunk: int = CHUNK) -> DataFrame:
+def deduplicated(docs: DataFrame, block_bytes: int = packing.BLOCK_BYTES, chunk: int = CHUNK, link: int = LINK) -> DataFrame:
     """One row of `docs` for each component: the first of its smallest id. A null text comes out empty."""
     blocks = packing.pack(docs, size=block_bytes)
     bits = packing.PLACE_BITS
-    first = grouped(blocks, chunk).filter("row = first").select(F.shiftright("row", bits).alias("block"), "row")
+    first = grouped(blocks, chunk, link).filter("row = first").select(F.shiftright("row", bits).alias("block"), "row")
     names = docs.columns
 
     def run(block):

@@ -208,6 +208,20 @@ def test_pipeline(spark, sf_dir, sample_docs):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_dedup", "substring_dedup", "source_mixing", "byte_bpe"]
 
 
+def test_stage_links_at_80(spark):
+    """A pair of similarity 0.82 is one document to the stage and two to the query; 0.77 are two to both."""
+    from loanloom.llm import setsketch
+
+    def pair(i, changed):
+        words = [f"w{i}x{k}" for k in range(204)]
+        return [(10 * i, " ".join(words)), (10 * i + 1, " ".join([*words[: 204 - changed], *(f"n{k}" for k in range(changed))]))]
+
+    # 200 shingles each: (200 - n) / (200 + n) is 0.818 for 20 and 0.770 for 26
+    docs = spark.createDataFrame(pair(1, 20) + pair(2, 26), "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == [10, 20, 21]
+    assert setsketch.near_duplicates(docs).filter("kept").count() == 4
+
+
 def test_stages_on_edges(spark, edge_docs, no_docs):
     for docs in (edge_docs, no_docs):
         for _, stage in corpus_pipeline.STAGES[:-1]:
