@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import bpe, chat, hmm, main_text, mixing, neighbours, quality, setsketch, substring, toxicity
+from loanloom.llm import bpe, chat, filter_audit, hmm, main_text, mixing, neighbours, quality, setsketch, substring
+from loanloom.llm import toxicity, url_filters, whitening
 from loanloom.llm.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,3 +92,27 @@ def op7_factorization_toxicity(spark, sf):
 @query
 def op10_learned_partitions(spark, sf):
     return neighbours.search(table(spark, sf, "embeddings"))
+
+
+@query
+def op11_filter_audit(spark, sf):
+    return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op12_embedding_whitening(spark, sf):
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
+RULES = (
+    url_filters.Rule("allow", "com", "/"),
+    url_filters.Rule("block", "example.com", "/en/"),
+    url_filters.Rule("allow", "www.example.com", "/en/"),
+    url_filters.Rule("block", "net", "/es/"),
+    url_filters.Rule("block", "net", "/fr/"),
+)
+
+
+@query
+def op13_url_filters(spark, sf):
+    return url_filters.judge(table(spark, sf, "pages"), RULES)

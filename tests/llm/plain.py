@@ -77,8 +77,8 @@ def shingles(text):
     return set() if not w else {tuple(w)} if len(w) < 5 else {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
 
 
-def groups(rows):
-    """(doc_id, n_shingles, component's place among rows) with links of 85 % and over."""
+def groups(rows, link=85):
+    """(doc_id, n_shingles, component's place among rows) with links of `link` % and over."""
     sets = [shingles(t) for _, t in rows]
     parent = list(range(len(rows)))
 
@@ -91,7 +91,7 @@ def groups(rows):
     for i, found in enumerate(sets):
         common = Counter(j for s in found for j in where[s])
         for j, n in common.items():
-            if 100 * n >= 85 * (len(found) + len(sets[j]) - n):
+            if 100 * n >= link * (len(found) + len(sets[j]) - n):
                 parent[max(root(i), root(j))] = min(root(i), root(j))
         for s in found:
             where[s].append(i)

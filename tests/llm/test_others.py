@@ -184,7 +184,7 @@ def test_parts_are_balanced():
 def stage_by_stage(docs, verdicts, copies):
     """Plain stages; the verdicts of the fences and the draws of the mix are given."""
     rows = [r for r in docs if verdicts[r["doc_id"]]]
-    groups = plain.groups([(r["doc_id"], r["text"]) for r in rows])
+    groups = plain.groups([(r["doc_id"], r["text"]) for r in rows], corpus_pipeline.LINK)
     least = {}
     for r, (_, _, root) in zip(rows, groups, strict=True):
         if root not in least or r["doc_id"] < least[root]["doc_id"]:
@@ -198,7 +198,7 @@ def test_pipeline(spark, sf_dir, sample_docs):
     from loanloom.llm import quality, setsketch, substring
 
     verdicts = {r.doc_id: r.kept for r in quality.rules(sample_docs).collect()}
-    before = substring.deduplicated(setsketch.deduplicated(quality.kept(sample_docs)))
+    before = substring.deduplicated(setsketch.deduplicated(quality.kept(sample_docs), link=corpus_pipeline.LINK))
     copies = {r.doc_id: r.copies for r in mixing.mix(before).collect()}
     expected = stage_by_stage([r.asDict() for r in sample_docs.collect()], verdicts, copies)
     use = bpe.codec(bpe.default_vocabulary())
@@ -233,7 +233,7 @@ def test_stages_on_edges(spark, edge_docs, no_docs):
 
 def test_every_operator_is_registered():
     names = contract.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11)) and "pipeline" in names
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and "pipeline" in names
     assert set(QUERIES) <= set(names)
 
 
