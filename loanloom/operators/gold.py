@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from loanloom.functions import columns as C
 from loanloom.functions.naming import quote, require_distinct, share_name, status_part, text, type_part
-from loanloom.plans.skew import HOT_PARTS, wide_aggregate
+from loanloom.plans.skew import HOT_ROWS, wide_aggregate
 from loanloom.specs import BOOK, BookSpec, LINEAGE_COLUMNS, STATISTICS
 
 
@@ -30,7 +30,7 @@ def _buffer(segment: str, indicator: str, part: str) -> str:
     return quote(f"_{segment}_{indicator}_{part}")
 
 
-def _segment_buffers(segment: str, spec: BookSpec) -> list[Column]:
+def segment_buffers(segment: str, spec: BookSpec) -> list[Column]:
     status = spec.segments[segment]
     folds = {"min": "min({0})", "max": "max({0})", "sum": "sum({0})", "n": "count({0})"}
     buffers = []
@@ -44,7 +44,7 @@ def _segment_buffers(segment: str, spec: BookSpec) -> list[Column]:
     return buffers
 
 
-def _segment_features(segment: str, spec: BookSpec) -> list[Column]:
+def segment_features(segment: str, spec: BookSpec) -> list[Column]:
     plain = {"min": "{min}", "max": "{max}", "mean": "try_divide({sum}, {n})", "sum": "{sum}"}
     mirrored = {"min": "-{max}", "max": "-{min}", "mean": "try_divide(-{sum}, {n})", "sum": "-{sum}"}
     features = []
@@ -58,7 +58,7 @@ def _segment_features(segment: str, spec: BookSpec) -> list[Column]:
     return features
 
 
-def _history_columns(spec: BookSpec) -> list[str]:
+def history_columns(spec: BookSpec) -> list[str]:
     """The columns that the statistics need from the history rows, before ratios."""
     own = [i for i in spec.indicators if i not in spec.mirrors and i not in {r.name for r in spec.ratios}]
     parts = [c for r in spec.ratios for c in (r.numerator, r.denominator)]
@@ -66,7 +66,7 @@ def _history_columns(spec: BookSpec) -> list[str]:
 
 
 def segment_stats(
-    history: DataFrame, segment: str, spec: BookSpec = BOOK, hot_parts: int = HOT_PARTS
+    history: DataFrame, segment: str, spec: BookSpec = BOOK, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Min, max, mean and sum of each indicator over the segment's rows, per entity.
 
@@ -75,19 +75,19 @@ def segment_stats(
     status = spec.segments[segment]
     rows = history if status is None else history.filter(F.col(spec.status) == status)
     folded = wide_aggregate(
-        rows.select(*_history_columns(spec)),
+        rows.select(*history_columns(spec)),
         spec.key,
-        _segment_buffers(segment, spec),
+        segment_buffers(segment, spec),
         prepare=lambda part: ratios(part, spec),
-        hot_parts=hot_parts,
+        hot_rows=hot_rows,
     )
-    return folded.select(spec.key, *_segment_features(segment, spec))
+    return folded.select(spec.key, *segment_features(segment, spec))
 
 
 # -- counts ----------------------------------------------------------------
 
 
-def _meta_buffers(spec: BookSpec) -> list[Column]:
+def meta_buffers(spec: BookSpec) -> list[Column]:
     return [
         F.count(F.lit(1)).alias(f"{spec.prefix}_credit_count"),
         *[
@@ -107,7 +107,7 @@ def _named(history: DataFrame, spec: BookSpec) -> DataFrame:
 
 def meta(history: DataFrame, spec: BookSpec = BOOK) -> DataFrame:
     """Credit counts, distinct types and recency per entity."""
-    return _named(history, spec).groupBy(spec.key).agg(*_meta_buffers(spec))
+    return _named(history, spec).groupBy(spec.key).agg(*meta_buffers(spec))
 
 
 def type_frequencies(history: DataFrame, spec: BookSpec = BOOK) -> DataFrame:
@@ -126,14 +126,14 @@ def top_type_list(history: DataFrame, spec: BookSpec = BOOK) -> list[str]:
     return [r[spec.category] for r in sorted(rows, key=lambda r: (-r["n"], r[spec.category]))]
 
 
-def _status_counts(spec: BookSpec) -> dict[str, Column]:
+def status_count_columns(spec: BookSpec) -> dict[str, Column]:
     return {
         f"{spec.prefix}_status_{status_part(s)}_count": F.count_if(F.col(spec.status) == s)
         for s in spec.statuses
     }
 
 
-def _type_counts(types: Sequence[str], spec: BookSpec) -> dict[str, Column]:
+def type_count_columns(types: Sequence[str], spec: BookSpec) -> dict[str, Column]:
     name = f"{spec.prefix}_type_{{}}_count".format
     require_distinct([name(type_part(t)) for t in [*types, spec.other]])
     bucket = C.type_bucket(F.col(spec.category), types, spec.other)
@@ -147,18 +147,18 @@ def _counts(history: DataFrame, counts: dict[str, Column], spec: BookSpec) -> Da
     )
 
 
-def _shares(names: Sequence[str], total: str) -> list[Column]:
+def share_columns(names: Sequence[str], total: str) -> list[Column]:
     return [(F.col(n) / F.col(total)).alias(share_name(n)) for n in names]
 
 
 def status_counts(history: DataFrame, spec: BookSpec = BOOK) -> DataFrame:
     """Rows per known status; other statuses count in the total only."""
-    return _counts(history, _status_counts(spec), spec).drop("_total")
+    return _counts(history, status_count_columns(spec), spec).drop("_total")
 
 
 def type_counts(history: DataFrame, types: Sequence[str], spec: BookSpec = BOOK) -> DataFrame:
     """Rows per kept type, the rest and nulls under `other`."""
-    return _counts(history, _type_counts(types, spec), spec).drop("_total")
+    return _counts(history, type_count_columns(types, spec), spec).drop("_total")
 
 
 def type_profile(history: DataFrame, spec: BookSpec = BOOK) -> DataFrame:
@@ -170,9 +170,9 @@ def type_profile(history: DataFrame, spec: BookSpec = BOOK) -> DataFrame:
 
 def category_profile(history: DataFrame, types: Sequence[str], spec: BookSpec = BOOK) -> DataFrame:
     """All category counts, then the share of each in the entity's rows."""
-    counts = _status_counts(spec) | _type_counts(types, spec)
+    counts = status_count_columns(spec) | type_count_columns(types, spec)
     folded = _counts(history, counts, spec)
-    return folded.select(spec.key, *counts, *_shares(list(counts), "_total"))
+    return folded.select(spec.key, *counts, *share_columns(list(counts), "_total"))
 
 
 # -- book and base table ---------------------------------------------------
@@ -182,37 +182,40 @@ def book(
     history: DataFrame,
     types: Sequence[str] | None = None,
     spec: BookSpec = BOOK,
-    hot_parts: int = HOT_PARTS,
+    hot_rows: int = HOT_ROWS,
+    in_place: bool = False,
 ) -> DataFrame:
     """All features of every entity with history: one wide aggregation and one narrow.
 
     `types` are the types that get columns of their own: those of the data at hand
     (found by one small job) or, when scoring, the list the model was trained with.
+    With `in_place` the history already lies partitioned by entity.
     """
     if types is None:
         types = top_type_list(history, spec)
-    counts = _status_counts(spec) | _type_counts(types, spec)
+    counts = status_count_columns(spec) | type_count_columns(types, spec)
     # Counts need few buffers, so rows are folded before they move; the two exchanges
     # of the distinct count carry little. Both parts end up partitioned by the key.
     counted = (
         _named(history, spec)
         .groupBy(spec.key)
-        .agg(*_meta_buffers(spec), *[c.alias(n) for n, c in counts.items()])
+        .agg(*meta_buffers(spec), *[c.alias(n) for n, c in counts.items()])
     )
     folded = wide_aggregate(
-        history.select(*_history_columns(spec)),
+        history.select(*history_columns(spec)),
         spec.key,
-        [b for segment in spec.segments for b in _segment_buffers(segment, spec)],
+        [b for segment in spec.segments for b in segment_buffers(segment, spec)],
         prepare=lambda part: ratios(part, spec),
-        hot_parts=hot_parts,
+        hot_rows=hot_rows,
+        in_place=in_place,
     )
     meta_names = [c for c in counted.columns if c not in (spec.key, *counts)]
     return counted.join(folded, spec.key).select(
         spec.key,
         *meta_names,
-        *[f for segment in spec.segments for f in _segment_features(segment, spec)],
+        *[f for segment in spec.segments for f in segment_features(segment, spec)],
         *counts,
-        *_shares(list(counts), f"{spec.prefix}_credit_count"),
+        *share_columns(list(counts), f"{spec.prefix}_credit_count"),
     )
 
 

@@ -15,17 +15,28 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A key is hot when it holds more than one part in so many of all rows. Fewer keys than
-#: this can be hot, whatever the table, so their list is bounded and complete; any
-#: other key brings at most this share of the rows into one task.
-HOT_PARTS = 1_000
+from loanloom.sources.shared import fresh_path
+from loanloom.sources.sinks import write_parquet
 
+#: A key with more rows than this is hot: whatever the table, no other key brings more into one task.
+HOT_ROWS = 100_000
+#: Keys that the list of hot ones may hold; it is broadcast. Beyond 10^11 rows the bar rises,
+#: so that no more can be hot.
+MOST_HOT = 1_000_000
 
-def hot_keys(df: DataFrame, key: str, hot_parts: int = HOT_PARTS) -> DataFrame:
-    """The keys that hold more than 1 / `hot_parts` of the rows."""
-    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return counted.filter(F.col("_rows") * hot_parts > total).select(key)
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, most: int = MOST_HOT) -> DataFrame:
+    """The keys with more than `hot_rows` rows, as a written table; fewer than `most` of them.
+
+    One pass over the key column. Null is no key.
+    """
+    counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    found = write_parquet(counted.filter(F.col("_rows") > hot_rows), fresh_path(df.sparkSession, "hot-keys"))
+    n, rows = found.agg(F.count(F.lit(1)), F.sum("_rows")).first()
+    if n >= most:
+        # fewer than `most` keys can have more than this share of the rows listed
+        found = found.filter(F.col("_rows") > rows / most)
+    return found.select(key)
 
 
 def wide_aggregate(
@@ -33,25 +44,33 @@ def wide_aggregate(
     key: str,
     aggregates: Sequence[Column],
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
-    hot_parts: int = HOT_PARTS,
+    hot_rows: int = HOT_ROWS,
+    parts: int | None = None,
+    in_place: bool = False,
 ) -> DataFrame:
-    """`prepare(df).groupBy(key).agg(*aggregates)`, hash-partitioned by `key`.
+    """`prepare(df).groupBy(key).agg(*aggregates)`, hash-partitioned by `key`, in `parts` parts.
 
     `prepare` is a narrow step (derived columns) that runs after the shuffle, so its
     columns are never moved. Rows with a null key are dropped. One job over the key
     column finds the hot keys; without any the plan is a single shuffle. With some, both
     halves of the union are partitioned alike, which Spark keeps: a later join on `key`
-    moves only the other side.
+    moves only the other side. With `in_place` the rows already lie partitioned by key,
+    hot keys apart, and nothing moves.
     """
     df = df.filter(F.col(key).isNotNull())
 
     def folded(rows: DataFrame) -> DataFrame:
         return prepare(rows).groupBy(key).agg(*aggregates)
 
-    found = hot_keys(df, key, hot_parts)
-    hot = found.collect()  # fewer than `hot_parts` keys
-    if not hot:
-        return folded(df.repartition(key))
-    listed = F.broadcast(df.sparkSession.createDataFrame(hot, found.schema))
-    cold_rows = df.join(listed, key, "left_anti").repartition(key)
-    return folded(cold_rows).unionByName(folded(df.join(listed, key, "left_semi")))
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition(key) if parts is None else rows.repartition(parts, key)
+
+    if in_place:
+        return folded(df)
+    hot = hot_keys(df, key, hot_rows)
+    if hot.isEmpty():
+        return folded(dealt(df))
+    listed = F.broadcast(hot)
+    cold = folded(dealt(df.join(listed, key, "left_anti")))
+    melted = folded(df.join(listed, key, "left_semi"))
+    return cold.unionByName(melted if parts is None else dealt(melted))

@@ -12,7 +12,7 @@ def make_session() -> SparkSession:
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.driver.memory", "8g")
-        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1 -XX:ReservedCodeCacheSize=256m")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")

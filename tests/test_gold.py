@@ -151,10 +151,10 @@ def same(a, b):
     return a == b or (a is not None and b is not None and math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12))
 
 
-@pytest.mark.parametrize("hot_parts", [1, 4, 10**6])
-def test_book_against_brute_force_whatever_is_hot(history, hot_parts):
+@pytest.mark.parametrize("hot_rows", [10**6, 2, 0])
+def test_book_against_brute_force_whatever_is_hot(history, hot_rows):
     expected = brute_force([r.asDict() for r in gold.ratios(history).collect()])
-    got = by_key(gold.book(history, ["a"], hot_parts=hot_parts))
+    got = by_key(gold.book(history, ["a"], hot_rows=hot_rows))
     assert set(got) == set(expected)
     for key, features in expected.items():
         wrong = {f: (got[key][f], v) for f, v in features.items() if not same(got[key][f], v)}
@@ -181,10 +181,10 @@ def test_one_application_with_a_third_of_all_rows(spark, sf_dir):
         "application_id", F.when(F.col("bureau_credit_id") % 3 == 0, F.lit(-1)).otherwise(F.col("application_id"))
     )
     n = skewed.filter("application_id = -1").count()
-    assert [r[0] for r in hot_keys(skewed, "application_id", 100).collect()] == [-1]
+    assert [r[0] for r in hot_keys(skewed, "application_id", n // 2).collect()] == [-1]
     apps = skewed.select("application_id").distinct()
-    split = gold.abt(apps, gold.book(skewed, ["Brand#2"], hot_parts=100))
-    assert_same_rows(split, gold.abt(apps, gold.book(skewed, ["Brand#2"], hot_parts=1)))
+    split = gold.abt(apps, gold.book(skewed, ["Brand#2"], hot_rows=n // 2))
+    assert_same_rows(split, gold.abt(apps, gold.book(skewed, ["Brand#2"])))
     assert split.filter("application_id = -1").first()["bureau_credit_count"] == n
 
 
@@ -193,9 +193,10 @@ def test_more_than_ten_thousand_hot_keys(spark):
     many = spark.range(12_000).select(F.col("id").alias("application_id")).withColumn("k", F.explode(F.array(F.lit(0), F.lit(1))))
     one = rows.limit(1).drop("application_id")
     crowd = many.join(F.broadcast(one)).withColumn("credit_amount", F.col("application_id") + F.col("k")).drop("k")
-    assert hot_keys(crowd, "application_id", 100_000).count() == 12_000
-    split = gold.segment_stats(crowd, "all", hot_parts=100_000)
-    assert_same_rows(split, gold.segment_stats(crowd, "all", hot_parts=1))
+    assert hot_keys(crowd, "application_id", 1).count() == 12_000
+    assert hot_keys(crowd, "application_id", 1, most=100).count() < 100
+    split = gold.segment_stats(crowd, "all", hot_rows=1)
+    assert_same_rows(split, gold.segment_stats(crowd, "all"))
 
 
 def test_result_does_not_depend_on_partitioning(spark, sf_dir):
@@ -226,10 +227,10 @@ def test_invariants(spark, sf_dir):
 
 def test_wide_rows_are_shuffled_once(spark, sf_dir):
     rows = catalog.bureau(spark, sf_dir).select("*")
-    plan = gold.segment_stats(rows, "all", hot_parts=100)._jdf.queryExecution().executedPlan().toString()
+    plan = gold.segment_stats(rows, "all")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan
     apps = catalog.application(spark, sf_dir)
-    abt = gold.abt(apps, gold.book(rows, ["Brand#2"], hot_parts=100))._jdf.queryExecution().executedPlan().toString()
+    abt = gold.abt(apps, gold.book(rows, ["Brand#2"]))._jdf.queryExecution().executedPlan().toString()
     # applications; history rows; the two narrow exchanges of the counts
     assert abt.count("Exchange hashpartitioning") == 4
 
