@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loanloom.catalog import SAVED_TYPES, application, bureau, query, rounded_ratios, written
-from loanloom.operators import distinct, heavy, increments
+from loanloom.catalog import SAVED_TYPES, _stump, application, bureau, query, rounded, rounded_ratios, written
+from loanloom.operators import distinct, heavy, increments, model
 from loanloom.plans import at_rest
 from loanloom.plans.skew import HOT_ROWS
+from loanloom.sources import loads, sinks, views
 from loanloom.sources.buckets import bucket_count, write_at_rest
 from loanloom.sources.shared import fresh_path
-from loanloom.specs import BOOK
+from loanloom.specs import BOOK, BUREAU
 
 # -- increments ------------------------------------------------------------
 
@@ -23,10 +24,10 @@ def _loads(spark, sf):
 
 
 def _state(spark, sf) -> increments.BookState:
-    loads = _loads(spark, sf)
-    buckets = bucket_count(loads["monday"].count())
+    parts = _loads(spark, sf)
+    buckets = bucket_count(parts["monday"].count())
     state = increments.create(spark, fresh_path(spark, "book"), SAVED_TYPES, buckets)
-    for name, load in [*loads.items(), ("tuesday", loads["tuesday"])]:  # the last delivery comes twice
+    for name, load in [*parts.items(), ("tuesday", parts["tuesday"])]:  # the last delivery comes twice
         state.fold(load, name)
     return state
 
@@ -89,3 +90,61 @@ def top_types_sketched(spark, sf):
 def top_open_categories(spark, sf):
     """Thousands of categories of much the same frequency, which a sketch cannot tell apart."""
     return heavy.most_frequent(bureau(spark, sf), "days_credit", 20).ranked
+
+
+# -- loads -----------------------------------------------------------------
+
+
+def _delivery(spark, sf, part: int, path: str, shift: int = 0, broken: bool = True) -> None:
+    """Stand-in input: every second line as a CSV file, some with an amount that is no number."""
+    table = views.raw_bureau(spark, sf).filter(F.col("SK_ID_BUREAU") % 2 == part).withColumn("DAYS_CREDIT", F.col("DAYS_CREDIT") + shift)
+    amount = F.col("AMT_CREDIT_SUM").cast("string")
+    if broken:
+        amount = F.when(F.col("SK_ID_BUREAU") % 97 == 0, "n/a").otherwise(amount)
+    sinks.write_csv(table.withColumn("AMT_CREDIT_SUM", amount), path)
+
+
+def _delivered(spark, sf, again: bool = False) -> tuple[str, list[loads.LoadAudit]]:
+    root, audits = fresh_path(spark, "loads"), []
+    deliveries = [("monday.csv", 0, 0, True), ("tuesday.csv", 1, 0, True), *([("monday.csv", 0, 1, False)] if again else [])]
+    for i, (name, part, shift, broken) in enumerate(deliveries):
+        _delivery(spark, sf, part, f"{root}/raw-{i}/{name}", shift, broken)
+        audits.append(loads.ingest_load(spark, BUREAU, f"{root}/raw-{i}/{name}", name, f"{root}/bronze"))
+    return f"{root}/bronze", audits
+
+
+@query
+def bronze_accepted(spark, sf):
+    return loads.accepted(spark, _delivered(spark, sf)[0]).drop("_ingested_at")
+
+
+@query
+def bronze_quarantine(spark, sf):
+    return loads.quarantine(spark, _delivered(spark, sf)[0]).drop("_ingested_at")
+
+
+@query
+def load_audit(spark, sf):
+    return loads.audit_frame(spark, _delivered(spark, sf, again=True)[1])
+
+
+@query
+def bronze_reload(spark, sf):
+    """The first file comes again, mended: its rows and its quarantine are replaced, the other file's are not."""
+    root, _ = _delivered(spark, sf, again=True)
+    good = loads.accepted(spark, root).select("SK_ID_BUREAU", "DAYS_CREDIT", "AMT_CREDIT_SUM", "_source_file")
+    bad = loads.quarantine(spark, root).groupBy("_source_file").agg(F.count(F.lit(1)).alias("n_rejected"))
+    return good.join(bad, "_source_file", "left").fillna(0, ["n_rejected"])
+
+
+# -- models ----------------------------------------------------------------
+
+
+@query
+def saved_stump_score(spark, sf):
+    """Scores of the folder that the one-split model was saved to, read in another session."""
+    fitted, rows = _stump(spark, sf)
+    path = fresh_path(spark, "model")
+    fitted.save(path)
+    loaded = model.Fitted.load(spark.newSession(), path)
+    return rounded(model.score(loaded, rows, ["application_id", "split"]), [model.SCORE], 9)

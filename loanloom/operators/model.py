@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from loanloom.functions.naming import quote
 from loanloom.operators.evaluate import roc_auc
 from loanloom.sources.shared import ensure_checkpoint_dir, fresh_path
-from loanloom.sources.sinks import write_parquet
+from loanloom.sources.sinks import write_json, write_parquet
 from loanloom.specs import LINEAGE_COLUMNS, ModelParams
 
 LABEL = "__y__"
@@ -93,22 +93,38 @@ def category_indexer(df: DataFrame, columns: Sequence[str]) -> StringIndexerMode
     return indexer
 
 
+BUNDLE = "features array<string>, texts array<string>, indicators array<string>, types array<string>, params struct<trees:int,depth:int,learning_rate:double,seed:long>"
+
+
 @dataclass(frozen=True)
 class Fitted:
     """A trained pipeline, the logical features it reads, those of them that have an
-    indicator of missing values, and its settings."""
+    indicator of missing values, its settings, those that are text, and the types that the
+    book of its training rows had columns for."""
 
     pipeline: PipelineModel
     features: tuple[str, ...]
     params: ModelParams
     indicators: tuple[str, ...] = ()
+    texts: tuple[str, ...] = ()
+    types: tuple[str, ...] = ()
 
     def inputs(self) -> list[str]:
         """The feature behind every input of the trees."""
         return [*self.features, *self.indicators]
 
     def save(self, path: str) -> None:
-        self.pipeline.write().overwrite().save(path)
+        """All that scoring needs, in one folder: the trees and what they were trained with."""
+        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        row = (*map(list, (self.features, self.texts, self.indicators, self.types)), tuple(asdict(self.params).values()))
+        write_json(SparkSession.active().createDataFrame([row], BUNDLE), f"{path}/bundle")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "Fitted":
+        """What `save` wrote, in any session."""
+        r = spark.read.schema(BUNDLE).json(f"{path}/bundle").first()
+        trees = PipelineModel.load(f"{path}/pipeline")
+        return cls(trees, tuple(r.features), ModelParams(**r.params.asDict()), tuple(r.indicators), tuple(r.texts), tuple(r.types))
 
 
 def _number(column: str) -> Column:
@@ -135,8 +151,13 @@ def _with_missing(df: DataFrame, numbers: Sequence[str]) -> list[str]:
     return [c for c, some in zip(numbers, found, strict=True) if some]
 
 
-def fit(train: DataFrame, features: Sequence[str], params: ModelParams, label: str = LABEL) -> Fitted:
-    """Train on `train`; read it from files, as every tree level passes over it."""
+def fit(
+    train: DataFrame, features: Sequence[str], params: ModelParams, label: str = LABEL, types: Sequence[str] = ()
+) -> Fitted:
+    """Train on `train`; read it from files, as every tree level passes over it.
+
+    `types` are kept with the model, so that scoring builds the same book.
+    """
     ensure_checkpoint_dir(train.sparkSession)
     strings = string_columns(train, features)
     indicators = _with_missing(train, [c for c in features if c not in strings])
@@ -156,12 +177,12 @@ def fit(train: DataFrame, features: Sequence[str], params: ModelParams, label: s
         checkpointInterval=10,
     )
     pipeline = Pipeline(stages=[*indexers, assembler, trees]).fit(rows)
-    return Fitted(pipeline, tuple(features), params, tuple(indicators))
+    return Fitted(pipeline, tuple(features), params, tuple(indicators), tuple(strings), tuple(types))
 
 
 def score(fitted: Fitted, df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """`keep` and the probability of class 1, row by row."""
-    strings = string_columns(df, fitted.features)
+    strings = fitted.texts
     needed = list(dict.fromkeys([*keep, *fitted.features]))
     kept = df.select(*needed, *[F.col(quote(c)).alias(f"__keep_{i}") for i, c in enumerate(keep)])
     scored = fitted.pipeline.transform(_numeric(kept, fitted.features, strings, fitted.indicators))

@@ -2,15 +2,42 @@
 
 from __future__ import annotations
 
+import re
+
 from loanloom.oracles import ORACLES
+from loanloom.sources.views import RAW_BUREAU
+from loanloom.specs import BUREAU
+
+#: Which half of the lines a file has, and whether its amount is no number.
+_FILE = "CASE WHEN SK_ID_BUREAU % 2 = 0 THEN 'monday.csv' ELSE 'tuesday.csv' END"
+_BAD = "SK_ID_BUREAU % 97 = 0"
+_DOUBLES = ", ".join(
+    f"CAST({c} AS DOUBLE) AS {c}"
+    for c, kind in BUREAU.types.items()
+    if kind.simpleString() == "double" and c != "SK_BUREAU_ID"
+)
+_LINE = " || ',' || ".join(
+    "'n/a'" if c == "AMT_CREDIT_SUM" else f"coalesce(CAST({c} AS VARCHAR), '')"
+    for c in re.findall(r" AS ([A-Z_]+)[,\n]", RAW_BUREAU)
+)
 
 ORACLES |= {
+    "bronze_accepted": f"SELECT * REPLACE ({_DOUBLES}), {_FILE} AS _source_file FROM raw_bureau WHERE NOT {_BAD}",
+    "bronze_quarantine": f"SELECT {_FILE} AS _source_file, {_LINE} AS record FROM raw_bureau WHERE {_BAD}",
+    "load_audit": f"""SELECT 'bureau' AS table_name, {_FILE} AS load, count(*) FILTER (WHERE NOT {_BAD}) AS n_rows,
+  count(*) FILTER (WHERE {_BAD}) AS n_rejected, CAST(0 AS BIGINT) AS n_null_keys FROM raw_bureau GROUP BY ALL
+ UNION ALL SELECT 'bureau', 'monday.csv', count(*), 0, 0 FROM raw_bureau WHERE SK_ID_BUREAU % 2 = 0""",
+    "bronze_reload": f"""SELECT SK_ID_BUREAU, CAST(DAYS_CREDIT + CASE WHEN SK_ID_BUREAU % 2 = 0 THEN 1 ELSE 0 END AS INT) AS DAYS_CREDIT,
+  CAST(AMT_CREDIT_SUM AS DOUBLE) AS AMT_CREDIT_SUM, {_FILE} AS _source_file,
+  CASE WHEN SK_ID_BUREAU % 2 = 0 THEN CAST(0 AS BIGINT) ELSE (SELECT count(*) FROM raw_bureau WHERE {_BAD} AND SK_ID_BUREAU % 2 = 1) END AS n_rejected
+ FROM raw_bureau WHERE SK_ID_BUREAU % 2 = 0 OR NOT {_BAD}""",
     "book_after_load": ORACLES["bureau_book"],
     "type_frequencies_after_load": "SELECT credit_type, count(*) AS n FROM bureau GROUP BY credit_type",
     "load_log": """SELECT CASE WHEN bureau_credit_id % 10 < 7 THEN 'monday' ELSE 'tuesday' END AS load,
  count(*) AS rows, count(*) FILTER (WHERE application_id IS NULL) AS null_keys FROM bureau GROUP BY 1""",
     "distinct_types_bitmap": "SELECT application_id, bureau_distinct_credit_types FROM meta",
     "book_at_rest": ORACLES["bureau_book"],
+    "saved_stump_score": ORACLES["stump_score"],
     "top_types_sketched": ORACLES["top_types"],
     "top_open_categories": """SELECT days_credit AS value, count(*) AS n FROM bureau GROUP BY days_credit
  ORDER BY n DESC, value ASC NULLS FIRST LIMIT 20""",

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,12 +69,13 @@ def train_and_publish(
     validation: DataFrame,
     features: Sequence[str],
     params: ModelParams,
+    types: Sequence[str] = (),
 ) -> DataFrame:
     """Train one model; write it, its scores, its metrics and its validation ROC curve.
 
-    Returns the metrics row.
+    Returns the metrics row. `types` are those of the book that the rows were built with.
     """
-    fitted = model.fit(train, features, params)
+    fitted = model.fit(train, features, params, types=types)
     fitted.save(layout.path("models", name))
     scored = model.scores(fitted, train, validation, layout.path("scores", name))
     unseen = scored.filter(F.col("split") == "validation")
@@ -86,19 +89,28 @@ def train_and_publish(
 
 
 def train_and_compare(
-    layout: Layout, abt: DataFrame, book_features: Sequence[str], params: ModelParams
+    layout: Layout, abt: DataFrame, book_features: Sequence[str], params: ModelParams, types: Sequence[str] = ()
 ) -> DataFrame:
     """Baseline (application columns) against challenger (all columns): same rows, same
-    settings."""
+    settings. Training is a chain of short passes, so both go on at the same time."""
     train, validation = holdout(abt, layout.path("gold", "holdout"))
     features = model.feature_columns(train)
     own = [c for c in features if c not in {*book_features, BOOK.history_flag}]
-    return model.compare(
-        *[
-            train_and_publish(layout, name, train, validation, columns, params)
-            for name, columns in (("baseline", own), ("challenger", features))
-        ]
-    )
+
+    def published(name: str, columns: Sequence[str]) -> DataFrame:
+        return train_and_publish(layout, name, train, validation, columns, params, types)
+
+    with ThreadPoolExecutor(2) as pool:
+        run = inheritable_thread_target(abt.sparkSession)(published)
+        jobs = [pool.submit(run, name, columns) for name, columns in (("baseline", own), ("challenger", features))]
+    return model.compare(*[job.result() for job in jobs])
+
+
+def score_saved(spark: SparkSession, path: str, application: DataFrame, history: DataFrame, key: str = "application_id") -> DataFrame:
+    """Key and score of every application, by a saved model: its own types shape the book, whatever
+    types are frequent in `history` now."""
+    fitted = model.Fitted.load(spark, path)
+    return model.score(fitted, gold.abt(application, gold.book(history, fitted.types)), [key])
 
 
 def rank_features(

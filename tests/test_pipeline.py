@@ -189,9 +189,7 @@ def test_model_survives_saving_and_finds_the_signal(spark):
     assert [(r["feature"], r["origin"], r["share"]) for r in tagged] == [("signal", "bureau_book", 1.0)]
     path = shared.fresh_path(spark, "model")
     fitted.save(path)
-    from pyspark.ml import PipelineModel
-
-    again = model.Fitted(PipelineModel.load(path), fitted.features, fitted.params, fitted.indicators)
+    again = model.Fitted.load(spark, path)
     a = model.score(fitted, df, [model.LABEL]).collect()
     assert a == model.score(again, df, [model.LABEL]).collect()
     assert all((r[model.SCORE] > 0.5) == (r[model.LABEL] == 1) for r in a)
