@@ -281,6 +281,17 @@ def abt_ranked(spark, sf):
     return rounded_ratios(gold.abt(application(spark, sf), by_rank(gold.book(history, types), types)))
 
 
+@query
+def narrow_abt(spark, sf):
+    """The whole base table, key included, in the smallest types. Those of whole numbers depend on the
+    data, so longs are long again in the result; fractions stay narrow."""
+    history = bureau(spark, sf)
+    types = gold.top_type_list(history)
+    wide = rounded_ratios(gold.abt(application(spark, sf), by_rank(gold.book(history, types), types)))
+    longs = [f.name for f in wide.schema if f.dataType.simpleString() == "bigint"]
+    return gold.narrow_numeric(wide).withColumns({c: F.col(c).cast("long") for c in longs})
+
+
 @query
 def narrow_numeric(spark, sf):
     counted = gold.abt(application(spark, sf), gold.meta(bureau(spark, sf)))
@@ -453,9 +464,16 @@ def gbt_score(spark, sf):
     return model.score(fitted, rows, ["application_id", "split"])
 
 
+def ranked_book(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
+    """The book with the types that are frequent in the data, and these."""
+    history = bureau(spark, sf)
+    types = gold.top_type_list(history)
+    return gold.book(history, types), types
+
+
 def _ranking(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Importance of every column of the base table, and the book's dictionary."""
-    features = book(spark, sf)
+    features, _ = ranked_book(spark, sf)
     table = written(gold.abt(application(spark, sf), features), "abt")
     params = RANKING_PARAMS["full_abt"]
     layout = pipeline.Layout(fresh_path(spark, "ranking"))
@@ -473,13 +491,21 @@ def importance_origin(spark, sf):
     return model.importance_origin(*_ranking(spark, sf))
 
 
+@query
+def gain_importance_application(spark, sf):
+    """The ranking run without the book."""
+    params = RANKING_PARAMS["application_only"]
+    layout = pipeline.Layout(fresh_path(spark, "ranking"))
+    return pipeline.rank_features(layout, "application_only", application(spark, sf), params)
+
+
 @query
 def model_metrics(spark, sf):
-    features = book(spark, sf)
+    features, types = ranked_book(spark, sf)
     table = written(gold.abt(application(spark, sf), features), "abt")
     names = [c for c in features.columns if c != BOOK.key]
     layout = pipeline.Layout(fresh_path(spark, "models"))
-    return pipeline.train_and_compare(layout, table, names, ModelParams())
+    return pipeline.train_and_compare(layout, table, names, ModelParams(), types)
 
 
 def _stump_rows(spark: SparkSession, sf: str) -> DataFrame:

@@ -4,14 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loanloom.catalog import SAVED_TYPES, _stump, application, bureau, query, rounded, rounded_ratios, written
-from loanloom.operators import distinct, heavy, increments, model
-from loanloom.plans import at_rest
+from loanloom.catalog import (
+    SAVED_TYPES,
+    STUMP,
+    STUMP_FEATURES,
+    SUMMARY_COLUMNS,
+    _stump,
+    application,
+    bureau,
+    query,
+    rounded,
+    rounded_ratios,
+    written,
+)
+from loanloom.operators import distinct, evaluate, gold, heavy, increments, kll, model, sampling
+from loanloom.plans import at_rest, pipeline, pruning
 from loanloom.plans.skew import HOT_ROWS
-from loanloom.sources import loads, sinks, views
+from loanloom.sources import loads, raw, sinks, statistics, views
 from loanloom.sources.buckets import bucket_count, write_at_rest
 from loanloom.sources.shared import fresh_path
-from loanloom.specs import BOOK, BUREAU
+from loanloom.specs import APPLICATION, BOOK, BUREAU
 
 # -- increments ------------------------------------------------------------
 
@@ -148,3 +160,66 @@ def saved_stump_score(spark, sf):
     fitted.save(path)
     loaded = model.Fitted.load(spark.newSession(), path)
     return rounded(model.score(loaded, rows, ["application_id", "split"]), [model.SCORE], 9)
+
+
+ERRORS = ["auc_baseline", "auc_challenger", "auc_gain", "gain_error"]
+
+
+@query
+def paired_auc(spark, sf):
+    rows = application(spark, sf).withColumn("target", F.col("target").cast("int"))
+    return rounded(evaluate.paired_auc(rows, "total_income", "age_years", "target"), [*ERRORS, "z"], 9)
+
+
+@query
+def stump_paired_gain(spark, sf):
+    """The saved one-split models of one and of three features on the validation rows."""
+    rows = application(spark, sf).select("application_id", "target", *STUMP_FEATURES)
+    layout = pipeline.Layout(fresh_path(spark, "stumps"))
+    pipeline.train_and_compare(layout, rows, STUMP_FEATURES[:2], STUMP)
+    unseen = sampling.split(rows, "application_id").filter("split = 'validation'").drop("split")
+    report = pipeline.paired_comparison(layout, model.model_input(unseen))
+    return rounded(report, ERRORS, 9).drop("z")
+
+
+# -- pruning, footers, quantile sketches ------------------------------------
+
+
+@query
+def abt_pruned(spark, sf):
+    """The base table of every tenth application."""
+    some = application(spark, sf).filter("application_id % 10 = 3")
+    return rounded_ratios(pruning.abt(some, bureau(spark, sf), SAVED_TYPES))
+
+
+def _written_at(df, name: str) -> str:
+    path = fresh_path(df.sparkSession, name)
+    sinks.write_parquet(df, path)
+    return path
+
+
+@query
+def table_audit_from_footers(spark, sf):
+    tables = {APPLICATION.name: views.raw_app(spark, sf), BUREAU.name: views.raw_bureau(spark, sf)}
+    paths = {name: _written_at(raw.with_lineage(df, f"{name}.csv"), name) for name, df in tables.items()}
+    return raw.audit_frame(spark, [statistics.audit(spark, path, name, "SK_ID_CURR") for name, path in paths.items()])
+
+
+@query
+def missing_profile_from_footers(spark, sf):
+    return statistics.missing_profile(spark, _written_at(application(spark, sf), "application"))
+
+
+@query
+def narrow_numeric_from_footers(spark, sf):
+    counted = gold.abt(application(spark, sf), gold.meta(bureau(spark, sf)))
+    return statistics.narrow_numeric(spark, _written_at(counted.drop(BOOK.key), "abt"))
+
+
+@query
+def quantiles_from_sketches(spark, sf):
+    """Quantiles merged from four loads, held against the rows."""
+    rows = application(spark, sf)
+    loads = rows.withColumn("load", F.col("application_id") % 4)
+    kept = written(kll.sketches(loads, SUMMARY_COLUMNS, by="load"), "quantile-sketches")
+    return kll.audit(rows, kll.quantiles(kept, (0.001, 0.25, 0.5, 0.75, 0.999)))

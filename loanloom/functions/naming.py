@@ -19,14 +19,10 @@ def text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-#: A part of a name, between underscores, that is not lower case throughout.
-_shouted = re.compile(r"(?:^|_)[^_]*[A-Z]")
-
-
 def needs_fallback(name: str) -> bool:
-    """Names of capitals, and names of several parts of which one has a capital."""
-    several = "_" in name
-    return bool(_shouted.search(name)) and (several or name == name.upper())
+    """Names with capitals of any script, if they have several parts or no small letter."""
+    has_capitals = name != name.lower()
+    return has_capitals and ("_" in name or name == name.upper())
 
 
 def fallback(name: str) -> str:

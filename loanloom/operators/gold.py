@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -272,15 +272,17 @@ def _smallest(low: int | None, high: int | None) -> T.DataType:
     return T.LongType()
 
 
-def narrow_numeric(df: DataFrame) -> DataFrame:
+def narrow_numeric(df: DataFrame, ranges: Mapping[str, tuple[int | None, int | None]] | None = None) -> DataFrame:
     """Doubles to floats (lossy) and longs to the smallest type that holds their values.
 
-    One aggregate finds the range of all long columns.
+    One aggregate finds the range of all long columns, if `ranges` does not tell it.
     """
     longs = [f.name for f in df.schema if isinstance(f.dataType, T.LongType)]
     doubles = [f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)]
     kinds = dict.fromkeys(doubles, T.FloatType())
-    if longs:
+    if ranges is not None:
+        kinds |= {c: _smallest(*ranges[c]) for c in longs}
+    elif longs:
         ends = [F.struct(F.min(quote(c)), F.max(quote(c))) for c in longs]
         kinds |= {c: _smallest(*r) for c, r in zip(longs, df.agg(*ends).first())}
     return df.select(

@@ -235,6 +235,12 @@ def scores(fitted: Fitted, train: DataFrame, validation: DataFrame, path: str) -
     return write_parquet(scored[0].unionByName(scored[1]), path)
 
 
+def paired_scores(baseline: Fitted, challenger: Fitted, rows: DataFrame) -> DataFrame:
+    """Label and both models' scores of every row, one after the other where the row lies."""
+    first = score(baseline, rows, rows.columns).withColumnRenamed(SCORE, "baseline")
+    return score(challenger, first, [LABEL, "baseline"]).withColumnRenamed(SCORE, "challenger")
+
+
 def metrics(name: str, fitted: Fitted, scored: DataFrame) -> DataFrame:
     """One row: AUC on both sides, sizes and settings."""
     by_side = roc_auc(scored, SCORE, LABEL, by=["split"])

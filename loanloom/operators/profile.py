@@ -51,7 +51,11 @@ def target_profile(df: DataFrame, target: str = "target") -> DataFrame:
 def missing_profile(df: DataFrame) -> DataFrame:
     """Nulls per column: count, share, and whether the column is complete or all null."""
     filled = {c: [F.count(quote(c))] for c in df.columns}
-    counted = _per_column(df, filled, ["filled"], [F.count(F.lit(1)).alias("n")])
+    return missing_report(_per_column(df, filled, ["filled"], [F.count(F.lit(1)).alias("n")]))
+
+
+def missing_report(counted: DataFrame) -> DataFrame:
+    """The profile from column_name, n and filled of every column."""
     missing = F.col("n") - F.col("filled")
     return counted.select(
         "column_name",

@@ -355,6 +355,16 @@ _FLOATS = ", ".join(
     for c in _APP_COLUMNS
     if c in ("total_income", "building_livingarea_medi") or "years" in c
 )
+_FRACTIONS = ("_mean", "_share")
+
+
+def _narrowed(c: str) -> str:
+    value = f"coalesce({c}, 0)" if "_count" in c else c
+    is_fraction = c.endswith(_FRACTIONS) or any(r.name in c for r in BOOK.ratios)
+    return f"CAST({value} AS FLOAT) AS {c}" if is_fraction else f"{value} AS {c}"
+
+
+_RANKED_NARROW = ", ".join(map(_narrowed, re.findall(r" AS (bureau_\w+)", BOOK_RANKED)))
 _COUNTS = re.findall(r" AS (bureau_\w+(?:_count|_types))", _META)
 _BYTES = ", ".join(
     f"CAST({f'coalesce({c}, 0)' if '_count' in c else c} AS TINYINT) AS {c}" for c in _COUNTS
@@ -465,6 +475,8 @@ ORACLES = {
     ),
     "abt": f"""SELECT app.*, {_FILLED}, coalesce(bureau_credit_count, 0) > 0 AS has_bureau_history
  FROM app LEFT JOIN book USING (application_id)""",
+    "narrow_abt": f"""SELECT app.* REPLACE ({_FLOATS}), {_RANKED_NARROW}, coalesce(bureau_credit_count, 0) > 0 AS has_bureau_history
+ FROM app LEFT JOIN book_ranked USING (application_id)""",
     "narrow_numeric": f"""SELECT app.* EXCLUDE (application_id) REPLACE ({_FLOATS}),
  {_BYTES}, meta.* EXCLUDE (application_id, {", ".join(_COUNTS)}),
  coalesce(bureau_credit_count, 0) > 0 AS has_bureau_history

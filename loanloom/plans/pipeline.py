@@ -106,6 +106,12 @@ def train_and_compare(
     return model.compare(*[job.result() for job in jobs])
 
 
+def paired_comparison(layout: Layout, validation: DataFrame) -> DataFrame:
+    """The gain of the saved challenger over the saved baseline on the same rows, with its standard error."""
+    fitted = [model.Fitted.load(validation.sparkSession, layout.path("models", n)) for n in ("baseline", "challenger")]
+    return evaluate.paired_auc(model.paired_scores(*fitted, validation), "baseline", "challenger", model.LABEL)
+
+
 def score_saved(spark: SparkSession, path: str, application: DataFrame, history: DataFrame, key: str = "application_id") -> DataFrame:
     """Key and score of every application, by a saved model: its own types shape the book, whatever
     types are frequent in `history` now."""

@@ -23,6 +23,9 @@ def test_names():
         "bar_x", "Mixed", "foo", "building_x_medi", "_source_file", "target",
     ]
     assert not needs_fallback("_ingested_at")
+    # capitals of any script; digits and signs are none
+    assert [needs_fallback(n) for n in ("ÉTÉ", "Été_x", "Été", "été_x", "123", "1_2", "Δ_AVG")] == [True, True, False, False, False, False, True]
+    assert silver_names(["ÉTÉ", "Δ_AVG"], {}) == ["été", "building_δ_avg"]
 
 
 def test_both_spellings_of_one_column_are_refused():
