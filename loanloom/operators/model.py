@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -176,7 +176,10 @@ def fit(
         maxBins=BINS,
         checkpointInterval=10,
     )
-    pipeline = Pipeline(stages=[*indexers, assembler, trees]).fit(rows)
+    prepared = PipelineModel(stages=[*indexers, assembler]).transform(rows).select(FEATURES, label)
+    # From files of two columns: every pass would else carry the plan of all features along.
+    grown = trees.fit(write_parquet(prepared, fresh_path(train.sparkSession, "prepared")))
+    pipeline = PipelineModel(stages=[*indexers, assembler, grown])
     return Fitted(pipeline, tuple(features), params, tuple(indicators), tuple(strings), tuple(types))
 
 

@@ -156,7 +156,7 @@ def test_paired_auc_without_spread(spark):
     df = spark.createDataFrame([(1.0, 1.0, 1), (2.0, 2.0, 0), (3.0, 3.0, 1), (3.0, 3.0, 0)], "a double, b double, y int")
     same = evaluate.paired_auc(df, "a", "b", "y").first()
     assert (same.auc_gain, same.gain_error, same.z) == (0.0, 0.0, None)
-    lonely = evaluate.paired_auc(df.limit(1), "a", "b", "y").first()
+    lonely = evaluate.paired_auc(df.filter("a = 1"), "a", "b", "y").first()
     assert (lonely.n_positive, lonely.n_negative, lonely.auc_gain, lonely.gain_error) == (1, 0, None, None)
     none = evaluate.paired_auc(df.limit(0), "a", "b", "y").first()
     assert (none.n_positive, none.auc_baseline, none.z) == (0, None, None)
