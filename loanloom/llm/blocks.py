@@ -23,8 +23,9 @@ from loanloom.llm import text as words
 from loanloom.llm.session import ship_package
 from loanloom.sources.shared import fresh_path
 
-#: Bytes of text in a block, and in the bucket of blocks that one task reads.
-BLOCK_BYTES, BUCKET_BYTES = 2_000_000, 32_000_000
+#: Bytes of text in a block, and in the bucket of blocks that one task reads. Spark refuses a
+#: table of more than 100 000 buckets, so beyond 1.6 TB the buckets grow; a task reads them block by block.
+BLOCK_BYTES, BUCKET_BYTES, MOST_BUCKETS = 2_000_000, 32_000_000, 50_000
 #: A row's number is its block's times 2**PLACE_BITS plus its place there.
 PLACE_BITS = 16
 #: Bytes of keys that meet in one group.
@@ -116,17 +117,19 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
 
     blocks = docs.mapInArrow(run, "block long, ids binary, offsets binary, text binary, rest binary")
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    buckets = max(1, -(-total // BUCKET_BYTES))
+    buckets = max(1, min(MOST_BUCKETS, -(-total // BUCKET_BYTES)))
     return Blocks(bucketed(blocks, buckets), buckets, total)
 
 
 def bucketed(blocks: DataFrame, n: int) -> DataFrame:
-    """`blocks` written to the shared folder, bucketed by block."""
+    """`blocks` written to the shared folder, bucketed by block; the catalog keeps no entry."""
     name = f"loanloom_blocks_{uuid.uuid4().hex}"
     path = fresh_path(blocks.sparkSession, "blocks")
     writer = blocks.write.option("path", path).option("compression", "zstd").option("parquet.block.size", 16 << 20)
     writer.bucketBy(n, "block").saveAsTable(name)
-    return blocks.sparkSession.table(name)
+    found = blocks.sparkSession.table(name)
+    blocks.sparkSession.sql(f"DROP TABLE {name}")  # the files stay
+    return found
 
 
 def groups_of(keys: np.ndarray, n_groups: int) -> np.ndarray:

@@ -1,10 +1,11 @@
 """Quality rules whose thresholds come from the data: quantile sketches per language and source.
 
 Built-in functions only. One pass derives the signals of every text inside its row, without
-a shuffle. Each (language, source) pair then gets a mergeable KLL sketch per signal, folded in
-the tasks first, so that a source with a third of all rows moves one sketch per task. Pairs
-with few documents use the merged sketches of their language, or else of all documents.
-The fences are joined back to the signals.
+a shuffle. A signal's sketch counts values by the logarithm, in buckets 2 % wide: the counts of a pair of language
+and source are sums, so sketches of tasks, languages and all documents merge, are folded in the tasks before
+they move, and are the same on every run. The quartiles of a pair are drawn towards those of its
+language by PRIOR documents, and these towards those of all documents: a pair's own documents
+count at every size, and the more there are, the more. The fences are joined back to the signals.
 
 Null texts count as empty: no words, which fails the base rules. Null languages and sources are
 values of their own. Every row gives one row, also repeated rows and rows without an
@@ -44,9 +45,11 @@ SIGNALS = (
     Signal("repeated_window_share", 0.3),
     Signal("chars_per_word", 6.0),
 )
-#: Documents that a pair of language and source needs for fences of its own.
-ENOUGH = 200
+#: Documents of its own that the language counts for in the quartiles of a pair.
+PRIOR = 20
 QUARTILES = (0.25, 0.75)
+#: Each bucket of a sketch reaches so many times as far as the one below; ZERO is that of 0.
+GROWTH, ZERO = 1.02, -1_000_000
 
 
 def _without(text: Column, characters: str) -> Column:
@@ -107,32 +110,58 @@ def with_signals(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return df.drop(*inner)
 
 
-def _fence(sketch: str, signal: Signal) -> Column:
-    low, high = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in QUARTILES)
-    return high + F.greatest(signal.spreads * (high - low), F.lit(signal.least))
+def _bucket(value: Column) -> Column:
+    return F.when(value > 0, F.floor(F.log(value) / F.log(F.lit(GROWTH))).cast("int")).otherwise(F.lit(ZERO))
 
 
-def fences(scored: DataFrame, enough: int = ENOUGH, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+def _quartiles(sketches: DataFrame, *by: str) -> DataFrame:
+    """_rows, _low and _high of every group and signal: the middles of the buckets they lie in."""
+    cells = sketches.groupBy(*by, "_signal", "_bucket").agg(F.sum("_n").alias("_n"))
+    # at most one cell for each bucket
+    listed = cells.groupBy(*by, "_signal").agg(F.sort_array(F.collect_list(F.struct("_bucket", "_n"))).alias("_cells"), F.sum("_n").alias("_rows"))
+
+    def at(q: float) -> Column:
+        start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("int").alias("bucket"))
+
+        def add(state: Column, cell: Column) -> Column:
+            seen = state["seen"] + cell["_n"]
+            here = F.when(seen >= F.ceil(F.col("_rows") * q), cell["_bucket"])
+            return F.struct(seen.alias("seen"), F.coalesce(state["bucket"], here).alias("bucket"))
+
+        bucket = F.aggregate("_cells", start, add)["bucket"]
+        return F.when(bucket == ZERO, 0.0).otherwise(F.pow(F.lit(GROWTH), bucket + 0.5))
+
+    return listed.select(*by, "_signal", "_rows", *[at(q).alias(c) for q, c in zip(QUARTILES, ("_low", "_high"), strict=True)])
+
+
+def _drawn(prior: int) -> list[Column]:
+    """The quartiles of each row, drawn towards the wider group's `_wide_low` and `_wide_high`."""
+    own = F.col("_rows") / (F.col("_rows") + prior)
+    return [(own * F.col(c) + (1 - own) * F.col(f"_wide{c}")).alias(c) for c in ("_low", "_high")]
+
+
+def fences(scored: DataFrame, prior: int = PRIOR, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """_lang, _source and an upper fence per signal, from sketches over all documents."""
-    kll = [F.kll_sketch_agg_double(s.name).alias(s.name) for s in SIGNALS]
-    merge = [F.kll_merge_agg_double(s.name).alias(s.name) for s in SIGNALS]
-    count, total = F.count(F.lit(1)).alias("_n"), F.sum("_n").alias("_n")
-    own = scored.groupBy(F.col(lang_col).alias("_lang"), F.col(source_col).alias("_source")).agg(count, *kll)
-    own = stored(own, "quality-sketches")
+    cells = [F.struct(F.lit(i).alias("_signal"), _bucket(F.col(s.name)).alias("_bucket")) for i, s in enumerate(SIGNALS)]
+    rows = scored.select(F.col(lang_col).alias("_lang"), F.col(source_col).alias("_source"), F.inline(F.array(*cells)))
+    sketches = stored(rows.groupBy("_lang", "_source", "_signal", "_bucket").agg(F.count(F.lit(1)).alias("_n")), "quality-sketches")
 
-    def named(df: DataFrame, prefix: str) -> DataFrame:
-        return df.select(*[c for c in df.columns if c in ("_lang", "_source")], F.col("_n").alias(f"{prefix}_n"), *[F.col(s.name).alias(f"{prefix}_{s.name}") for s in SIGNALS])
+    def wide(df: DataFrame, *by: str) -> DataFrame:
+        named = {"_low": "_wide_low", "_high": "_wide_high", "_signal": "_wide_signal", **{c: f"_wide{c}" for c in by}}
+        return df.select(*[F.col(c).alias(to) for c, to in named.items()])
 
-    by_lang = named(own.groupBy("_lang").agg(total, *merge), "lang").withColumnRenamed("_lang", "_of")
-    both = named(own, "own").join(by_lang, F.col("_lang").eqNullSafe(F.col("_of")), "left")
-    every = own.agg(total, *merge).filter("_n > 0").select(*[_fence(s.name, s).alias(s.name) for s in SIGNALS]).first()
+    same = F.col("_signal") == F.col("_wide_signal")
+    every = wide(_quartiles(sketches))  # one row for each signal
+    by_lang = _quartiles(sketches, "_lang").join(F.broadcast(every), same)
+    by_lang = stored(wide(by_lang.select("_lang", "_signal", *_drawn(prior)), "_lang"), "quality-languages")
+    own = _quartiles(sketches, "_lang", "_source").join(by_lang, same & F.col("_lang").eqNullSafe(F.col("_wide_lang")))
+    own = own.select("_lang", "_source", "_signal", *_drawn(prior))
 
-    def chosen(signal: Signal) -> Column:
-        own_level = F.when(F.col("own_n") >= enough, _fence(f"own_{signal.name}", signal))
-        level = own_level.when(F.col("lang_n") >= enough, _fence(f"lang_{signal.name}", signal))
-        return level.otherwise(F.lit(every[signal.name] if every else None)).cast("double").alias(f"_{signal.name}_fence")
+    def fence(i: int, s: Signal) -> Column:
+        limit = F.col("_high") + F.greatest(s.spreads * (F.col("_high") - F.col("_low")), F.lit(s.least))
+        return F.max(F.when(F.col("_signal") == i, limit)).alias(f"_{s.name}_fence")
 
-    return both.select("_lang", "_source", *[chosen(s) for s in SIGNALS])
+    return own.groupBy("_lang", "_source").agg(*[fence(i, s) for i, s in enumerate(SIGNALS)])
 
 
 def judged(scored: DataFrame, limits: DataFrame, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -144,19 +173,19 @@ def judged(scored: DataFrame, limits: DataFrame, lang_col: str = "lang", source_
     return scored.join(limits, same, "left").withColumn("kept", F.coalesce(within, F.lit(False))).drop(*limits.columns)
 
 
-def rules(docs: DataFrame, enough: int = ENOUGH) -> DataFrame:
+def rules(docs: DataFrame, prior: int = PRIOR) -> DataFrame:
     """doc_id, the counts, signals, base_failed and kept of every row."""
     scored = with_signals(docs.select("doc_id", "text", "lang", "source")).drop("text")
     scored = stored(scored, "quality-signals")
-    return judged(scored, stored(fences(scored, enough), "quality-fences")).drop("lang", "source")
+    return judged(scored, stored(fences(scored, prior), "quality-fences")).drop("lang", "source")
 
 
-def kept(docs: DataFrame, enough: int = ENOUGH) -> DataFrame:
+def kept(docs: DataFrame, prior: int = PRIOR) -> DataFrame:
     """The rows of `docs` that pass, with their columns.
 
     The texts are read twice, for the fences and for the verdicts, rather than moved.
     """
     renamed = docs.select(F.col("text"), F.col("lang"), F.col("source"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     scored = with_signals(renamed)
-    limits = stored(fences(scored.drop("_row"), enough), "quality-fences")
+    limits = stored(fences(scored.drop("_row"), prior), "quality-fences")
     return judged(scored, limits).filter("kept").select("_row.*")

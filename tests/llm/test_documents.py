@@ -85,6 +85,60 @@ def test_fences_follow_the_source(spark):
     assert not kept.pop(9999) and all(kept.values())
 
 
+def plain_fences(rows, prior=quality.PRIOR):
+    """Upper limits of the signals by (lang, source), from buckets of the values' logarithms."""
+
+    def quartiles(values):
+        cells = sorted(-math.inf if v <= 0 else math.floor(math.log(v) / math.log(1.02)) for v in values)
+        return [0.0 if c == -math.inf else 1.02 ** (c + 0.5) for c in (cells[math.ceil(len(cells) * q) - 1] for q in (0.25, 0.75))]
+
+    def drawn(values, wider):
+        own = len(values) / (len(values) + prior)
+        return [own * a + (1 - own) * b for a, b in zip(quartiles(values), wider, strict=True)]
+
+    out = defaultdict(dict)
+    for s in quality.SIGNALS:
+        every = quartiles([r[s.name] for r in rows])
+        for lang in {r["lang"] for r in rows}:
+            by_lang = drawn([r[s.name] for r in rows if r["lang"] == lang], every)
+            for source in {r["source"] for r in rows if r["lang"] == lang}:
+                low, high = drawn([r[s.name] for r in rows if (r["lang"], r["source"]) == (lang, source)], by_lang)
+                out[lang, source][s.name] = high + max(s.spreads * (high - low), s.least)
+    return out
+
+
+def test_verdicts_against_brute_force(docs):
+    scored = quality.with_signals(docs.select("doc_id", "text", "lang", "source"))
+    rows = [r.asDict() for r in scored.collect()]
+    limits = plain_fences(rows)
+    found = {(r["_lang"], r["_source"]): r for r in quality.fences(scored).collect()}
+    assert set(found) == set(limits)
+    for group, fences in limits.items():
+        assert all(math.isclose(found[group][f"_{n}_fence"], v, rel_tol=1e-9) for n, v in fences.items())
+    expected = [
+        (r["doc_id"], not r["base_failed"] and all(r[n] <= v for n, v in limits[r["lang"], r["source"]].items())) for r in rows
+    ]
+    same([tuple(r) for r in quality.rules(docs).select("doc_id", "kept").collect()], expected)
+
+
+def test_fences_are_the_same_on_every_run(sample_docs):
+    scored = quality.with_signals(sample_docs)
+    runs = [sorted(map(str, quality.fences(scored.repartition(n)).collect())) for n in (1, 5)]
+    assert runs[0] == runs[1]
+
+
+def test_every_document_of_a_small_source_counts(spark):
+    """A source's fence moves steadily towards its own documents; no size switches it."""
+    prose = [(" ".join(f"w{i}x{k}" for k in range(30)), "prose") for i in range(2000)]
+    limits = []
+    for n in (0, 5, 20, 80, 320):
+        code = [(" ".join(f"t{i}w{k}#" for k in range(30)), "code") for i in range(n)]
+        rows = [(i, t, "en", s) for i, (t, s) in enumerate(prose + code + [("a b", "code")])]
+        scored = quality.with_signals(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+        limits.append(quality.fences(scored).filter("_source = 'code'").first()["_symbols_per_word_fence"])
+    assert limits[0] < limits[1] < limits[2] and min(limits[2:]) > 0.5
+
+
 def test_kept_rows_are_whole(edge_docs):
     kept = quality.kept(edge_docs)
     assert kept.schema == edge_docs.schema
@@ -378,3 +432,19 @@ def test_empty_tables(no_docs):
         setsketch.deduplicated(no_docs),
     ):
         assert found.count() == 0
+
+
+def test_number_of_buckets_is_bounded(sample_docs, monkeypatch):
+    """More buckets would be needed than the table may have: results stay, the catalog stays empty."""
+    from loanloom.llm import blocks
+
+    def results():
+        return [sorted(map(str, f(sample_docs).collect())) for f in (substring.digests, setsketch.near_duplicates)]
+
+    before = results()
+    monkeypatch.setattr(blocks, "BUCKET_BYTES", 10_000)
+    monkeypatch.setattr(blocks, "MOST_BUCKETS", 4)
+    packed = blocks.pack(sample_docs, size=5_000)
+    assert packed.buckets == 4 and packed.size > 40_000
+    assert results() == before
+    assert not [t.name for t in sample_docs.sparkSession.catalog.listTables() if t.name.startswith("loanloom_blocks")]
