@@ -12,7 +12,8 @@ no hot part. Parts are split into chunks of bounded size, and the queries for ea
 The number of parts, at most SAMPLE / PER_PART, does not grow with the table; chunks do.
 
 Null vectors, and vectors that are empty, zero or hold null or non-finite components, take no
-part; neither do those whose length differs from that of most of the sample. Rows without an
+part. Vectors of each length are a search of their own, one length after the other; few of a
+length are one part. In the parts searched, ties are exact, however many vectors tie. Rows without an
 id cannot be answers or queries; rows with equal ids count as one candidate each. An
 empty table gives an empty result.
 """
@@ -36,6 +37,8 @@ HIDDEN, PASSES, RATE = 128, 40, 2e-3
 RECALL, TRIALS = 0.95, 1_000
 #: Vectors and queries of a chunk.
 CHUNK, QUERIES = 20_000, 4_000
+#: What a product of unit vectors can be off by, and more; pairs whose cosine is computed at once.
+ROUNDING, PAIRS = 1e-9, 50_000
 
 
 @dataclass
@@ -185,13 +188,26 @@ def search(rows: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id",
     smallest = rows.withColumn("_n", F.row_number().over(Window.partitionBy("key").orderBy("id"))).filter(F.col("_n") <= k + 1)
     distinct = smallest.groupBy("key").agg(F.sort_array(F.collect_list("id")).alias("ids"), F.first("vector").alias("vector"))
     distinct = stored(distinct, "distinct-vectors")
-    taken = sampled(distinct.select("vector", F.size("vector").alias("d")), SAMPLE, "vector").orderBy("vector").toArrow()
     out = "query_id long, rank int, vec_id long, score double"
-    if not taken.num_rows:
-        return spark.createDataFrame([], out)
-    sizes = np.asarray(taken["d"].combine_chunks())
-    d = int(np.bincount(sizes).argmax())
-    router, probes = fit(_matrix(taken["vector"].filter(pa.array(sizes == d))), k, recall=recall)
+    found = spark.createDataFrame([], out)
+    # a number for each length that occurs
+    for (d,) in distinct.select(F.size("vector").alias("d")).distinct().orderBy("d").collect():
+        same = F.size("vector") == d
+        found = found.unionByName(_search_length(rows.filter(same), distinct.filter(same), k, every, chunk, recall))
+    return found
+
+
+def _best(near: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of all entries that can be among the k largest of their row, rounding allowed for."""
+    many = min(k, near.shape[1])
+    cut = np.partition(near, near.shape[1] - many, axis=1)[:, near.shape[1] - many]
+    return np.nonzero(near >= cut[:, None] - ROUNDING)
+
+
+def _search_length(rows: DataFrame, distinct: DataFrame, k: int, every: int, chunk: int, recall: float) -> DataFrame:
+    """The search among vectors of one length."""
+    taken = sampled(distinct.select("vector"), SAMPLE, "vector").orderBy("vector").toArrow()
+    router, probes = fit(_matrix(taken["vector"]), k, recall=recall)
 
     def route(many):
         def run(batches):
@@ -203,11 +219,10 @@ def search(rows: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id",
 
         return run
 
-    same = distinct.filter(F.size("vector") == d)
     shape = "key struct<col1:bigint,col2:int>, ids array<bigint>, vector array<double>, parts array<int>"
-    index = same.mapInArrow(route(1), shape).select("ids", "vector", F.element_at("parts", 1).alias("part"))
+    index = distinct.mapInArrow(route(1), shape).select("ids", "vector", F.element_at("parts", 1).alias("part"))
     index = stored(index, "index")
-    queries = rows.filter((F.col("id") % every == 0) & (F.size("vector") == d))
+    queries = rows.filter(F.col("id") % every == 0)
     asked = queries.groupBy("key").agg(F.first("vector").alias("vector"), F.min("id").alias("any")).withColumn("ids", F.array("any"))
     asked = asked.select("key", "ids", "vector").mapInArrow(route(probes), shape)
     asked = stored(asked.select("key", "vector", F.explode("parts").alias("part")), "asked")
@@ -229,15 +244,22 @@ def search(rows: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id",
             return empty
         a, b = _matrix(left["vector"]), _matrix(right["vector"])
         unit_a, unit_b = units(a), units(b)
-        many = min(4 * (k + 1), len(b))
-        near = unit_a @ unit_b.T
-        best = np.argpartition(-near, many - 1, axis=1)[:, :many]
+        q, c = _best(unit_a @ unit_b.T, k + 1)
         norm_a, norm_b = (np.sqrt((x * x).sum(axis=1)) for x in (a, b))
-        exact = (a[:, None, :] * b[best]).sum(axis=2) / (norm_a[:, None] * norm_b[best])
-        q = np.repeat(np.arange(len(a)), many)
+        exact = np.empty(len(q))
+        for at in range(0, len(q), PAIRS):
+            some = slice(at, at + PAIRS)
+            exact[some] = (a[q[some]] * b[c[some]]).sum(axis=1) / (norm_a[q[some]] * norm_b[c[some]])
+        # no more than the k + 1 nearest vectors, ties by smallest id, can hold the k + 1 nearest rows
+        lists = right["ids"].combine_chunks()
+        least = lists.flatten().to_numpy()[lists.offsets.to_numpy()[:-1] - lists.offsets.to_numpy()[0]]
+        order = np.lexsort((least[c], -exact, q))
+        place = np.arange(len(q)) - np.searchsorted(q, q)[order]
+        kept = order[place <= k]
+        q, c, exact = q[kept], c[kept], exact[kept]
         keys = left["key"].combine_chunks()
         hi, lo = (keys.field(i).take(pa.array(q)) for i in (0, 1))
-        return pa.table({"hi": hi, "lo": lo, "ids": right["ids"].combine_chunks().take(pa.array(best.reshape(-1))), "score": pa.array(exact.reshape(-1))})
+        return pa.table({"hi": hi, "lo": lo, "ids": lists.take(pa.array(c)), "score": pa.array(exact)})
 
     found = (
         asked.select(*place, "key", "vector")

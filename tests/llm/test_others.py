@@ -157,6 +157,33 @@ def test_exact_on_few_vectors(spark):
     assert neighbours.search(df.filter("vec_id < 3"), every=1).count() == 6
 
 
+def test_every_length_is_searched(spark):
+    draw = random.Random(4)
+    rows = [(i, [draw.gauss(0, 1) for _ in range((4, 3, 4, 1)[i % 4])]) for i in range(200)] + [(1000, [1.0, 2.0, 3.0, 4.0, 5.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    expected = set()
+    for d in {len(v) for _, v in rows}:
+        expected |= nearest([r for r in rows if len(r[1]) == d], 5, 5)
+    found = {(r.query_id, r["rank"], r.vec_id, round(r.score, 12)) for r in neighbours.search(df, every=5).collect()}
+    assert found == expected and len({q for q, *_ in found}) == 40
+
+
+@pytest.mark.parametrize("chunk", [20_000, 40])
+def test_any_number_of_ties(spark, chunk):
+    """A hundred different vectors with the very same cosine: the smallest ids are nearest."""
+    rows = [(1000 - i, [2.0 ** (i - 50), 0.0]) for i in range(100)] + [(i, [0.0, float(i)]) for i in range(1, 50)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    found = {(r.query_id, r["rank"], r.vec_id, r.score) for r in neighbours.search(df, every=100, chunk=chunk).collect()}
+    assert found == {(1000, n + 1, 901 + n, 1.0) for n in range(5)}
+
+
+def test_recall_on_embeddings(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    expected = nearest([(r.vec_id, r.embedding) for r in table.collect()], 50, 5)
+    found = {(r.query_id, r["rank"], r.vec_id, round(r.score, 12)) for r in neighbours.search(table).collect()}
+    assert len({x[::2] for x in found} & {x[::2] for x in expected}) >= 0.9 * len(expected)
+
+
 def test_recall(spark, monkeypatch):
     """Many parts over clustered vectors: the recall asked for, from part of the comparisons."""
     draw = np.random.default_rng(1)
