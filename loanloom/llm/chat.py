@@ -13,7 +13,8 @@ escaped texts of the assistant.
 
 Null texts and roles count as empty. Messages of a tree with equal order are ordered by role
 and text, so repeated rows are repeated turns. A null tree is a tree of its own. A reply
-to a message that is not there starts a path. Only the named columns are read.
+to a message that is not there starts a path. Messages that reply to each other in a circle have no
+root: the smallest one of the circle becomes it. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -66,7 +67,10 @@ def paths(messages: DataFrame, branches: int | None = None) -> DataFrame:
     nodes = nodes.join(here, same & (F.col("parent") == F.col("m2")), "left")
     nodes = nodes.select("tree", "message", F.col("m2").alias("up"), F.col("score").alias("total"), F.lit(1).cast("long").alias("length"))
     jumps = [stored(nodes, "jumps")]
+    deepest = jumps[0].count()
     while not jumps[-1].filter("up IS NOT NULL").isEmpty():
+        if 2 ** (len(jumps) - 1) > deepest:  # no path is as long
+            return paths(_opened(messages, jumps), branches)
         above = jumps[-1].toDF("t2", "m2", "up2", "total2", "length2")
         joined = jumps[-1].filter("up IS NOT NULL").join(above, same & (F.col("up") == F.col("m2")))
         further = joined.select("tree", "message", F.col("up2").alias("up"), (F.col("total") + F.col("total2")).alias("total"), (F.col("length") + F.col("length2")).alias("length"))
@@ -88,6 +92,25 @@ def paths(messages: DataFrame, branches: int | None = None) -> DataFrame:
     return found
 
 
+def _opened(messages: DataFrame, jumps: list[DataFrame]) -> DataFrame:
+    """`messages`, where the smallest one of every circle replies to none.
+
+    So many steps up, every message without a root has arrived in a circle, and those that were in it
+    fill it again.
+    """
+    same = F.col("tree").eqNullSafe(F.col("t2"))
+    inside = jumps[-1].filter("up IS NOT NULL").select(F.col("tree").alias("t2"), F.col("up").alias("m2")).distinct()
+    ring = jumps[0].join(inside, same & (F.col("message") == F.col("m2")), "left_semi")
+    ring = stored(ring.select("tree", "message", "up", F.least("message", "up").alias("low")), "circles")
+    for _ in jumps:  # the smallest of 2, 4, 8, ... messages
+        above = ring.toDF("t2", "m2", "up2", "low2")
+        ring = ring.join(above, same & (F.col("up") == F.col("m2")))
+        ring = stored(ring.select("tree", "message", F.col("up2").alias("up"), F.least("low", "low2").alias("low")), "circles")
+    roots = ring.filter("message = low").select(F.col("tree").alias("t2"), F.col("message").alias("m2"))
+    found = messages.join(roots, same & (F.col("message") == F.col("m2")), "left")
+    return found.withColumn("parent", F.when(F.col("m2").isNull(), F.col("parent"))).drop("t2", "m2")
+
+
 def conversations(messages: DataFrame, branches: int | None = None) -> DataFrame:
     """tree, leaf, and the conversation's `segments`: pieces of text with their loss mask.
 

@@ -96,6 +96,29 @@ def test_chat_round_trip(spark):
     assert chat.conversations(chat.chains(df.limit(0))).count() == 0
 
 
+def test_circles_of_replies(spark):
+    """A message that replies to itself, circles of two and of five with replies below, beside a plain chain and a null tree."""
+    rows = [(1, 5, 5), (1, 6, 5), (2, 3, 4), (2, 4, 3), (2, 9, 3), (2, 1, 9)]
+    rows += [(3, 10 + i, 10 + (i + 1) % 5) for i in range(5)] + [(4, i, i - 1 if i else None) for i in range(12)]
+    rows += [(None, 1, 2), (None, 2, 1), (None, 7, 1)]
+    df = spark.createDataFrame([(t, m, p, 0.0, "user", f"{m}") for t, m, p in rows], "tree long, message long, parent long, score double, role string, text string")
+    found = defaultdict(list)
+    for r in chat.paths(df).collect():
+        found[r.tree, r.leaf].append((r.place, r.message))
+    # 5 -> 5; 3 <-> 4 opens at 3; 10 -> 11 -> .. -> 14 -> 10 opens at 10, whose replies run 14, 13, 12, 11
+    assert {k: [m for _, m in sorted(v)] for k, v in found.items()} == {
+        (1, 6): [5, 6], (2, 1): [3, 9, 1], (2, 4): [3, 4], (3, 11): [10, 14, 13, 12, 11], (4, 11): list(range(12)), (None, 2): [1, 2], (None, 7): [1, 7],
+    }
+    assert chat.conversations(df).count() == 7
+
+
+def test_a_long_conversation(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", f"turn {i} <" + "x" * (200_000 if i == 500 else 3)) for i in range(3_000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    r = chat.conversations(chat.chains(df)).select(chat.turns("formatted").alias("turns")).first()
+    assert [(t.role, t.text) for t in r.turns] == [x[2:] for x in rows]
+
+
 def test_reply_trees(spark):
     """Every root-to-leaf path, and the best ones, of random trees."""
     choose = random.Random(5)
