@@ -28,13 +28,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.llm import text as words
-from loanloom.llm.session import sampled, ship_package
+from loanloom.llm.session import sampled, ship_package, stored
 
 BITS, FACTORS = 18, 4
 #: Bytes of text whose terms are sorted at a time.
 PIECE_BYTES = 500_000
-#: Labelled rows that a model is fitted on, about, and most bytes of their texts.
-FIT_ROWS, FIT_BYTES = 12_000, 20_000
+#: Labelled rows that a model is fitted on, about, and about how many bytes their terms may have on
+#: the driver; texts of any length take part, very long ones make it fewer rows.
+FIT_ROWS, FIT_BYTES = 12_000, 256_000_000
 #: A term is used if it is in so many labelled texts, and its toxic ones miss their expected
 #: number by more than so many standard deviations and one text.
 LEAST_TEXTS, DEVIATIONS = 3, 3.0
@@ -128,12 +129,13 @@ def fit(term_lists: list[np.ndarray], labels: np.ndarray, seed: int = 5) -> Mach
     return Machine(bias, weight.astype(np.float32), factor.astype(np.float32), known)
 
 
-def sample(docs: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> tuple[list[np.ndarray], np.ndarray]:
-    """Terms and labels of about `limit` labelled texts of at most FIT_BYTES."""
+def sample(docs: DataFrame, labels: DataFrame, limit: int = FIT_ROWS, size: int = FIT_BYTES) -> tuple[list[np.ndarray], np.ndarray]:
+    """Terms and labels of about `limit` labelled whole texts; of fewer, chosen by a hash of the id,
+    where their terms would have more than `size` bytes."""
     usable = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("label")).filter("label IN (0, 1) AND _id IS NOT NULL")
     usable = sampled(usable.filter(~held_out(F.col("_id"))), limit, "_id")
     joined = docs.select("doc_id", F.lower("text").alias("text")).join(F.broadcast(usable), F.col("doc_id") == F.col("_id"))
-    joined = joined.filter(F.octet_length("text") <= FIT_BYTES).select("doc_id", "text", "label")
+    joined = joined.select("doc_id", "text", "label")
 
     def run(batches):
         for batch in batches:
@@ -146,6 +148,11 @@ def sample(docs: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> tuple[l
 
     # one row for each id and label, whatever repeats
     found = joined.mapInArrow(run, "doc_id long, label int, terms binary").groupBy("doc_id", "label").agg(F.min("terms").alias("terms"))
+    found = stored(found, "toxicity-terms")
+    held = found.agg(F.sum(F.octet_length("terms"))).first()[0] or 0
+    if held > size:
+        place = F.shiftrightunsigned(F.xxhash64(F.lit("fit"), "doc_id"), 11).cast("double") / float(2**53)
+        found = found.filter(place < size / held)
     rows = found.toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
     return [np.frombuffer(x, np.int32) for x in rows["terms"].to_pylist()], np.array(rows["label"].to_pylist(), float)
 

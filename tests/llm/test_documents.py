@@ -335,8 +335,23 @@ def test_toxicity_edges(spark, edge_docs, no_docs):
     assert toxicity.score(no_docs, empty).count() == 0
 
 
+def test_long_labelled_texts_are_fitted(spark):
+    """Texts of any length take part; too many terms make it fewer rows, by their ids alone."""
+    filler = " ".join(f"{'abcdefghij'[i % 10] * 3}{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(8_000))
+    rows = [(i, ("bad " if i % 2 else "good ") + (filler if i % 4 < 2 else "text")) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    lists, marks = toxicity.sample(docs, labels)
+    eligible = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert marks.tolist() == [i % 2 for i in eligible]
+    assert sum(len(x) > 300 for x in lists) == sum(i % 4 < 2 for i in eligible)
+    held = sum(x.nbytes for x in lists)
+    fewer, _ = toxicity.sample(docs, labels, size=held // 3)
+    assert 0 < sum(x.nbytes for x in fewer) < held / 2 and any(len(x) > 300 for x in fewer)
+
+
 def test_machine_learns_pairs():
-    """Two terms are harmless alone and toxic together: a sum of weights cannot tell."""
+    """Two terms are harmless alone and toxic together."""
     random = np.random.default_rng(0)
     lists, labels = [], []
     for _ in range(3000):
