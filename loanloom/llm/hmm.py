@@ -6,12 +6,13 @@ corpus. A last pass then counts the states of every word, 8 numbers each, which
 are sent to the blocks of documents that ask for them, once for each block and word. A word of c
 occurrences, E of them in a state, has (c + 1) * (E + BACK_OFF * bucket's share) / (c + BACK_OFF) there;
 an unknown word has one by its bucket's shares. States that tell nothing apart would thus give the
-add-one unigram model. Shares are sent as 16-bit numbers.
+add-one unigram model. Shares are sent as 8-bit numbers, right to 2 %; what is scored with adds up to 1 as it is sent.
 
 Training starts from fixed noise around the counts of all training documents. Every Baum-Welch
 pass reads all of them, every word of every text, until the likelihood gains less than TOLERANCE or
-after PASSES. Posteriors and likelihoods of a text are exact, by the scaled recursions over the
-whole text; long texts are cut into segments whose transfer matrices are chained in both
+after PASSES; after every two the model is moved on along their path (squared extrapolation).
+Posteriors and likelihoods of a text are those of the whole text, by the scaled recursions, in single
+precision for training and in double for scores; long texts are cut into segments whose transfer matrices are chained in both
 directions.
 
 Null texts count as empty: one end, no words. Training documents are those whose CRC-32 of
@@ -36,10 +37,12 @@ from loanloom.llm.session import ship_package, stored
 STATES, SYMBOL_BITS = 8, 12
 SYMBOLS = 1 << SYMBOL_BITS
 END = SYMBOLS
-#: Words of a segment, and segments that are handled at once in training.
-SEGMENT, SEGMENTS = 512, 512
+#: Words of a segment, and words that are handled at once in training.
+SEGMENT, TOKENS = 2048, 1 << 20
 #: Most passes over all training documents, and the least share of the log-likelihood that a pass gains.
-PASSES, TOLERANCE = 22, 1e-4
+PASSES, TOLERANCE = 10, 1e-4
+#: Most times the length of a pass that a model is moved on.
+FARTHEST = 8.0
 #: Occurrences that a bucket's shares of the states count for in those of its words.
 BACK_OFF = 1.0
 #: Larger blocks have fewer distinct words in all.
@@ -84,6 +87,15 @@ class Model:
     step: np.ndarray  # states x states
     emit: np.ndarray  # (symbols + 1) x states
 
+    def single(self) -> "Model":
+        """The same in single precision, which halves the time of a pass."""
+        return Model(*(x.astype(np.float32) for x in (self.start, self.step, self.emit)))
+
+    def relative(self) -> tuple["Model", np.ndarray]:
+        """With emissions divided by the largest of each symbol; the logarithms of these."""
+        top = self.emit.max(1)
+        return replace(self, emit=self.emit / top[:, None]), np.log(top.astype(np.float64))
+
 
 @dataclass
 class Counts:
@@ -116,7 +128,11 @@ class Counts:
 
 
 class Segments:
-    """Sequences cut into segments, and the matrices that lead through all but the first of each."""
+    """Sequences cut into segments, and the matrices that lead through all but the first of each.
+
+    Numbers have the type of the model's. Vectors are normed every other step; between, a step
+    leaves them the least step probability at least, as emissions are 1 in one state of the relative model.
+    """
 
     def __init__(self, tokens: np.ndarray, first: np.ndarray, model: Model):
         self.tokens, self.model = tokens, model
@@ -130,7 +146,7 @@ class Segments:
         states = len(model.start)
         self.rows, self.logs = self.run(self.tail, np.tile(model.step, (len(self.tail), 1, 1)))
         #: Normed forward vectors at the end of every segment that has a next one.
-        self.forward = np.zeros((len(self.seq), states))
+        self.forward = np.zeros((len(self.seq), states), model.step.dtype)
 
     def run(self, segments: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Forward vectors (segments, r, states) at the ends of segments, normed, and log10 of their norms."""
@@ -138,15 +154,16 @@ class Segments:
         at, length, rows = self.at[segments][order], self.length[segments][order], rows[order]
         logs, states = np.zeros(rows.shape[:2]), rows.shape[2]
         active = np.searchsorted(-length, -np.arange(length[0] if len(length) else 0), "left")
+        step, emit, ones = self.model.step, self.model.emit, np.ones(states, rows.dtype)
         for t, many in enumerate(active):
             part = rows[:many]
             if t:
-                part = (part.reshape(-1, states) @ self.model.step).reshape(part.shape)
-            part = part * self.model.emit[self.tokens[at[:many] + t]][:, None, :]
-            if t % 8 == 7 or t == len(active) - 1:
-                scale = part.sum(2)
+                part = (part.reshape(-1, states) @ step).reshape(part.shape)
+            part *= emit.take(self.tokens[at[:many] + t], 0)[:, None, :]
+            if t % 2 or t == len(active) - 1:
+                scale = part @ ones  # faster than sums of short rows
                 logs[:many] += np.log10(scale)
-                part = part / scale[:, :, None]
+                part /= scale[:, :, None]
             rows[:many] = part
         scale = rows.sum(2)
         logs += np.log10(scale)
@@ -161,7 +178,7 @@ class Segments:
         self.forward[segments], out = forward[:, 0], np.zeros(self.seq[-1] + 1 if len(self.seq) else 0)
         out[self.seq[segments]] = logs[:, 0]
         for j, k in enumerate(self.tail):
-            row = self.logs[j] + np.log10(np.maximum(self.forward[k - 1], 1e-300))
+            row = self.logs[j] + np.log10(np.maximum(self.forward[k - 1], 1e-37))
             top = row.max()
             vector = 10.0 ** (row - top) @ self.rows[j]
             out[self.seq[k]] += top + np.log10(vector.sum())
@@ -175,7 +192,7 @@ class Segments:
             k = self.tail[j]
             vector = 10.0 ** (self.logs[j] - self.logs[j].max()) * (self.rows[j] @ out[k])
             out[k - 1] = vector / vector.sum()
-        return out
+        return out.astype(self.model.step.dtype)
 
 
 def expected(tokens: np.ndarray, first: np.ndarray, model: Model, labels: np.ndarray | None = None, size: int = SYMBOLS + 1) -> Counts:
@@ -183,59 +200,71 @@ def expected(tokens: np.ndarray, first: np.ndarray, model: Model, labels: np.nda
     counted by symbol or by the `labels` below `size` of the tokens."""
     out = Counts.zero(len(model.start), size)
     labels = tokens if labels is None else labels
-    cut = Segments(tokens, first, model)
+    relative, logs = model.relative()
+    cut = Segments(tokens, first, relative)
     # sequences of one segment need no vectors from others
     cut.onward(cut.head[np.isin(cut.head + 1, cut.tail)])
     beta = cut.backward()
     order = np.argsort(-cut.length, kind="stable")
-    for a in range(0, len(order), SEGMENTS):
-        _expect(cut, order[a : a + SEGMENTS], beta, labels, out)
+    # groups of bounded tokens, at least one segment each
+    upto = np.cumsum(cut.length[order])
+    edges = np.unique(np.r_[0, np.searchsorted(upto, np.arange(TOKENS, upto[-1] if len(upto) else 0, TOKENS)) + 1, len(order)])
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        _expect(cut, order[a:b], beta, labels, out)
+    out.log += logs @ np.bincount(tokens, minlength=len(logs))
     return out
 
 
 def _expect(cut, segments, beyond, labels, out) -> None:
     """Adds the counts of segments, longest first; `beyond` are the backward vectors at their ends."""
-    tokens, model, at, length = cut.tokens, cut.model, cut.at[segments], cut.length[segments]
+    model, at, length = cut.model, cut.at[segments], cut.length[segments]
     steps, active = int(length[0]), np.searchsorted(-length, -np.arange(length[0]), "left")
+    # rows in order of time: row[t] is the first of the tokens that are t-th in their segments
+    row = np.r_[0, np.cumsum(active)]
+    place = np.empty(row[-1], np.int64)
+    for t in range(steps):
+        np.add(at[: active[t]], t, out=place[row[t] : row[t + 1]])
     later = np.isin(segments, cut.tail)
     before = cut.forward[segments - 1]
-    emitted = [model.emit[tokens[at[: active[t]] + t]] for t in range(steps)]
-    alphas, scales = [], []
-    alpha = np.where(later[:, None], before @ model.step, model.start) * emitted[0]
+    emitted = model.emit.take(cut.tokens[place], 0)
+    alphas, scales = np.empty_like(emitted), {}
+    ends, ones = np.diff(np.r_[active, 0]) < 0, np.ones(len(model.start), alphas.dtype)
     for t in range(steps):
+        many, alpha = active[t], alphas[row[t] : row[t + 1]]
         if t:
-            alpha = (alpha[: active[t]] @ model.step) * emitted[t]
-        scale = None
-        if t % 8 == 7:
-            scale = alpha.sum(1, keepdims=True)
-            alpha = alpha / scale
-            out.log += np.log(scale).sum()
-        ends = alpha[active[t + 1] if t < steps - 1 else 0 :]
-        if len(ends):
-            out.log += np.log(ends.sum(1)).sum()
-        alphas.append(alpha)
-        scales.append(scale)
-    seen, posteriors = [], []
-    many, beta = 0, np.zeros((0, len(model.start)))
+            np.matmul(alphas[row[t - 1] : row[t - 1] + many], model.step, out=alpha)
+        else:
+            alpha[:] = np.where(later[:, None], before @ model.step, model.start)
+        alpha *= emitted[row[t] : row[t + 1]]
+        if t % 2:
+            scales[t] = alpha @ ones  # faster than sums of short rows
+            alpha /= scales[t][:, None]
+            out.log += np.log(scales[t]).sum(dtype=np.float64)
+        if ends[t]:
+            out.log += np.log(alpha[active[t + 1] if t < steps - 1 else 0 :].sum(1)).sum(dtype=np.float64)
+    # backward; posteriors take the place of the forward vectors
+    many, beta, pairs = 0, np.zeros((0, len(model.start)), alphas.dtype), np.zeros_like(out.step)
+    back = np.ascontiguousarray(model.step.T)
     for t in range(steps - 1, -1, -1):
+        alpha = alphas[row[t] : row[t + 1]]
         if t < steps - 1:
-            ahead = emitted[t + 1] * beta
-            if scales[t + 1] is not None:
-                ahead /= scales[t + 1]
-            out.step += model.step * (alphas[t][:many].T @ ahead)
-            beta = ahead @ model.step.T
+            ahead = emitted[row[t + 1] : row[t + 2]]
+            ahead *= beta
+            if t + 1 in scales:
+                ahead /= scales[t + 1][:, None]
+            pairs += alpha[:many].T @ ahead
+            beta = ahead @ back
         if active[t] > many:  # segments that end here
             last = beyond[segments[many : active[t]]]
-            last = last / (alphas[t][many:] * last).sum(1, keepdims=True)
+            last = last / (alpha[many:] * last).sum(1, keepdims=True)
             beta, many = np.concatenate([beta, last]), active[t]
-        gamma = alphas[t] * beta
-        seen.append(labels[at[: active[t]] + t])
-        posteriors.append(gamma)
-    out.start += posteriors[-1][~later].sum(0)
-    out.step += model.step * (before[later].T @ (emitted[0] * beta)[later])
-    seen, posteriors = np.concatenate(seen), np.concatenate(posteriors)
+        alpha *= beta
+    out.step += model.step * pairs
+    out.start += alphas[: active[0]][~later].sum(0, dtype=np.float64)
+    out.step += model.step * (before[later].T @ (emitted[: active[0]] * beta)[later])
+    seen = labels[place]
     for k in range(len(model.start)):
-        out.emit[:, k] += np.bincount(seen, posteriors[:, k], len(out.emit))
+        out.emit[:, k] += np.bincount(seen, alphas[:, k], len(out.emit))
 
 
 def log_likelihoods(tokens: np.ndarray, first: np.ndarray, model: Model) -> np.ndarray:
@@ -280,20 +309,25 @@ def word_counts(blocks: packing.Blocks) -> tuple[np.ndarray, np.ndarray, int]:
     return n, v, int(ends)
 
 
+#: The share that each 8-bit number stands for: from 1 down to 2 ** -15.9, in steps of 4 %.
+SHARES = 2.0 ** (-np.arange(256) / 16)
+
+
 def rounded(shares: np.ndarray) -> np.ndarray:
-    """Shares of the states as 16-bit numbers, none of them 0."""
-    return np.clip(np.round(shares * 65_535), 1, 65_535).astype(np.uint16)
+    """The 8-bit numbers of shares of the states, none of which is 0."""
+    return np.round(-16 * np.log2(np.clip(shares, SHARES[-1], 1.0))).astype(np.uint8)
 
 
-def weights(counts: np.ndarray, shares: np.ndarray) -> np.ndarray:
+def weights(counts: np.ndarray, rounded_shares: np.ndarray) -> np.ndarray:
     """What words of these counts and rounded shares have in the states, 1 + count in all."""
-    return (counts + 1.0)[:, None] * shares / shares.sum(1, dtype=np.float64, keepdims=True)
+    shares = SHARES[rounded_shares]
+    return (counts + 1.0)[:, None] * shares / shares.sum(1, keepdims=True)
 
 
 def word_states(blocks: packing.Blocks, model: Model, of_bucket: np.ndarray) -> tuple[DataFrame, np.ndarray]:
     """Answers (block, part) with the training count of each distinct word of a block and its shares of
     the states, in the order of word codes; the weights of all known words per state."""
-    n_groups, states = blocks.groups(), len(model.start)
+    n_groups, states, single = blocks.groups(), len(model.start), model.single()
 
     def ask(row):
         texts = Texts(row)
@@ -301,8 +335,8 @@ def word_states(blocks: packing.Blocks, model: Model, of_bucket: np.ndarray) ->
         counts = np.bincount(inverse, ~texts.held[texts.doc], len(keys)).astype(np.uint32)
         docs = np.flatnonzero(~texts.held)
         labels, _ = texts.sequences(docs, inverse, len(keys))
-        found = expected(*texts.sequences(docs), model, labels, len(keys) + 1).emit[:-1]
-        shares = np.round(found / np.maximum(counts, 1)[:, None] * 65_535).clip(0, 65_535).astype(np.uint16)
+        found = expected(*texts.sequences(docs), single, labels, len(keys) + 1).emit[:-1]
+        shares = rounded(found / np.maximum(counts, 1)[:, None])
         parts = packing.split_sorted(keys, n_groups)
         columns = [pa.array([g for g, _, _ in parts], pa.int64()), pa.array([row["block"]] * len(parts), pa.int64())]
         columns += [pa.array([x[a:b].tobytes() for _, a, b in parts], pa.binary()) for x in (keys, counts, shares)]
@@ -311,11 +345,11 @@ def word_states(blocks: packing.Blocks, model: Model, of_bucket: np.ndarray) ->
     def add(table):
         keys, rows = packing.grouped(table, "keys", np.uint64)
         counts, _ = packing.grouped(table, "counts", np.uint32)
-        shares = packing.grouped(table, "shares", np.uint16)[0].reshape(-1, states)
+        shares = SHARES[packing.grouped(table, "shares", np.uint8)[0].reshape(-1, states)]
+        shares *= (counts / shares.sum(1))[:, None]
         known, inverse = np.unique(keys, return_inverse=True)
         total = np.bincount(inverse, counts, len(known)).astype(np.int64)
-        scale = counts / 65_535
-        found = np.stack([np.bincount(inverse, scale * shares[:, k], len(known)) for k in range(states)], 1)
+        found = np.stack([np.bincount(inverse, shares[:, k], len(known)) for k in range(states)], 1)
         found += BACK_OFF * of_bucket[symbols(known)]
         used = rounded(found / found.sum(1, keepdims=True))
         sums = weights(total, used)[total > 0].sum(0)
@@ -366,14 +400,27 @@ def training(blocks: packing.Blocks) -> DataFrame:
 
 def train(sequences: DataFrame, model: Model) -> Counts:
     """The counts of one Baum-Welch pass over all training documents."""
-    states = len(model.start)
+    states, single = len(model.start), model.single()
     shapes = [(states,), (states, states), (SYMBOLS + 1, states), (1,)]
 
-    def run(batches):
-        total = Counts.zero(states)
+    def groups(batches):
+        """Blocks of about TOKENS tokens together, as the arrays are handled step by step."""
+        held, size = [], 0
         for batch in batches:
             for tokens, first in zip(batch["tokens"], batch["first"], strict=True):
-                total.add(expected(np.frombuffer(tokens.as_buffer(), np.uint16), np.frombuffer(first.as_buffer(), np.int64), model))
+                held.append((np.frombuffer(tokens.as_buffer(), np.uint16), np.frombuffer(first.as_buffer(), np.int64) + size))
+                size += len(held[-1][0])
+                if size >= TOKENS:
+                    yield held
+                    held, size = [], 0
+        yield held
+
+    def run(batches):
+        total = Counts.zero(states)
+        for held in groups(batches):
+            if held:
+                tokens = np.concatenate([tokens for tokens, _ in held])
+                total.add(expected(tokens, np.concatenate([[0], *(first[1:] for _, first in held)]), single))
         flat = np.concatenate([np.reshape(x, -1) for x in (total.start, total.step, total.emit, total.log)])
         used = np.flatnonzero(flat)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(flat[used])], ["i", "value"])
@@ -386,16 +433,42 @@ def train(sequences: DataFrame, model: Model) -> Counts:
     return Counts(start, step.reshape(shapes[1]), emit.reshape(shapes[2]), float(log[0]))
 
 
+def logs_of(model: Model) -> list[np.ndarray]:
+    return [np.log(x) for x in (model.start, model.step, model.emit)]
+
+
+def farther(models: list[Model], weight: Counts) -> Model:
+    """Where three models in a row lead to: a squared extrapolation of the logarithms of their parameters,
+    whose length follows from how the two moves compare under the expected counts `weight`."""
+    a, b, c = map(logs_of, models)
+    move = [y - x for x, y in zip(a, b, strict=True)]
+    bend = [z - 2 * y + x for x, y, z in zip(a, b, c, strict=True)]
+    counts = (weight.start, weight.step, weight.emit)
+    lengths = [sum((w * x * x).sum() for w, x in zip(counts, side, strict=True)) for side in (move, bend)]
+    far = min(max(1.0, np.sqrt(lengths[0] / lengths[1])), FARTHEST) if lengths[1] > 0 else 1.0
+    start, step, emit = (np.exp(x + 2 * far * m + far * far * v) for x, m, v in zip(a, move, bend, strict=True))
+    return Model(start / start.sum(), step / step.sum(1, keepdims=True), emit / emit.sum(0))
+
+
 def fit(sequences: DataFrame, model: Model, unseen: np.ndarray, passes: int, tolerance: float = TOLERANCE) -> tuple[Model, Counts]:
-    """Baum-Welch passes until the likelihood stops rising, `passes` at most; the counts of the last."""
-    last, counts = -np.inf, Counts.zero(len(model.start))
+    """Baum-Welch passes until the likelihood stops rising, `passes` at most; the counts of the best.
+    After every two passes the model is moved on along their path; a move that lowers the likelihood is taken back."""
+    best, last, plain = Counts.zero(len(model.start)), -np.inf, None
+    path = [model]
     for _ in range(passes):
-        counts = train(sequences, model)
-        model = counts.model(unseen)
-        if counts.log - last <= tolerance * abs(counts.log):
+        counts = train(sequences, path[-1])
+        if counts.log < last and plain is not None:
+            path, plain = [plain], None
+            continue
+        best, gain, last = counts, counts.log - last, counts.log
+        plain = None
+        path.append(counts.model(unseen))
+        if gain <= tolerance * abs(last):
             break
-        last = counts.log
-    return model, counts
+        if len(path) == 3:
+            plain = path[-1]
+            path = [farther(path, counts)]
+    return best.model(unseen), best
 
 
 def score(docs: DataFrame, states: int = STATES, passes: int = PASSES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -420,7 +493,7 @@ def score(docs: DataFrame, states: int = STATES, passes: int = PASSES, block_byt
         keys, inverse = np.unique(texts.codes, return_inverse=True)
         parts = sorted((p["grp"], p["counts"], p["shares"]) for p in row["part"] or [])
         counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x, np.int64) for _, x, _ in parts)])
-        shares = np.concatenate([np.zeros(0, np.uint16), *(np.frombuffer(x, np.uint16) for _, _, x in parts)]).reshape(-1, states)
+        shares = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(x, np.uint8) for _, _, x in parts)]).reshape(-1, states)
         own = replace(model, emit=np.concatenate([weights(counts, shares), end]) / total)
         known = np.log10(counts + 1.0)
         lengths = np.diff(texts.first)

@@ -235,7 +235,7 @@ def test_hmm_beats_the_base(sample_docs):
 def test_forward_is_exact():
     random = np.random.default_rng(1)
     model = hmm.Model(np.array([0.3, 0.7]), np.array([[0.9, 0.1], [0.2, 0.8]]), random.dirichlet(np.ones(hmm.SYMBOLS + 1), 2).T)
-    sequences = [random.integers(0, hmm.SYMBOLS + 1, n) for n in (1, 5, 512, 513, 1500, 3)]
+    sequences = [random.integers(0, hmm.SYMBOLS + 1, n) for n in (1, 5, 512, 513, 1500, 3, hmm.SEGMENT, hmm.SEGMENT + 1, 2 * hmm.SEGMENT + 7)]
 
     def forward(seq):
         alpha, log = model.start * model.emit[seq[0]], 0.0
@@ -250,6 +250,34 @@ def test_forward_is_exact():
     assert np.allclose(found, [forward(s) for s in sequences], rtol=1e-12)
 
 
+def test_single_precision_counts_as_double():
+    random = np.random.default_rng(8)
+    lengths = [1, 2, 40, hmm.SEGMENT, hmm.SEGMENT + 1, 3 * hmm.SEGMENT + 5]
+    tokens, first = random.integers(0, hmm.SYMBOLS + 1, sum(lengths)), np.r_[0, np.cumsum(lengths)]
+    # states that hardly ever change and rule each other's symbols out
+    emit = random.dirichlet(np.full(hmm.SYMBOLS + 1, 0.02), 3).T + 1e-12
+    step = np.full((3, 3), 1e-9) + np.eye(3)
+    model = hmm.Model(np.full(3, 1 / 3), step / step.sum(1, keepdims=True), emit / emit.sum(0))
+    double, single = hmm.expected(tokens, first, model), hmm.expected(tokens, first, model.single())
+    assert np.isclose(single.log, double.log, rtol=1e-6)
+    for a, b in ((single.start, double.start), (single.step, double.step), (single.emit, double.emit)):
+        assert np.allclose(a, b, rtol=1e-3, atol=0.02)
+
+
+def test_extrapolation_keeps_a_model():
+    random = np.random.default_rng(9)
+    tokens, first = random.integers(0, 300, 4000), np.arange(0, 4001, 80)
+    unseen = np.ones(hmm.SYMBOLS + 1)
+    models = [hmm.begin(unseen / unseen.sum(), 4)]
+    for _ in range(2):
+        counts = hmm.expected(tokens, first, models[-1])
+        models.append(counts.model(unseen))
+    moved = hmm.farther(models, counts)
+    assert np.isclose(moved.start.sum(), 1) and np.allclose(moved.step.sum(1), 1) and np.allclose(moved.emit.sum(0), 1)
+    still = hmm.farther([models[0]] * 3, counts)  # no move: the same model
+    assert np.allclose(still.emit, models[0].emit)
+
+
 def test_baum_welch_never_loses_likelihood():
     random = np.random.default_rng(2)
     tokens = np.concatenate([random.integers(0, 40, 60) if k % 2 else random.integers(40, 80, 60) for k in range(40)])
