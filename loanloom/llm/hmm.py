@@ -46,7 +46,7 @@ FARTHEST = 8.0
 #: Occurrences that a bucket's shares of the states count for in those of its words.
 BACK_OFF = 1.0
 #: Larger blocks have fewer distinct words in all.
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 8_000_000
 
 
 def held_out(doc_id: int) -> bool:
