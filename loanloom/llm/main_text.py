@@ -4,9 +4,13 @@ Markup is stripped first: every block-level element becomes a line; scripts, sty
 menus, headers, footers, sidebars, notices, adverts and reader comments (by element, role or a
 word of their class or id) leave an empty line, a gap. Text lengths are then summed over sliding
 windows of lines. A region begins where the sum surges and ends where it dives; lines
-between are kept. Where the page marks its article, lines outside are gaps too and any
-text makes a surge; elsewhere a surge needs as much running text as a paragraph has, and text
-of links does not count.
+between are kept. Marks of the article (its element, main, a class name) are candidates that the
+windows judge: the surest mark counts whose densest window is not beaten twice over by running text outside
+it. Then lines outside are gaps too and any text makes a surge; without such a mark a surge needs as
+much running text as a paragraph has, and text of links does not count.
+
+An element that marks an article inside a wrapper with a class of page layout (sidebar, menu and the like) is
+the weakest mark, so it counts where the page has no other; inside elements of that kind it is left out.
 
 A null or empty page has an empty text, as has a page without any region. Every row
 gives one row, also repeated rows. Only the named columns are read.
@@ -49,6 +53,8 @@ CONTENT = frozenset("article articlebody content entry maincontent post story".s
 REMARKS = frozenset("has no not with without".split())
 #: The words among them that also hold for elements that mark articles.
 NOT_ARTICLES = frozenset("comment comments recommended related replies reply".split())
+#: Words of page layout, which wrappers of a whole page may have too.
+LAYOUT = frozenset("masthead menu modal nav navbar navigation overlay sidebar toolbar topbar".split())
 #: Elements that end an open element of the same kind.
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "option": ("option",)}
 
@@ -84,7 +90,7 @@ def lines(page: str) -> list[tuple[str, int, int]]:
     """(text, characters in links, mark of the article around it) of every line; ("", 0, 0) is a gap."""
     out: list[tuple[str, int, int]] = []
     text: list[str] = []
-    # name, dropped (1 by a form around it, which may hold a whole page), mark of the article
+    # name, dropped (1 by a form around it, which may hold a whole page, 3 by a class of page layout), mark of the article
     stack: list[tuple[str, int, int]] = []
     linked, at = [0], 0
 
@@ -142,14 +148,20 @@ def lines(page: str) -> list[tuple[str, int, int]]:
                 leave(len(stack) - 1)
         dropped, level = (stack[-1][1], stack[-1][2]) if stack else (0, 0)
         words, roles = _marks(match["rest"] or match["rest2"] or "")
-        if dropped == 1 and name in ARTICLE:
+        revived = dropped in (1, 3) and name in ARTICLE
+        weakest = dropped == 3
+        if revived:
             dropped = 0
-        if not dropped and name not in ("html", "body"):
+        if dropped in (0, 3) and name not in ("html", "body"):
             unwanted = name in DROPPED or roles & ROLES or (name == "header" and not level)
             if unwanted or words & (NOT_ARTICLES if name in ARTICLE else MARKS):
-                dropped = 1 if name == "form" else 2
-                flush(gap=True)
-        if not dropped:
+                if not dropped:
+                    flush(gap=True)
+                form = name == "form" and not dropped
+                dropped = 1 if form else 2 if unwanted or words & MARKS - LAYOUT else 3
+        if revived and weakest and not dropped:
+            level = max(level, 1)
+        elif not dropped:
             level = max(level, ARTICLE.get(name, 0), 2 if "main" in roles else 0, 1 if words & CONTENT else 0)
         stack.append((name, dropped, level))
     add(page[at:] if not page[at:].startswith("<") or len(page) - at < 2 else "")
@@ -157,14 +169,28 @@ def lines(page: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def window_sums(lengths: list[int], window: int) -> list[int]:
+    return [sum(lengths[i : i + window]) for i in range(len(lengths))]
+
+
+def article_level(found: list[tuple[str, int, int]], window: int = LINES, surge: int = SURGE) -> int:
+    """The surest mark whose densest window holds against the running text outside it; 0 if none does."""
+    for mark in sorted({level for _, _, level in found if level}, reverse=True):
+        inside = max(window_sums([len(t) if level >= mark else 0 for t, _, level in found], window))
+        outside = max(window_sums([len(t) - linked if level < mark else 0 for t, linked, level in found], window))
+        if outside < surge or outside <= 2 * inside:
+            return mark
+    return 0
+
+
 def kept_lines(found: list[tuple[str, int, int]], window: int = LINES, surge: int = SURGE) -> list[str]:
     """The lines between surges and dives of the text in windows of lines."""
-    marked = max((level for _, _, level in found), default=0)
+    marked = article_level(found, window, surge)
     if marked:
-        lengths, least = [len(t) if level == marked else 0 for t, _, level in found], 1
+        lengths, least = [len(t) if level >= marked else 0 for t, _, level in found], 1
     else:
         lengths, least = [len(t) - linked for t, linked, _ in found], surge
-    sums = [sum(lengths[i : i + window]) for i in range(len(lengths))]
+    sums = window_sums(lengths, window)
     if sums and max(sums) < least:
         least = max(1, max(sums))  # the densest place of a page without a paragraph
     out, i, n = [], 0, len(lengths)

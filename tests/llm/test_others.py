@@ -40,12 +40,33 @@ PARAGRAPH = "A paragraph with enough text in it to be taken for the body of an a
         ("<div class='content with-sidebar'><p>" + PARAGRAPH + "</p></div><div class='entryComments'><p>" + PARAGRAPH + "</p></div>", PARAGRAPH),
         ("<div id='cookie-notice'>" + PARAGRAPH + "</div><p>" + PARAGRAPH + "</p><p><a href=x>" + PARAGRAPH + "</a></p>", PARAGRAPH),
         ("<p title=\"a>b\">" + PARAGRAPH + "<p unclosed='x>" + PARAGRAPH, PARAGRAPH + "\n\n" + PARAGRAPH),
+        # a wrapper of the whole page with a word of page layout
+        ("<div class='page-with-sidebar'><article><p>Only.</p></article></div>", "Only."),
+        ("<div id='nav-open'><main><p>" + PARAGRAPH + "</p></main></div>", PARAGRAPH),
+        # such an article counts only where the page marks no other
+        ("<div class=sidebar><article>Teaser</article></div><article><p>Body</p></article>", "Body"),
+        ("<div class=sidebar><aside><article>Teaser</article></aside></div><p>" + PARAGRAPH + "</p>", PARAGRAPH),
+        ("<div class=comments><article><p>" + PARAGRAPH + "</p></article></div><article><p>Body</p></article>", "Body"),
+        # windows judge the marks: a title or a teaser alone is not the article
+        ("<article><h1>Title</h1></article><div><p>" + PARAGRAPH + "</p><p>" + PARAGRAPH + "</p></div>", "\n\n".join(["Title", PARAGRAPH, PARAGRAPH])),
+        ("<main><p>" + PARAGRAPH + "</p><article class=teaser>short</article><p>Last.</p></main>", "\n\n".join([PARAGRAPH, "short", "Last."])),
     ],
 )
 def test_main_text(page, text):
     assert main_text.extract(page) == text
 
 
+def test_windows_decide():
+    """The same lines give other articles once the text around them is denser than the marked ones."""
+    marked, around = ("Marked text.", 0, 3), (PARAGRAPH, 0, 0)
+    assert main_text.article_level([marked, ("", 0, 0), ("Short.", 0, 0)]) == 3
+    assert main_text.article_level([marked, ("", 0, 0), around]) == 0
+    assert main_text.article_level([(PARAGRAPH, 0, 3), ("", 0, 0), around]) == 3
+    assert main_text.article_level([marked, ("", 0, 0), (PARAGRAPH, len(PARAGRAPH), 0)]) == 3  # links
+    assert main_text.article_level([marked, (PARAGRAPH, 0, 2), around]) == 2
+    assert main_text.article_level([]) == 0
+
+
 def test_pages_with_known_text(spark, sf_dir):
     """The pages' articles are paragraphs under a heading; every block comes out whole, in order."""
     rows = spark.read.parquet(f"{sf_dir}/pages.parquet").withColumn("text", F.lit("own"))
