@@ -12,6 +12,7 @@ from loanloom.catalog import (
     _stump,
     application,
     bureau,
+    laid_down,
     query,
     rounded,
     rounded_ratios,
@@ -19,9 +20,8 @@ from loanloom.catalog import (
 )
 from loanloom.operators import distinct, evaluate, gold, heavy, increments, kll, model, sampling
 from loanloom.plans import at_rest, pipeline, pruning
-from loanloom.plans.skew import HOT_ROWS
 from loanloom.sources import loads, raw, sinks, statistics, views
-from loanloom.sources.buckets import bucket_count, write_at_rest
+from loanloom.sources.buckets import bucket_count
 from loanloom.sources.shared import fresh_path
 from loanloom.specs import APPLICATION, BOOK, BUREAU
 
@@ -69,10 +69,7 @@ def distinct_types_bitmap(spark, sf):
 
 
 def _at_rest(spark, sf):
-    root, history = fresh_path(spark, "rest"), bureau(spark, sf)
-    buckets = bucket_count(history.count())
-    lines = write_at_rest(history, f"{root}/history", BOOK.key, buckets, HOT_ROWS)
-    return write_at_rest(application(spark, sf), f"{root}/application", BOOK.key, buckets), lines
+    return laid_down(application(spark, sf), bureau(spark, sf))
 
 
 @query

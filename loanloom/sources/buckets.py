@@ -23,10 +23,13 @@ from loanloom.sources.sinks import write_json
 
 #: Rows that a bucket should hold, and the most buckets of a table; beyond, buckets grow.
 ROWS_PER_BUCKET, MOST_BUCKETS = 2_000_000, 20_000
+#: The same where a bucket is folded to wide rows: a key's hundreds of buffers take some 2 KB, and
+#: those of a whole bucket are sorted in the memory of one task.
+WIDE_ROWS_PER_BUCKET = 100_000
 
 
-def bucket_count(rows: int, most: int = MOST_BUCKETS) -> int:
-    return max(1, min(most, -(-rows // ROWS_PER_BUCKET)))
+def bucket_count(rows: int, most: int = MOST_BUCKETS, per: int = ROWS_PER_BUCKET) -> int:
+    return max(1, min(most, -(-rows // per)))
 
 
 def _name() -> str:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_gold import assert_same_rows, by_key, history  # noqa: F401
 
-from loanloom import catalog
+from loanloom import catalog, catalog_stores
 from loanloom.operators import distinct, gold, heavy, increments
 from loanloom.plans import at_rest
 from loanloom.plans.numbering import numbered
@@ -184,6 +184,15 @@ def test_number_of_buckets_is_bounded():
     assert [buckets.bucket_count(n) for n in (0, 1, 2_000_001, 10**15)] == [1, 1, 2, buckets.MOST_BUCKETS]
 
 
+def test_buckets_of_wide_rows_are_smaller(spark, sf_dir, monkeypatch):
+    """A bucket's wide rows are sorted by one task; those of 2 million lines would spill."""
+    assert buckets.bucket_count(600_000, per=buckets.WIDE_ROWS_PER_BUCKET) == 6
+    monkeypatch.setattr(catalog, "WIDE_ROWS_PER_BUCKET", 1000)
+    lines = catalog.bureau(spark, sf_dir)
+    assert catalog_stores._at_rest(spark, sf_dir)[1].buckets == -(-lines.count() // 1000)
+
+
+
 # -- frequent categories ---------------------------------------------------------
 
 
