@@ -21,7 +21,7 @@ from loanloom.catalog import (
 from loanloom.operators import distinct, evaluate, gold, heavy, increments, kll, model, sampling
 from loanloom.plans import at_rest, pipeline, pruning
 from loanloom.sources import loads, raw, sinks, statistics, views
-from loanloom.sources.buckets import bucket_count
+from loanloom.sources.buckets import WIDE_ROWS_PER_BUCKET, bucket_count
 from loanloom.sources.shared import fresh_path
 from loanloom.specs import APPLICATION, BOOK, BUREAU
 
@@ -37,7 +37,7 @@ def _loads(spark, sf):
 
 def _state(spark, sf) -> increments.BookState:
     parts = _loads(spark, sf)
-    buckets = bucket_count(parts["monday"].count())
+    buckets = bucket_count(parts["monday"].count(), per=WIDE_ROWS_PER_BUCKET)
     state = increments.create(spark, fresh_path(spark, "book"), SAVED_TYPES, buckets)
     for name, load in [*parts.items(), ("tuesday", parts["tuesday"])]:  # the last delivery comes twice
         state.fold(load, name)

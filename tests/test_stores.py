@@ -192,6 +192,12 @@ def test_buckets_of_wide_rows_are_smaller(spark, sf_dir, monkeypatch):
     assert catalog_stores._at_rest(spark, sf_dir)[1].buckets == -(-lines.count() // 1000)
 
 
+def test_buckets_of_the_state_are_smaller(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(catalog_stores, "WIDE_ROWS_PER_BUCKET", 1000)
+    first = catalog_stores._loads(spark, sf_dir)["monday"].count()
+    assert catalog_stores._state(spark, sf_dir).buckets == -(-first // 1000)
+
+
 
 # -- frequent categories ---------------------------------------------------------
 
