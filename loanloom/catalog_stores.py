@@ -143,7 +143,7 @@ def bronze_reload(spark, sf):
     root, _ = _delivered(spark, sf, again=True)
     good = loads.accepted(spark, root).select("SK_ID_BUREAU", "DAYS_CREDIT", "AMT_CREDIT_SUM", "_source_file")
     bad = loads.quarantine(spark, root).groupBy("_source_file").agg(F.count(F.lit(1)).alias("n_rejected"))
-    return good.join(bad, "_source_file", "left").fillna(0, ["n_rejected"])
+    return good.join(F.broadcast(bad), "_source_file", "left").fillna(0, ["n_rejected"])  # one row per file
 
 
 # -- models ----------------------------------------------------------------
