@@ -198,6 +198,11 @@ def test_buckets_of_the_state_are_smaller(spark, sf_dir, monkeypatch):
     assert catalog_stores._state(spark, sf_dir).buckets == -(-first // 1000)
 
 
+def test_narrow_table_moves_its_history_once(spark, sf_dir, no_broadcasts):
+    plan = plan_of(catalog.narrow_abt(spark, sf_dir))
+    assert "Exchange" not in plan and plan.count("Bucketed: true") == 3
+
+
 def test_reload_counts_meet_the_rows_where_they_lie(spark, sf_dir, no_broadcasts):
     """All rows of a file would else land in one task."""
     plan = plan_of(catalog_stores.bronze_reload(spark, sf_dir))
