@@ -209,6 +209,17 @@ def test_reload_counts_meet_the_rows_where_they_lie(spark, sf_dir, no_broadcasts
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
+def test_ranking_sample_is_drawn_before_the_join(spark, sf_dir, monkeypatch):
+    """The rows are those of a sample of the whole base table."""
+    seen = []
+    monkeypatch.setattr(catalog, "RANKING_SAMPLE_ROWS", 100)
+    monkeypatch.setattr(catalog.pipeline, "rank_features", lambda layout, name, table, *more: seen.append(table))
+    catalog._ranking(spark, sf_dir)
+    whole = gold.abt(catalog.application(spark, sf_dir), catalog.ranked_book(spark, sf_dir)[0])
+    expected = catalog.sampling.sample_n(whole, "application_id", 100)
+    assert seen[0].count() == 100 and seen[0].columns == whole.columns
+    assert_same_rows(seen[0], expected)
+
 
 # -- frequent categories ---------------------------------------------------------
 
