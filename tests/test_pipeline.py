@@ -204,3 +204,12 @@ def test_shared_dir_is_the_one_the_cluster_names(spark, monkeypatch):
         conf = Conf()
 
     assert shared.shared_dir(Session()) == "/shared/folder"
+
+
+def test_features_missing_together_share_an_indicator(spark):
+    rows = [(None, None, 1.0, float("nan")), (2.0, 5.0, None, 3.0), (4.0, 1.0, None, 3.0), (4.0, 1.0, 2.0, 3.0), (None, None, 1.0, None)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    assert model._told_apart(df, ["a", "b", "c", "d"]) == ["a", "c"]
+    # as many missing, in other rows
+    other = spark.createDataFrame([(None, 1.0), (2.0, None)], "a double, b double")
+    assert model._told_apart(other, ["a", "b"]) == ["a", "b"] and model._told_apart(df, []) == []
