@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import io
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -77,13 +77,17 @@ class Blocks:
         return self.table.mapInArrow(run, schema)
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = BLOCK_BYTES) -> Blocks:
+def pack(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = BLOCK_BYTES, derive: Callable | None = None, columns: Sequence[str] = ()
+) -> Blocks:
     """block, ids, offsets, text and the other columns (`rest`) of blocks of documents.
 
     Inside a block the documents are in the order of their ids, null last. A longer text
-    is a block of its own.
+    is a block of its own. With `derive`, blocks have the bytes of the `columns` that it makes of the bytes and
+    offsets of the texts, in place of offsets, text and `rest`.
     """
     spark = docs.sparkSession
+    names = ["block", "ids", *(columns if derive else ("offsets", "text", "rest"))]
     ship_package(spark)
 
     def packed(rows: pa.Table, k: int) -> pa.RecordBatch:
@@ -91,10 +95,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
         rows = rows.take(pa.array(order)).combine_chunks()
         data, offsets = words.as_bytes(rows[text_col].cast(pa.large_string()))
         block = (TaskContext.get().partitionId() << 24) | k
-        values = (block, words.ids(rows[id_col]).tobytes(), offsets.tobytes(), data.tobytes(), to_ipc(rows.drop_columns([text_col])))
-        return pa.RecordBatch.from_arrays(
-            [pa.array([block], pa.int64()), *(pa.array([v], pa.binary()) for v in values[1:])], ["block", "ids", "offsets", "text", "rest"]
-        )
+        values = derive(data, offsets) if derive else (offsets.tobytes(), data.tobytes(), to_ipc(rows.drop_columns([text_col])))
+        values = (words.ids(rows[id_col]).tobytes(), *values)
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *(pa.array([v], pa.binary()) for v in values)], names)
 
     def run(batches):
         waiting, held, rows, k = [], 0, 0, 0
@@ -115,7 +118,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
         if waiting:
             yield packed(pa.Table.from_batches(waiting), k)
 
-    blocks = docs.mapInArrow(run, "block long, ids binary, offsets binary, text binary, rest binary")
+    blocks = docs.mapInArrow(run, "block long, " + ", ".join(f"{c} binary" for c in names[1:]))
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     buckets = max(1, min(MOST_BUCKETS, -(-total // BUCKET_BYTES)))
     return Blocks(bucketed(blocks, buckets), buckets, total)

@@ -232,6 +232,26 @@ def test_hmm_beats_the_base(sample_docs):
     assert found[0] > found[1]
 
 
+def test_hmm_takes_texts_apart_once(edge_docs, monkeypatch):
+    """Blocks hold words as numbers and no texts, so that no later pass can take them apart again."""
+    packed = hmm.packing.pack(edge_docs.select("doc_id", "text"), size=5_000, derive=hmm.taken_apart, columns=hmm.COLUMNS)
+    assert packed.table.columns == ["block", "ids", *hmm.COLUMNS]
+    texts = [hmm.Texts(r.asDict()) for r in packed.table.collect()]
+    assert sum(len(t.ids) for t in texts) == edge_docs.count()
+    rows = [(t or "").encode() for _, t in pairs(edge_docs)]
+    data, offsets = np.frombuffer(b"".join(rows), np.uint8), np.r_[0, np.cumsum([len(t) for t in rows])]
+    whole = hmm.words.words(data, offsets, lower=True)
+    assert sorted(int(c) for t in texts for c in t.keys[t.numbers]) == sorted(map(int, whole.codes()))
+    for size in (1, 100, 10**9):  # texts are taken apart in pieces
+        monkeypatch.setattr(hmm, "PIECE_BYTES", size)
+        got = hmm.Texts({"ids": bytes(8 * len(rows)), **dict(zip(hmm.COLUMNS, hmm.taken_apart(data, offsets), strict=True))})
+        assert (got.first == whole.first).all() and (got.keys[got.numbers] == whole.codes()).all()
+        kept = np.repeat(~got.held, np.diff(whole.first))
+        assert dict(zip(got.keys, got.training_counts(), strict=True)) == Counter({c: 0 for c in got.keys}) | Counter(whole.codes()[kept])
+    empty = hmm.Texts({"ids": b"", **dict(zip(hmm.COLUMNS, hmm.taken_apart(data[:0], offsets[:1]), strict=True))})
+    assert not len(empty.keys) and not len(empty.numbers) and not len(empty.doc)
+
+
 def test_forward_is_exact():
     random = np.random.default_rng(1)
     model = hmm.Model(np.array([0.3, 0.7]), np.array([[0.9, 0.1], [0.2, 0.8]]), random.dirichlet(np.ones(hmm.SYMBOLS + 1), 2).T)
