@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.llm import text as words
-from loanloom.llm.session import ship_package
+from loanloom.llm.session import batches_of, ship_package
 from loanloom.sources.shared import fresh_path
 
 #: Bytes of text in a block, and in the bucket of blocks that one task reads. Spark refuses a
@@ -28,6 +28,8 @@ from loanloom.sources.shared import fresh_path
 BLOCK_BYTES, BUCKET_BYTES, MOST_BUCKETS = 2_000_000, 32_000_000, 50_000
 #: A row's number is its block's times 2**PLACE_BITS plus its place there.
 PLACE_BITS = 16
+#: Documents, and blocks, that Spark hands to a Python task at a time: one to a few megabytes.
+DOCUMENTS, ONE_BLOCK = 256, 1
 #: Bytes of keys that meet in one group.
 GROUP_BYTES = 16_000_000
 
@@ -121,7 +123,9 @@ def pack(
     blocks = docs.mapInArrow(run, "block long, " + ", ".join(f"{c} binary" for c in names[1:]))
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     buckets = max(1, min(MOST_BUCKETS, -(-total // BUCKET_BYTES)))
-    return Blocks(bucketed(blocks, buckets), buckets, total)
+    with batches_of(spark, DOCUMENTS):
+        table = bucketed(blocks, buckets)
+    return Blocks(table, buckets, total)
 
 
 def bucketed(blocks: DataFrame, n: int) -> DataFrame:

@@ -43,6 +43,8 @@ BASE, RATE, LARGEST = 1.001, 20.0, 65_535
 MARGIN = 0.16
 #: Classes of a bucket that are compared with each other at a time, and shared elements.
 CHUNK, COLUMNS = 256, 8_192
+#: Bytes of text whose shingles are made, and drawn from, at a time; one longer text is a piece of its own.
+PIECE = 500_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -51,7 +53,18 @@ class Sets:
 
     def __init__(self, row: dict):
         self.ids = np.frombuffer(row["ids"], np.int64)
-        found = words.words(np.frombuffer(row["text"], np.uint8), np.frombuffer(row["offsets"], np.int64), lower=True)
+        data, offsets = np.frombuffer(row["text"], np.uint8), np.frombuffer(row["offsets"], np.int64)
+        self.pieces = list(words.pieces(data, offsets, PIECE))
+        found = [self._shingles(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]) for at, to in self.pieces]
+        self.element = np.concatenate([np.zeros(0, np.uint64), *(element for element, _ in found)])
+        self.doc = np.concatenate([np.zeros(0, np.int64), *(doc + at for (_, doc), (at, _) in zip(found, self.pieces, strict=True))])
+        self.first = np.searchsorted(self.doc, np.arange(len(self.ids) + 1))
+        self.sizes = np.diff(self.first)
+
+    @staticmethod
+    def _shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct shingles of every text, sorted, and the texts they are of."""
+        found = words.words(data, offsets, lower=True)
         codes, lengths = found.codes(), np.diff(found.first)
         hashes = words.window_hashes(codes, SHINGLE)
         at = np.flatnonzero(words.window_starts(found.first, SHINGLE, len(hashes)))
@@ -64,9 +77,7 @@ class Sets:
         element, doc = element[order], doc[order]
         new = np.ones(len(doc), bool)
         new[1:] = (element[1:] != element[:-1]) | (doc[1:] != doc[:-1])
-        self.element, self.doc = element[new], doc[new]
-        self.first = np.searchsorted(self.doc, np.arange(len(self.ids) + 1))
-        self.sizes = np.diff(self.first)
+        return element[new], doc[new]
 
     def of(self, d: int) -> np.ndarray:
         return self.element[self.first[d] : self.first[d + 1]]
@@ -81,9 +92,15 @@ class Sets:
 
     def registers(self) -> np.ndarray:
         """A row of registers for each document."""
-        least = np.full((len(self.ids), REGISTERS), np.inf)
-        flat = least.reshape(-1)
-        element, doc, x, j = self.element, self.doc, np.zeros(len(self.element)), 0
+        parts = [self._drawn(at, to) for at, to in self.pieces]
+        return np.concatenate([np.zeros((0, REGISTERS), np.uint16), *parts])
+
+    def _drawn(self, at: int, to: int) -> np.ndarray:
+        """The registers of the documents from `at` up to `to`."""
+        least = np.full((to - at, REGISTERS), np.inf)
+        flat, own = least.reshape(-1), slice(self.first[at], self.first[to])
+        element, doc, j = self.element[own], self.doc[own] - at, 0
+        x = np.zeros(len(element))
         while len(element):
             many = 1 if j < 6 else 32  # later only few shingles, of small sets, go on
             drawn = words.mix(element[:, None] + _STEP * np.arange(j + 1, j + many + 1, dtype=np.uint64))
@@ -249,7 +266,7 @@ def links_across(members: DataFrame, labels: DataFrame, blocks: packing.Blocks,
     mixed = known.groupBy(F.col("key").alias("_key")).agg(F.min("label").alias("_l"), F.max("label").alias("_m"), F.min("size").alias("_size"))
     rows = known.filter("row <> hub").join(mixed.filter("_l < _m"), F.col("key") == F.col("_key"))
     rows = stored(rows.select("key", "row", "label", F.ceil(F.col("_size") / chunk).cast("int").alias("chunks")), "mixed-buckets")
-    found = stored(sets_of(rows, blocks), "sets")
+    found = stored(sets_of(rows, blocks), "sets", packing.ONE_BLOCK)
     rows = rows.withColumn("c", F.pmod(F.xxhash64("row"), F.col("chunks")).cast("int"))
     rows = rows.withColumn("d", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     rows = rows.select("key", "row", "label", "c", F.least("c", "d").alias("i"), F.greatest("c", "d").alias("j"))
@@ -286,7 +303,7 @@ def links_across(members: DataFrame, labels: DataFrame, blocks: packing.Blocks,
 
 def grouped(blocks: packing.Blocks, chunk: int = CHUNK, link: int = LINK) -> DataFrame:
     """row, id, n, component (its smallest id) and first (its first row) of every document."""
-    everything = stored(sketches(blocks), "sketches")
+    everything = stored(sketches(blocks), "sketches", packing.ONE_BLOCK)
     some = everything.filter("n > 0")
     smallest = some.groupBy(F.col("a").alias("_a"), F.col("b").alias("_b")).agg(F.min(F.struct("id", "row")).alias("_first"))
     of_class = some.drop("registers").join(smallest, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")))
@@ -298,7 +315,7 @@ def grouped(blocks: packing.Blocks, chunk: int = CHUNK, link: int = LINK) -> Dat
     buckets = bands.groupBy(F.col("key").alias("_key")).agg(F.min("row").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = stored(bands.join(buckets, F.col("key") == F.col("_key")).drop("_key"), "buckets")
     pairs = members.filter("row <> hub").select(F.col("row").alias("u"), F.col("hub").alias("v")).distinct()
-    links = stored(verified(stored(likely(pairs, classes, link), "pairs"), blocks, link), "links")
+    links = stored(verified(stored(likely(pairs, classes, link), "pairs"), blocks, link), "links", packing.ONE_BLOCK)
     labels = stored(components(links), "labels")
     more = stored(links_across(members, labels, blocks, chunk, link), "more-links")
     if not more.isEmpty():

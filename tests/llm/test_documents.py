@@ -1,15 +1,18 @@
 """The operators on documents against plain versions and on edge rows."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from loanloom.llm import bpe, hmm, mixing, quality, setsketch, substring, toxicity
+from loanloom.llm import blocks as packing
+from loanloom.llm import bpe, hmm, mixing, quality, session, setsketch, substring, toxicity
 from loanloom.llm.components import components
 
 
@@ -458,6 +461,40 @@ def test_registers_estimate_similarity():
     assert abs(found[0] - true) < 0.15 and setsketch.likeliest(registers, registers, sizes, sizes).min() > 0.99
 
 
+def test_sets_hold_a_piece_of_a_block_at_a_time(monkeypatch):
+    """Memory follows the piece, not the block of 2 MB; sets and registers don't depend on the piece."""
+    texts = [" ".join(f"w{(k * 7919 + i * i) % 50_021}" for i in range(300)) for k in range(1000)] + ["", "a b", " "]
+    bodies = [t.encode() for t in texts]
+    row = {"ids": np.arange(len(texts)).tobytes(), "text": b"".join(bodies), "offsets": np.cumsum([0, *map(len, bodies)]).astype(np.int64).tobytes()}
+    tracemalloc.start()
+    sets = setsketch.Sets(row)
+    registers = sets.registers()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6
+    monkeypatch.setattr(setsketch, "PIECE", 10**9, raising=False)
+    whole = setsketch.Sets(row)
+    assert (whole.element == sets.element).all() and (whole.sizes == sets.sizes).all() and (whole.registers() == registers).all()
+
+
+def test_large_rows_come_in_small_batches(spark, monkeypatch):
+    """Documents are packed, and blocks read, a few at a time; the session's setting stays."""
+    seen, before = [], spark.conf.get(session.BATCH)
+    bucketed = packing.bucketed
+    monkeypatch.setattr(packing, "bucketed", lambda *a: seen.append(spark.conf.get(session.BATCH)) or bucketed(*a))
+    docs = spark.range(600, numPartitions=1).selectExpr("id AS doc_id", "concat('a b ', id) AS text")
+    blocks = packing.pack(docs, size=2_000)
+    assert seen == [str(packing.DOCUMENTS)] and blocks.table.count() > 5
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    found = session.stored(blocks.table.coalesce(1).mapInArrow(sizes, "n long"), "batches", packing.ONE_BLOCK)
+    assert [tuple(r) for r in found.distinct().collect()] == [(1,)] and found.count() == blocks.table.count()
+    assert spark.conf.get(session.BATCH) == before
+
+
 def test_components(spark):
     random = np.random.default_rng(3)
     edges = [(int(a), int(b)) for a, b in random.integers(0, 400, (260, 2))] + [(1000 + i, 1001 + i) for i in range(60)] + [(2000, 2000 + i) for i in range(1, 50)]
