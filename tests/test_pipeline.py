@@ -213,3 +213,19 @@ def test_features_missing_together_share_an_indicator(spark):
     # as many missing, in other rows
     other = spark.createDataFrame([(None, 1.0), (2.0, None)], "a double, b double")
     assert model._told_apart(other, ["a", "b"]) == ["a", "b"] and model._told_apart(df, []) == []
+
+
+def test_indicators_ask_as_many_expressions_as_features(spark, monkeypatch):
+    """Every mark of a feature held the hash of all features: the plan of 250 did not fit the driver."""
+    asked = []
+    kind = type(spark.range(1))
+    whole = kind.agg
+    monkeypatch.setattr(kind, "agg", lambda self, *columns: asked.append(sum(len(str(c)) for c in columns)) or whole(self, *columns))
+    sizes = []
+    for n in (10, 40):
+        rows = [tuple(float(i) if i != j else None for j in range(n)) for i in range(n)]
+        df = spark.createDataFrame(rows, ", ".join(f"c{j} double" for j in range(n)))
+        asked.clear()
+        assert model._told_apart(df, df.columns) == df.columns
+        sizes.append(sum(asked))
+    assert sizes[1] < 6 * sizes[0]
